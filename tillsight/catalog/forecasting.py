@@ -176,12 +176,12 @@ def fc_combine(t: Star) -> DataFrame:
                  END AS trend FROM r_daily),
     m AS (SELECT position, AVG(revenue - trend) AS s FROM n GROUP BY 1),
     c AS (SELECT position, s - (SELECT AVG(s) FROM m) AS seasonal FROM m)
-    SELECT ds, revenue, position, {even('trend', 3)} AS trend, {even('seasonal', 3)} AS seasonal,
-           {even('revenue - trend - seasonal', 3)} AS residual
+    SELECT ds, revenue, position, {even('trend', 4)} AS trend, {even('seasonal', 4)} AS seasonal,
+           {even('revenue - trend - seasonal', 4)} AS residual
     FROM n JOIN c USING (position)""")
 def fc_seasonal_decompose(t: Star) -> DataFrame:
     parts = series.decompose(_daily(t)).select("ds", "revenue", "position", "trend", "seasonal", "residual")
-    return rounded(parts, 3, "trend", "seasonal", "residual")
+    return rounded(parts, 4, "trend", "seasonal", "residual")
 
 
 @query("fc_summary", f"""{CATEGORY_TREND}

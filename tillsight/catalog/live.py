@@ -35,7 +35,7 @@ def _churn_sql(above: float, more_than: int) -> str:
     return f"""
     chn AS (SELECT 'High Churn Risk' AS alert_type, COUNT(*) AS high_risk_count, COUNT(*) > {more_than} AS is_alert,
                  CASE WHEN COUNT(*) > {more_than}
-                      THEN 'Churn Alert: ' || COUNT(*) || ' customers have >80% churn probability' END AS message
+                      THEN 'Churn Alert: ' || COUNT(*) || ' customers have >{above:.0%} churn probability' END AS message
           FROM r_scores WHERE churn_probability > {above})"""
 
 

@@ -55,8 +55,9 @@ def running_totals(df: DataFrame, order: Sequence[Column], totals: dict[str, str
     within = (Window.partitionBy("_part", *by).orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = placed.select("*", *[F.sum(s).over(within).alias(f"_l_{n}") for n, s in totals.items()])
-    return (local.join(F.broadcast(offsets), ["_part", *by])
-            .select(*df.columns, *[(F.col(f"_l_{n}") + F.col(f"_o_{n}")).alias(n) for n in totals]))
+    same = [local[c].eqNullSafe(offsets[c]) for c in ("_part", *by)]
+    return (local.join(F.broadcast(offsets), same)
+            .select(*[local[c] for c in df.columns], *[(F.col(f"_l_{n}") + F.col(f"_o_{n}")).alias(n) for n in totals]))
 
 
 def rank_first(df: DataFrame, order: Sequence[Column], name: str, by: Sequence[str] = (),

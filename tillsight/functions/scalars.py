@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -76,25 +76,29 @@ def as_of_col(as_of: AsOf, df: DataFrame, date_col: str) -> Column:
     return F.lit(as_of).cast("date")
 
 
-def since(df: DataFrame, date_col: str, cutoff: Column) -> DataFrame:
-    """Rows with ``date_col >= cutoff``.
+def _since(df: DataFrame, date_col: str, as_of: AsOf, back: Callable[[Column], Column]) -> DataFrame:
+    """Rows from the day ``back(as_of)`` on, without upper bound.
 
-    Sources that store the date as a timestamp keep it beside the date as
-    ``<date_col>_ts``; the same bound on that column reaches the file scan.
+    The bound is a single literal or a bare scalar subquery: both reach the
+    file scan as a filter.  Sources that store the date as a timestamp keep it
+    beside the date as ``<date_col>_ts``, and the bound is put on that column.
     """
-    keep = F.col(date_col) >= cutoff
     raw = f"{date_col}_ts"
-    if raw in df.columns:
-        keep = (F.col(raw) >= cutoff.cast("timestamp_ntz")) & keep
-    return df.filter(keep)
+    column, kind = (raw, "timestamp_ntz") if raw in df.columns else (date_col, "date")
+    if as_of is None:
+        bound = df.agg(back(F.max(date_col)).cast(kind)).scalar()
+    else:
+        bound = back(as_of_col(as_of, df, date_col)).cast(kind)
+    return df.filter(F.col(column) >= bound)
 
 
-def last_days(df: DataFrame, date_col: str, as_of: Column, days: int) -> DataFrame:
-    return since(df, date_col, F.date_sub(as_of, days))
+def last_days(df: DataFrame, date_col: str, as_of: AsOf, days: int) -> DataFrame:
+    """Rows of the last ``days`` days, counted back from ``as_of`` or the latest date."""
+    return _since(df, date_col, as_of, lambda day: F.date_sub(day, days))
 
 
-def last_months(df: DataFrame, date_col: str, as_of: Column, months: int) -> DataFrame:
-    return since(df, date_col, F.add_months(as_of, -months))
+def last_months(df: DataFrame, date_col: str, as_of: AsOf, months: int) -> DataFrame:
+    return _since(df, date_col, as_of, lambda day: F.add_months(day, -months))
 
 
 def period_start(c: str | Column, level: str) -> Column:

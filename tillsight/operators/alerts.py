@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tillsight.functions.scalars import (
-    REALISED_STATUSES, AsOf, as_of_col, is_realised, last_days, money_sum)
+    REALISED_STATUSES, AsOf, is_realised, last_days, money_sum)
 from tillsight.operators.series import rolling_mean
 
 log = logging.getLogger(__name__)
@@ -17,8 +17,7 @@ log = logging.getLogger(__name__)
 def daily_revenue(orders: DataFrame, as_of: AsOf = None, days: int = 7,
                   statuses: Sequence[str] = REALISED_STATUSES) -> DataFrame:
     """Realised revenue of the last days that have orders."""
-    today = as_of_col(as_of, orders, "order_date")
-    return (last_days(orders, "order_date", today, days).filter(is_realised(statuses=statuses))
+    return (last_days(orders, "order_date", as_of, days).filter(is_realised(statuses=statuses))
             .groupBy("order_date").agg(money_sum("total_amount").alias("daily_revenue")))
 
 
@@ -48,7 +47,7 @@ def churn_alert(segments: DataFrame, above: float = 0.8, more_than: int = 50) ->
         F.count("*").alias("high_risk_count"))
     alert = F.col("high_risk_count") > more_than
     text = F.concat(F.lit("Churn Alert: "), F.col("high_risk_count").cast("string"),
-                    F.lit(" customers have >80% churn probability"))
+                    F.lit(f" customers have >{above:.0%} churn probability"))
     return counted.select(F.lit("High Churn Risk").alias("alert_type"), "high_risk_count",
                           alert.alias("is_alert"), F.when(alert, text).alias("message"))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 from statistics import fmean, pstdev
@@ -62,7 +62,7 @@ class TrainingData:
 
 def training_data(matrix: DataFrame, small_rows: int = SMALL_ROWS) -> TrainingData:
     """Split, pack and stage a feature matrix; scale by its training rows."""
-    parted = stratified_split(matrix, small_rows=small_rows)
+    parted = stratified_split(stage(matrix, "matrix"), small_rows=small_rows)
     packed = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(parted)
     rows = stage(packed.select("customer_id", F.col("churn_label").cast("double").alias("label"),
                                "features", "is_train", "fold"), "training")
@@ -167,12 +167,3 @@ def exact_auc(scored: DataFrame, label: str = "label", score: str = "score",
     return totals.agg((pairs.cast("double") / 2
                        / F.nullif(F.sum("pos").cast("double") * F.sum("neg").cast("double"), F.lit(0.0)))
                       .alias("auc"))
-
-
-def save_model(model: Model, path: str) -> None:
-    model.write().overwrite().save(path)
-
-
-def load_model(kind: Callable, path: str) -> Model:
-    """Read a saved model, given its class."""
-    return kind.load(path)

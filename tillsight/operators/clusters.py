@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
+from contextlib import contextmanager
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -45,14 +46,31 @@ def standardised(df: DataFrame, columns: Iterable[str] = CLUSTER_FEATURES, id_co
     return stage(scaler.transform(packed).select(id_col, "features"), "features")
 
 
-def fit_kmeans(features: DataFrame, k: int, seed: int = 42, n_init: int = 10,
-               parallelism: int = 4) -> KMeansModel:
-    """Best of ``n_init`` starts by training cost."""
-    def one(i: int) -> KMeansModel:
-        return KMeans(k=k, seed=seed + i, maxIter=300).fit(features)
+@contextmanager
+def in_memory(df: DataFrame):
+    """Hold ``df`` for several passes; lost blocks are read again from its source."""
+    if df.is_cached:
+        yield df
+        return
+    df.persist()
+    try:
+        yield df
+    finally:
+        df.unpersist()
 
-    with ThreadPool(min(parallelism, n_init)) as pool:
-        return min(pool.map(one, range(n_init)), key=lambda m: m.summary.trainingCost)
+
+def fit_kmeans(features: DataFrame, ks: Sequence[int], seed: int = 42, n_init: int = 10,
+               parallelism: int = 8) -> list[KMeansModel]:
+    """For each k the best of ``n_init`` starts by training cost; several fits run at a time."""
+    def one(task: tuple[int, int]) -> KMeansModel:
+        k, start = task
+        return KMeans(k=k, seed=seed + start, maxIter=300).fit(features)
+
+    tasks = [(k, start) for k in ks for start in range(n_init)]
+    with in_memory(features), ThreadPool(min(parallelism, len(tasks))) as pool:
+        fitted = pool.map(one, tasks, chunksize=1)
+    cost = lambda m: m.summary.trainingCost
+    return [min(fitted[i:i + n_init], key=cost) for i in range(0, len(tasks), n_init)]
 
 
 def silhouette(clustered: DataFrame) -> float:
@@ -60,27 +78,26 @@ def silhouette(clustered: DataFrame) -> float:
 
 
 def score_k(features: DataFrame, max_k: int = 10, seed: int = 42, n_init: int = 10,
-            parallelism: int = 4) -> list[tuple[int, float, float]]:
+            parallelism: int = 8) -> list[tuple[int, float, float]]:
     """(k, training cost, silhouette) for k = 2..max_k."""
-    scored = []
-    for k in range(2, max_k + 1):
-        model = fit_kmeans(features, k, seed, n_init, parallelism)
-        scored.append((k, model.summary.trainingCost, silhouette(model.transform(features))))
-    return scored
+    ks = range(2, max_k + 1)
+    with in_memory(features):
+        best = fit_kmeans(features, ks, seed, n_init, parallelism)
+        return [(k, m.summary.trainingCost, silhouette(m.transform(features))) for k, m in zip(ks, best)]
 
 
 def choose_k(features: DataFrame, max_k: int = 10, seed: int = 42, n_init: int = 10,
-             parallelism: int = 4) -> int:
+             parallelism: int = 8) -> int:
     """The number of clusters with the best silhouette."""
     return max(score_k(features, max_k, seed, n_init, parallelism), key=lambda r: r[2])[0]
 
 
 def cluster_customers(df: DataFrame, k: int | None = None, max_k: int = 10, seed: int = 42,
-                      n_init: int = 10, parallelism: int = 4) -> tuple[DataFrame, float]:
+                      n_init: int = 10, parallelism: int = 8) -> tuple[DataFrame, float]:
     """Add ``kmeans_cluster``; also returns the silhouette."""
     features = standardised(df)
     if k is None:
         k = choose_k(features, max_k, seed, n_init, parallelism)
-    found = fit_kmeans(features, k, seed, n_init, parallelism).transform(features)
+    found = fit_kmeans(features, [k], seed, n_init, parallelism)[0].transform(features)
     labels = found.select("customer_id", F.col("prediction").alias("kmeans_cluster"))
     return df.join(labels, "customer_id"), silhouette(found)

@@ -92,20 +92,22 @@ def holdout_split(features: DataFrame, train_share: float = 0.8) -> tuple[DataFr
 
 
 def random_forest(features: DataFrame, column: str = "revenue", horizon: int = 30, trees: int = 100,
-                  max_depth: int = 20, seed: int = 42, need: int = 50) -> tuple[DataFrame, DataFrame] | None:
+                  max_depth: int = 8, seed: int = 42, need: int = 50) -> tuple[DataFrame, DataFrame] | None:
     """Forecast from the last feature row, and hold-out errors.
 
     The same row is scored for every day ahead, so the forecast is flat.
-    Returns None for fewer than ``need`` complete rows.
+    Returns None for fewer than ``need`` complete rows.  The staged series is
+    one small file; it is spread out because every tree level scans it.
     """
     rows, n = holdout_split(features)
     if n < need:
         return None
     inputs = [c for c in features.columns if c not in (column, "ds")]
+    spread = features.sparkSession.sparkContext.defaultParallelism if n > 1000 else 1
     packed = VectorAssembler(inputCols=inputs, outputCol="x").transform(rows)
     model = RandomForestRegressor(
         featuresCol="x", labelCol=column, numTrees=trees, maxDepth=max_depth,
-        featureSubsetStrategy="all", seed=seed).fit(packed.filter("is_train"))
+        featureSubsetStrategy="all", seed=seed).fit(packed.filter("is_train").repartition(spread, "ds"))
     scored = model.transform(packed)
     errors = error_metrics(scored.filter("not is_train"), column, "prediction")
     last = scored.filter(F.col("_at") == n).select(F.col("ds").alias("last"), "prediction")

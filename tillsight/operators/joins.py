@@ -43,7 +43,7 @@ def realised_order_lines(customers: DataFrame, orders: DataFrame, items: DataFra
 def churn_order_lines(customers: DataFrame, orders: DataFrame, items: DataFrame,
                       products: DataFrame, statuses: Sequence[str] = CHURN_STATUSES) -> DataFrame:
     """As above with product columns, for sold, returned and cancelled orders."""
-    lines = left_join_many(items, products, "product_id")
+    lines = items.join(products, "product_id", "left")
     return realised_order_lines(customers, orders, lines, statuses)
 
 

@@ -82,8 +82,7 @@ def sales_trends(orders: DataFrame, period: str = "daily", as_of: AsOf = None,
     unit, span = TREND_SPAN[level]
     if lookback is not None:
         span = lookback
-    today = as_of_col(as_of, orders, "order_date")
-    recent = (last_days if unit == "days" else last_months)(orders, "order_date", today, span)
+    recent = (last_days if unit == "days" else last_months)(orders, "order_date", as_of, span)
     return (recent.filter(is_realised(statuses=statuses))
             .groupBy(period_start("order_date", level).alias("date"))
             .agg(money_sum("total_amount").alias("revenue"), F.count("*").alias("order_count"))
@@ -99,7 +98,7 @@ def product_ranking(orders: DataFrame, items: DataFrame, products: DataFrame,
     """
     sold = orders
     if days is not None:
-        sold = last_days(sold, "order_date", as_of_col(as_of, orders, "order_date"), days)
+        sold = last_days(sold, "order_date", as_of, days)
     sold = sold.filter(is_realised(statuses=statuses)).select("order_id")
     totals = (items.select("order_id", "product_id", "quantity", "unit_price", "total_price")
               .join(sold, "order_id")
@@ -164,8 +163,7 @@ def high_risk_customers(customers: DataFrame, segments: DataFrame, orders: DataF
 
 def recent_revenue(orders: DataFrame, as_of: AsOf = None, days: int = 30,
                    statuses: Sequence[str] = REALISED_STATUSES) -> DataFrame:
-    today = as_of_col(as_of, orders, "order_date")
-    return (last_days(orders, "order_date", today, days).filter(is_realised(statuses=statuses))
+    return (last_days(orders, "order_date", as_of, days).filter(is_realised(statuses=statuses))
             .agg(F.coalesce(money_sum("total_amount"), F.lit(0.0)).alias("revenue")))
 
 

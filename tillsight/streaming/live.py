@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tillsight.functions.scalars import flag, last_days, latest, money_sum
+from tillsight.functions.scalars import flag, last_days, money_sum
 from tillsight.operators.alerts import revenue_alert
 
 SALE = "purchase"
@@ -82,7 +82,7 @@ def watch_revenue(events: DataFrame, path: str, alerts_path: str, checkpoint: st
         spark = batch.sparkSession
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
         stored = current(spark, path, ["order_date"])
-        recent = last_days(stored, "order_date", latest(stored, "order_date"), days)
+        recent = last_days(stored, "order_date", None, days)
         fired = revenue_alert(recent).filter("is_alert")
         fired.write.mode("overwrite").parquet(f"{alerts_path}/batch={batch_id}")
 
