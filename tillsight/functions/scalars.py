@@ -80,8 +80,9 @@ def _since(df: DataFrame, date_col: str, as_of: AsOf, back: Callable[[Column], C
     """Rows from the day ``back(as_of)`` on, without upper bound.
 
     The bound is a single literal or a bare scalar subquery: both reach the
-    file scan as a filter.  Sources that store the date as a timestamp keep it
-    beside the date as ``<date_col>_ts``, and the bound is put on that column.
+    file scan as a filter, and with a DATE column row groups are skipped by it.
+    Sources that store the date as a timestamp keep it beside the date as
+    ``<date_col>_ts``, and the bound is put on that column instead of a cast.
     """
     raw = f"{date_col}_ts"
     column, kind = (raw, "timestamp_ntz") if raw in df.columns else (date_col, "date")

@@ -76,11 +76,14 @@ def watch_revenue(events: DataFrame, path: str, alerts_path: str, checkpoint: st
     """After every micro-batch, check the last days against their moving average.
 
     Days changed by the batch are stored first; the check reads back the stored
-    days, since a stream cannot look at its own earlier rows.
+    days, since a stream cannot look at its own earlier rows.  A batch without
+    changes raises nothing.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        spark, part = batch.sparkSession, f"{path}/batch={batch_id}"
+        batch.write.mode("overwrite").parquet(part)
+        if spark.read.schema(batch.schema).parquet(part).isEmpty():
+            return
         stored = current(spark, path, ["order_date"])
         recent = last_days(stored, "order_date", None, days)
         fired = revenue_alert(recent).filter("is_alert")
