@@ -90,10 +90,7 @@ _PRODUCT_SERIES = f"""
 def w8(t: Star) -> DataFrame:
     """Mean of the last week for every product."""
     daily = _sales(t).select("product_id", F.col("order_date").alias("ds"), "revenue")
-    from tillsight.operators.joins import calendar_fill
-
-    filled = calendar_fill(daily, "ds", ["revenue"], keys=["product_id"])
-    return forecast.recent_mean(filled, "revenue", 7, 30, ["product_id"])
+    return forecast.recent_mean(daily, "revenue", 7, 30, ["product_id"])
 
 
 @query("fc_lag_rolling_features", f"SELECT ds, {_LAGS}, {_ROLLING} FROM r_daily")

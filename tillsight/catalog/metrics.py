@@ -9,6 +9,7 @@ from tillsight.catalog.base import (
 from tillsight.functions.scalars import is_realised, latest, money_sum
 from tillsight.operators import churn as churn_ops, forecast, metrics, rfm, series
 from tillsight.catalog.relational import CATEGORY_TREND, _category_trend, _sales
+from tillsight.session import stage
 from tillsight.sources.star import Star
 
 _TODAY = "(SELECT d FROM r_today)"
@@ -266,8 +267,10 @@ def _bucket_sql(level: str, unit: str, step: str) -> str:
     _bucket_sql("daily", "day", "1 DAY"), _bucket_sql("weekly", "week", "7 DAY"),
     _bucket_sql("monthly", "month", "1 MONTH")]))
 def a21(t: Star) -> DataFrame:
-    sales = _sales(t)
-    parts = [series.time_series(sales, p).withColumn("level", F.lit(p))
+    # Weeks and months add up the staged days.
+    days = series.time_series(_sales(t), "daily", fill=False).withColumnRenamed("ds", "order_date")
+    days = stage(days, "days")
+    parts = [series.time_series(days, p).withColumn("level", F.lit(p))
              for p in ("daily", "weekly", "monthly")]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 

@@ -179,16 +179,18 @@ def p15(t: Star) -> DataFrame:
         F.coalesce(fn.iso_date("registration_date"), F.lit("N/A")).alias("registered"))
 
 
-@query("p16_display_formatting", """
-    SELECT order_id, '$' || format('{:,}', CAST(round(total_amount) AS BIGINT)) AS amount,
-           format('{:,}', order_id) AS number,
-           format('{:.1f}%', CAST(customer_id % 1000 AS DOUBLE) / 1000 * 100) AS share
-    FROM r_orders""")
+@query("p16_display_formatting", f"""
+    SELECT customer_id, '$' || format('{{:,}}', CAST(round({msum('total_amount')}) AS BIGINT)) AS spent,
+           format('{{:,}}', SUM(order_id)::BIGINT) AS number,
+           format('{{:.1f}}%', round(CAST(COUNT(*) FILTER (NOT {REALISED}) AS DOUBLE) / COUNT(*) * 100, 1)) AS risk
+    FROM r_orders GROUP BY 1""")
 def p16(t: Star) -> DataFrame:
-    return t.orders.select(
-        "order_id", fn.format_currency("total_amount").alias("amount"),
-        fn.format_count("order_id").alias("number"),
-        fn.format_percent((F.col("customer_id") % 1000).cast("double") / 1000).alias("share"))
+    """Amounts, counts and shares as they are printed."""
+    spent = t.orders.groupBy("customer_id").agg(
+        fn.money_sum("total_amount").alias("spent"), F.sum("order_id").alias("number"))
+    return spent.join(scores(t), "customer_id").select(
+        "customer_id", fn.format_currency("spent").alias("spent"), fn.format_count("number").alias("number"),
+        fn.format_percent("churn_probability").alias("risk"))
 
 
 # -- sorts, limits and set operations ----------------------------------------

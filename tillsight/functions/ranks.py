@@ -20,6 +20,9 @@ from tillsight.session import stage
 
 SMALL_ROWS = 1_000_000
 
+# Quantiles go to the driver, so they are given for so many groups at most.
+MAX_CELLS = 1_000
+
 # Quintile probabilities as numpy's linspace(0, 1, 6) gives them.
 QUINTILES = (0.0, 0.2, 0.4, 0.6000000000000001, 0.8, 1.0)
 
@@ -109,7 +112,9 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     up_to = stage(running_totals(counts, [F.col("_v").asc()], {"_upto": "_n"}, by=["_g", "_c"],
                                  rows=rows, small_rows=small_rows), "ranked")
     sizes = {(r["_g"], r["_c"]): r["n"] for r in
-             up_to.groupBy("_g", "_c").agg(F.sum("_n").alias("n")).collect()}
+             up_to.groupBy("_g", "_c").agg(F.sum("_n").alias("n")).limit(MAX_CELLS + 1).collect()}
+    if len(sizes) > MAX_CELLS:
+        raise ValueError(f"{len(sizes)} groups and columns; quantiles are returned for at most {MAX_CELLS}")
     hit = F.lit(False)
     for (g, c), n in sizes.items():
         at = {p for low, high, _ in _positions(n, probs) for p in (low, high)}

@@ -10,8 +10,8 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillsight.functions.scalars import cents, money_sum
-from tillsight.operators.joins import calendar_fill, restrict_to
-from tillsight.session import stage
+from tillsight.operators.joins import restrict_to
+from tillsight.session import spread, stage
 
 FORECAST_COLUMNS = ("product_id", "forecast_date", "predicted_sales", "confidence_interval_lower",
                     "confidence_interval_upper", "model_used")
@@ -46,13 +46,21 @@ def top_by_revenue(sales: DataFrame, limit: int = 10) -> DataFrame:
 
 def recent_mean(daily: DataFrame, column: str, size: int, more_than: int,
                 keys: Sequence[str]) -> DataFrame:
-    """Mean of the last ``size`` rows of each series longer than ``more_than`` rows."""
-    newest = Window.partitionBy(*keys).orderBy(F.col("ds").desc())
-    numbered = daily.withColumn("_back", F.row_number().over(newest))
-    tail = F.sum(F.when(F.col("_back") <= size, cents(column))) / F.lit(100.0) / size
-    return (numbered.groupBy(*keys)
-            .agg(tail.alias("moving_avg"), F.max("ds").alias("last"), F.count("*").alias("n"))
-            .filter(F.col("n") > more_than).drop("n"))
+    """Mean of the last ``size`` days of each series spanning more than ``more_than`` days.
+
+    ``daily`` holds the days with sales, once each.  Days without sales count
+    as 0, which needs their number only: no calendar grid is built.  Window and
+    totals use the same keys, so the rows are shuffled once.
+    """
+    last = F.max("ds").over(Window.partitionBy(*keys))
+    recent = F.col("ds") > F.date_sub("last", size)
+    return (daily.withColumn("last", last)
+            .groupBy(*keys)
+            .agg((F.coalesce(F.sum(F.when(recent, cents(column))), F.lit(0)) / F.lit(100.0) / size)
+                 .alias("moving_avg"),
+                 F.max("last").alias("last"),
+                 (F.datediff(F.max("ds"), F.min("ds")) + 1).alias("days"))
+            .filter(F.col("days") > more_than).drop("days"))
 
 
 def product_moving_average(sales: DataFrame, top_n: int | None = 10, horizon: int = 30,
@@ -65,8 +73,7 @@ def product_moving_average(sales: DataFrame, top_n: int | None = 10, horizon: in
     chosen = sales if top_n is None else restrict_to(sales, top_by_revenue(sales, top_n), "product_id")
     daily = (chosen.groupBy("product_id", F.col("order_date").alias("ds"))
              .agg(money_sum("revenue").alias("revenue")))
-    filled = calendar_fill(daily, "ds", ["revenue"], keys=["product_id"])
-    means = recent_mean(filled, "revenue", window, more_than, ["product_id"])
+    means = recent_mean(daily, "revenue", window, more_than, ["product_id"])
     return _ahead(means, "last", horizon).select(
         "product_id", "forecast_date", F.col("moving_avg").alias("predicted_revenue"),
         F.lit("Moving Average").alias("model_type"))
@@ -103,11 +110,10 @@ def random_forest(features: DataFrame, column: str = "revenue", horizon: int = 3
     if n < need:
         return None
     inputs = [c for c in features.columns if c not in (column, "ds")]
-    spread = features.sparkSession.sparkContext.defaultParallelism if n > 1000 else 1
     packed = VectorAssembler(inputCols=inputs, outputCol="x").transform(rows)
     model = RandomForestRegressor(
         featuresCol="x", labelCol=column, numTrees=trees, maxDepth=max_depth,
-        featureSubsetStrategy="all", seed=seed).fit(packed.filter("is_train").repartition(spread, "ds"))
+        featureSubsetStrategy="all", seed=seed).fit(spread(packed.filter("is_train")))
     scored = model.transform(packed)
     errors = error_metrics(scored.filter("not is_train"), column, "prediction")
     last = scored.filter(F.col("_at") == n).select(F.col("ds").alias("last"), "prediction")

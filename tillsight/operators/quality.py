@@ -82,26 +82,24 @@ def quality_report(tables: Mapping[str, DataFrame], as_of: Column,
                    checked_at: dt.datetime | Column | None = None) -> DataFrame:
     """All checks of all tables in long form, ready for the log table.
 
-    Each table is aggregated once for row, null and rule counts and once for
-    repeated rows.
+    Equal rows are brought together once, copies collapsing map-side; every
+    check is then a sum over the distinct rows weighted by their copies.
     """
     stamp = F.current_timestamp() if checked_at is None else F.lit(checked_at).cast("timestamp")
+    copies = F.col("_copies")
     parts = []
     for table, df in tables.items():
-        checks = {"total_records": F.count("*")}
-        checks |= {f"null_count:{f.name}": _count(_missing(f)) for f in df.schema.fields}
-        checks |= {n: _count(c) for n, c in table_rules(table, as_of).items()}
-        totals = df.agg(*[c.alias(n) for n, c in checks.items()])
-        records = F.col("total_records")
-        cells = [F.struct(F.lit(n).alias("check_type"),
-                          (F.lit(0) if n == "total_records" else F.col(f"`{n}`")).cast("bigint").alias("error_count"),
-                          records.alias("total_records")) for n in checks]
-        counted = totals.select(F.inline(F.array(*cells)))
-        copies = (df.groupBy(*df.columns).agg(F.count("*").alias("_n"))
-                  .agg(F.lit("duplicate_count").alias("check_type"),
-                       F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("error_count"),
-                       F.coalesce(F.sum("_n"), F.lit(0)).alias("total_records")))
-        parts.append(counted.unionByName(copies).withColumn("table_name", F.lit(table)))
+        broken = {f"null_count:{f.name}": _missing(f) for f in df.schema.fields}
+        broken |= table_rules(table, as_of)
+        checks = {n: F.sum(F.when(c, copies)) for n, c in broken.items()}
+        checks["duplicate_count"] = F.sum(copies - 1)
+        checks["total_records"] = F.lit(0)
+        counted = (df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+                   .agg(F.coalesce(F.sum(copies), F.lit(0)).alias("_rows"),
+                        *[F.coalesce(c, F.lit(0)).cast("bigint").alias(n) for n, c in checks.items()]))
+        cells = [F.struct(F.lit(n).alias("check_type"), F.col(f"`{n}`").alias("error_count"),
+                          F.col("_rows").alias("total_records")) for n in checks]
+        parts.append(counted.select(F.inline(F.array(*cells))).withColumn("table_name", F.lit(table)))
     report = parts[0]
     for part in parts[1:]:
         report = report.unionByName(part)

@@ -12,7 +12,7 @@ from tillsight.plans.churn import run_churn
 from tillsight.plans.etl import run_etl
 from tillsight.plans.forecasting import run_forecasting
 from tillsight.plans.segmentation import run_segmentation
-from tillsight.session import tune
+from tillsight.session import clear_scratch, tune
 from tillsight.sources import readers, writers
 
 MODES = ("full", "etl", "analytics", "reports")
@@ -76,6 +76,7 @@ def main() -> None:
     args = parser.parse_args()
     spark = SparkSession.builder.appName("tillsight").getOrCreate()
     run(spark, args.in_dir, args.out_dir, args.as_of, args.mode)
+    clear_scratch(spark)
 
 
 if __name__ == "__main__":

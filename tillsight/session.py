@@ -47,9 +47,28 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_scratch[context.applicationId]
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/tillsight/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/tillsight/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, in this application's part of it."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application staged; frames read from it end with it."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a part of a small staged table that is scanned many times.
+
+    A table with at least one file split per core is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
