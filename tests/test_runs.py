@@ -4,8 +4,6 @@ import datetime as dt
 
 import pytest
 from pyspark.errors import AnalysisException
-from pyspark.sql import functions as F
-
 from tillsight import session
 from tillsight.catalog.etl import _raw_shape
 from tillsight.operators import metrics

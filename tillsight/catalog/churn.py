@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from tillsight.catalog import base
 from tillsight.catalog.base import even, query, rounded, scores, segments
-from tillsight.functions.scalars import latest, risk_category
-from tillsight.operators import churn, churn_models as models, joins
+from tillsight.functions.scalars import latest
+from tillsight.operators import churn, churn_models as models
+from tillsight.operators.clusters import fill_with_median
 from tillsight.plans import churn as plan
 from tillsight.session import scratch_path
 from tillsight.sources import writers
@@ -92,8 +93,6 @@ def ch_features(t: Star) -> DataFrame:
 
 @query("ch_median_fill", f"SELECT customer_id, {', '.join(churn.NUMERIC_FEATURES)} FROM r_churn_matrix")
 def ch_median_fill(t: Star) -> DataFrame:
-    from tillsight.operators.clusters import fill_with_median
-
     filled = fill_with_median(_features(t), churn.NUMERIC_FEATURES)
     return filled.select("customer_id", *churn.NUMERIC_FEATURES)
 

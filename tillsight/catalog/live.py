@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tillsight.catalog.base import REALISED, big, msum, query, scores, segments
+from tillsight.catalog.base import REALISED, msum, query, scores
 from tillsight.operators import alerts
 from tillsight.session import scratch_path
 from tillsight.sources.star import Star

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tillsight.catalog.base import (
-    REALISED, big, churn, even, labelled, mavg, msum, query, rounded, scores, segments)
+    REALISED, churn, even, labelled, msum, query, rounded, scores)
 from tillsight.functions import scalars as fn
-from tillsight.operators import churn as churn_ops, forecast, joins, metrics, rfm, series
+from tillsight.operators import churn as churn_ops, forecast, joins, series
 from tillsight.sources.star import Star
 
 _TODAY = "(SELECT d FROM r_today)"

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tillsight.catalog.base import _Q, even, labelled, mavg, quintile, query, segment_base, segments
-from tillsight.functions.ranks import rank_first
+from tillsight.catalog.base import even, labelled, query, segment_base
+from tillsight.functions.ranks import exact_quantiles, rank_first
 from tillsight.operators import clusters, rfm
 from tillsight.plans import segmentation as plan
+from tillsight.session import stage
 from tillsight.sources.star import Star
 
 
@@ -31,9 +32,6 @@ def w7(t: Star) -> DataFrame:
     FROM r_clv""")
 def w9(t: Star) -> DataFrame:
     """Latest date, mean lifespan and exact medians in one row."""
-    from tillsight.functions.ranks import exact_quantiles
-    from tillsight.session import stage
-
     base = stage(segment_base(t), "scalars")
     medians = exact_quantiles(base, ["total_spent", "age"], (0.5,))
     span = F.datediff("last_order_date", "first_order_date")

@@ -93,8 +93,8 @@ class Star:
         return (self.raw("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
                 .select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("campaign_id"),
                         F.col("o_orderpriority").alias("campaign_type"),
-                        F.col("o_orderdate").cast("string").alias("start_date"),
-                        F.col("l_shipdate").cast("string").alias("end_date"),
+                        F.col("o_orderdate").cast("date").alias("start_date"),
+                        F.col("l_shipdate").cast("date").alias("end_date"),
                         (F.col("l_extendedprice") - 2000).alias("budget"),
                         F.col("l_returnflag").alias("target_segment"),
                         F.col("l_discount").alias("conversion_rate"),
