@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 from pyspark.errors import AnalysisException
+
 from tillsight import session
 from tillsight.catalog.etl import _raw_shape
 from tillsight.operators import metrics

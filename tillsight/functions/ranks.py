@@ -58,8 +58,11 @@ def running_totals(df: DataFrame, order: Sequence[Column], totals: dict[str, str
     within = (Window.partitionBy("_part", *by).orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = placed.select("*", *[F.sum(s).over(within).alias(f"_l_{n}") for n, s in totals.items()])
+    if not by:
+        # One row per partition; with groups the size is left to Catalyst's check.
+        offsets = F.broadcast(offsets)
     same = [local[c].eqNullSafe(offsets[c]) for c in ("_part", *by)]
-    return (local.join(F.broadcast(offsets), same)
+    return (local.join(offsets, same)
             .select(*[local[c] for c in df.columns], *[(F.col(f"_l_{n}") + F.col(f"_o_{n}")).alias(n) for n in totals]))
 
 
@@ -108,13 +111,13 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     counts = (df.select(group.alias("_g"), cells.alias("_x")).select("_g", "_x._c", "_x._v")
               .filter(F.col("_v").isNotNull())
               .groupBy("_g", "_c", "_v").agg(F.count("*").alias("_n")))
-    counts = counts.withColumn("_g", F.coalesce("_g", F.lit("\0")))
-    up_to = stage(running_totals(counts, [F.col("_v").asc()], {"_upto": "_n"}, by=["_g", "_c"],
-                                 rows=rows, small_rows=small_rows), "ranked")
+    counts = stage(counts.withColumn("_g", F.coalesce("_g", F.lit("\0"))), "counts")
     sizes = {(r["_g"], r["_c"]): r["n"] for r in
-             up_to.groupBy("_g", "_c").agg(F.sum("_n").alias("n")).limit(MAX_CELLS + 1).collect()}
+             counts.groupBy("_g", "_c").agg(F.sum("_n").alias("n")).limit(MAX_CELLS + 1).collect()}
     if len(sizes) > MAX_CELLS:
-        raise ValueError(f"{len(sizes)} groups and columns; quantiles are returned for at most {MAX_CELLS}")
+        raise ValueError(f"quantiles are returned for at most {MAX_CELLS} groups and columns")
+    up_to = stage(running_totals(counts, [F.col("_v").asc()], {"_upto": "_n"}, by=["_g", "_c"],
+                                 rows=rows, small_rows=small_rows), "ranked")
     hit = F.lit(False)
     for (g, c), n in sizes.items():
         at = {p for low, high, _ in _positions(n, probs) for p in (low, high)}

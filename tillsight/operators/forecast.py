@@ -113,7 +113,7 @@ def random_forest(features: DataFrame, column: str = "revenue", horizon: int = 3
     packed = VectorAssembler(inputCols=inputs, outputCol="x").transform(rows)
     model = RandomForestRegressor(
         featuresCol="x", labelCol=column, numTrees=trees, maxDepth=max_depth,
-        featureSubsetStrategy="all", seed=seed).fit(spread(packed.filter("is_train")))
+        featureSubsetStrategy="all", maxMemoryInMB=64, seed=seed).fit(spread(packed.filter("is_train")))
     scored = model.transform(packed)
     errors = error_metrics(scored.filter("not is_train"), column, "prediction")
     last = scored.filter(F.col("_at") == n).select(F.col("ds").alias("last"), "prediction")
