@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 from tillsight.functions.ranks import SMALL_ROWS, running_totals
 from tillsight.functions.scalars import risk_category
 from tillsight.operators.churn import FEATURES, stratified_split
-from tillsight.session import spread, stage
+from tillsight.session import stage
 
 RANDOM_FOREST, GRADIENT_BOOSTING, LOGISTIC = (
     "Random Forest", "Gradient Boosting", "Logistic Regression")
@@ -64,9 +64,9 @@ def training_data(matrix: DataFrame, small_rows: int = SMALL_ROWS) -> TrainingDa
     """Split, pack and stage a feature matrix; scale by its training rows."""
     parted = stratified_split(stage(matrix, "matrix"), small_rows=small_rows)
     packed = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(parted)
-    rows = spread(stage(packed.select(
+    rows = stage(packed.select(
         "customer_id", F.col("churn_label").cast("double").alias("label"), "features", "is_train", "fold"),
-        "training"))
+        "training")
     train = rows.filter("is_train")
     scaler = StandardScaler(withMean=True, inputCol="features", outputCol="scaled").fit(train)
     return TrainingData(rows, train.count(), scaler)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillsight.functions.scalars import cents, money_sum
 from tillsight.operators.joins import restrict_to
-from tillsight.session import spread, stage
+from tillsight.session import stage
 
 FORECAST_COLUMNS = ("product_id", "forecast_date", "predicted_sales", "confidence_interval_lower",
                     "confidence_interval_upper", "model_used")
@@ -103,8 +103,7 @@ def random_forest(features: DataFrame, column: str = "revenue", horizon: int = 3
     """Forecast from the last feature row, and hold-out errors.
 
     The same row is scored for every day ahead, so the forecast is flat.
-    Returns None for fewer than ``need`` complete rows.  The staged series is
-    one small file; it is spread out because every tree level scans it.
+    Returns None for fewer than ``need`` complete rows.
     """
     rows, n = holdout_split(features)
     if n < need:
@@ -113,7 +112,7 @@ def random_forest(features: DataFrame, column: str = "revenue", horizon: int = 3
     packed = VectorAssembler(inputCols=inputs, outputCol="x").transform(rows)
     model = RandomForestRegressor(
         featuresCol="x", labelCol=column, numTrees=trees, maxDepth=max_depth,
-        featureSubsetStrategy="all", maxMemoryInMB=64, seed=seed).fit(spread(packed.filter("is_train")))
+        featureSubsetStrategy="all", maxMemoryInMB=128, seed=seed).fit(packed.filter("is_train"))
     scored = model.transform(packed)
     errors = error_metrics(scored.filter("not is_train"), column, "prediction")
     last = scored.filter(F.col("_at") == n).select(F.col("ds").alias("last"), "prediction")

@@ -62,15 +62,6 @@ def clear_scratch(spark: SparkSession) -> None:
     root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a part of a small staged table that is scanned many times.
-
-    A table with at least one file split per core is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of the copy.
 
