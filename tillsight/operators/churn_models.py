@@ -23,7 +23,7 @@ RANDOM_FOREST, GRADIENT_BOOSTING, LOGISTIC = (
     "Random Forest", "Gradient Boosting", "Logistic Regression")
 
 
-def estimators(train_rows: int, seed: int = 42, trees: int = 100, max_depth: int = 12,
+def estimators(train_rows: int, seed: int = 42, trees: int = 100, max_depth: int = 10,
                rounds: int = 100) -> dict[str, Estimator]:
     """The three classifiers.
 
