@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillsight.llm import quality_classifier, simhash
-from tillsight.llm.tables import read
+from tillsight.llm import mixing, quality_classifier, sharding, simhash
+from tillsight.llm.tables import read, utf8_size
 
 
 def held_out(doc_id):
@@ -18,6 +18,18 @@ def quality_model(spark: SparkSession, docs: DataFrame, folder: str) -> quality_
     return quality_classifier.fit(docs, labels)
 
 
+def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").withColumn("size", utf8_size(F.col("text")) + 1)
+    docs = docs.withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
+    placed = sharding.shards(docs, 8, keep=["doc_id", "size", "text_crc32"])
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(read(spark, folder, "documents").select("doc_id", "source"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_copies(read(spark, folder, "documents"), shingle=4, max_bits=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -31,5 +43,5 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-QUERIES = {f.__name__: f for f in (op8_simhash_near_dedup, op10_quality_classifier)}
+QUERIES = {f.__name__: f for f in (op3_sharding, op6_mixing, op8_simhash_near_dedup, op10_quality_classifier)}
 SQL: dict[str, str] = {}
