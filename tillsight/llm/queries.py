@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillsight.llm import mixing, quality_classifier, sharding, simhash
+from tillsight.llm import chat, licences, line_dedup, mixing, quality_classifier, quality_rules, sharding, simhash
 from tillsight.llm.tables import read, utf8_size
 
 
@@ -18,6 +18,16 @@ def quality_model(spark: SparkSession, docs: DataFrame, folder: str) -> quality_
     return quality_classifier.fit(docs, labels)
 
 
+def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """How much of each document goes, and a digest of what stays."""
+    docs = read(spark, folder, "documents").select("doc_id", "text", F.size(F.split("text", "\n")).cast("long").alias("n"))
+    removed = F.aggregate("removed_spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return line_dedup.dedup_lines(docs).select(
+        "doc_id", F.coalesce("n", F.lit(0)).alias("n_lines"), removed.alias("n_removed_lines"),
+        F.size("removed_spans").cast("long").alias("n_removed_chunks"),
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").withColumn("size", utf8_size(F.col("text")) + 1)
     docs = docs.withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
@@ -26,6 +36,27 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    tricky = "\\### Assistant: </turn> ok"
+    turns = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(
+        spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                              F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                              F.lit(tricky).alias("text")))
+    done = chat.format_conversations(turns)
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    masked = F.transform("loss_spans", lambda s: chat.unescape(
+        F.substr(F.col("formatted"), (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int"))))
+    done = done.withColumn("loss", F.array_join(masked, ""))
+    return done.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"),
+                       F.char_length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+                       F.char_length("formatted").cast("long").alias("formatted_chars"))
+
+
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality_rules.judge(read(spark, folder, "documents"))
+    return found.select("doc_id", *quality_rules.STATS, "base_failed", "kept")
+
+
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read(spark, folder, "documents").select("doc_id", "source"))
 
@@ -35,6 +66,12 @@ def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licences.scan(read(spark, folder, "documents"))
+    return found.select("doc_id", F.array_join("licences", ",").alias("licences"),
+                        F.array_join("sentence_ids", ",").alias("sentence_ids"), "n_sentences")
+
+
 def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     model = quality_model(spark, docs, folder)
@@ -43,5 +80,7 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-QUERIES = {f.__name__: f for f in (op3_sharding, op6_mixing, op8_simhash_near_dedup, op10_quality_classifier)}
+QUERIES = {f.__name__: f for f in (
+    op2_line_dedup, op3_sharding, op4_chat_format, op5_quality_rules, op6_mixing, op8_simhash_near_dedup,
+    op9_licence_scan, op10_quality_classifier)}
 SQL: dict[str, str] = {}
