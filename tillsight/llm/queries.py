@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillsight.llm import chat, licences, line_dedup, mixing, quality_classifier, quality_rules, sharding, simhash
+from tillsight.llm import chat, decontaminate, licences, line_dedup, mixing, quality_classifier, quality_rules, sharding, simhash
 from tillsight.llm.tables import read, utf8_size
 
 
@@ -18,6 +18,11 @@ def quality_model(spark: SparkSession, docs: DataFrame, folder: str) -> quality_
     return quality_classifier.fit(docs, labels)
 
 
+def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.matches(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+    return found.drop("key")
+
+
 def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """How much of each document goes, and a digest of what stays."""
     docs = read(spark, folder, "documents").select("doc_id", "text", F.size(F.split("text", "\n")).cast("long").alias("n"))
@@ -81,6 +86,6 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_line_dedup, op3_sharding, op4_chat_format, op5_quality_rules, op6_mixing, op8_simhash_near_dedup,
-    op9_licence_scan, op10_quality_classifier)}
+    op1_decontaminate, op2_line_dedup, op3_sharding, op4_chat_format, op5_quality_rules, op6_mixing,
+    op8_simhash_near_dedup, op9_licence_scan, op10_quality_classifier)}
 SQL: dict[str, str] = {}
