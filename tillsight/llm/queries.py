@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillsight.llm import chat, decontaminate, licences, line_dedup, mixing, quality_classifier, quality_rules, sharding, simhash
+from tillsight.llm import (
+    chat, decontaminate, licences, line_dedup, mixing, quality_classifier, quality_rules, sharding, simhash, suffix_dedup,
+)
 from tillsight.llm.tables import read, utf8_size
 
 
@@ -66,6 +68,13 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(read(spark, folder, "documents").select("doc_id", "source"))
 
 
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    done = suffix_dedup.without_repeats(read(spark, folder, "documents"), 100)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["b"] - s["a"])
+    return done.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_copies(read(spark, folder, "documents"), shingle=4, max_bits=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -87,5 +96,5 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate, op2_line_dedup, op3_sharding, op4_chat_format, op5_quality_rules, op6_mixing,
-    op8_simhash_near_dedup, op9_licence_scan, op10_quality_classifier)}
+    op7_suffix_dedup, op8_simhash_near_dedup, op9_licence_scan, op10_quality_classifier)}
 SQL: dict[str, str] = {}
