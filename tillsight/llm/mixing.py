@@ -6,8 +6,8 @@ with the earliest deadline goes, ties by source.  As weights add up to the frame
 repeats with each frame, so only one frame is worked out; its table has ``frame`` rows whatever the size of the corpus.
 In every prefix of the mix a source is less than one document away from its weight.
 
-The mix ends with the first frame in which every source has been used once in full; sources that run out earlier begin
-again (epoch 1, 2, ...).  So no document is lost, and the rows of the mix have the target weights.
+The mix ends with the slot by which every source has been used once in full; sources that run out earlier begin again
+(epoch 1, 2, ...).  So no document is lost, and the rows of the mix have the target weights.
 
 Within a source the order is that of a hash of the id.  Defined results: rows without source form one source; rows
 without id, null texts and repeated rows are mixed like others; a weight that is not given, or not above zero, counts as
@@ -91,19 +91,21 @@ def _placed(docs: DataFrame, weights: DataFrame | None, id_col: str, source_col:
     counts = filled.groupBy("g").agg(F.sum("c").alias("n")).select(source, "n")
     frame = max(frame, 2 * counts.count())
     plan = edf_frame(quotas(counts, tempered(counts) if weights is None else weights, frame), frame)
-    frames = F.max(F.ceil(F.col("n") / F.col("m"))).over(
-        Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    plan = stage(plan.withColumn("frames", frames).withColumn(
+    used_up = (F.floor((F.col("n") - 1) / F.col("m")) * frame + F.get("slots", F.pmod(F.col("n") - 1, F.col("m")).cast("int"))
+               + 1)
+    end = F.max(used_up).over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    plan = stage(plan.withColumn("end", end).withColumn(
         "g", F.when(F.col("source").isNull(), "null").otherwise(F.concat(F.lit("="), "source"))).drop("source"), "frame")
     plan = filled.select("g", "bucket", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("skip")).join(plan, "g")
     inside = Window.partitionBy("g", "bucket").orderBy("h")
     numbered = rows.withColumn("k", F.row_number().over(inside) - 1)
     joined = numbered.join(plan, ["g", "bucket"]).withColumn("k", F.col("k") + F.col("skip"))
-    last = F.floor((F.col("frames") * F.col("m") - 1 - F.col("k")) / F.col("n"))
+    last = F.floor((F.ceil(F.col("end") / frame) * F.col("m") - 1 - F.col("k")) / F.col("n"))
     epochs = joined.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     at = F.col("k") + F.col("epoch") * F.col("n")
     slot = F.floor(at / F.col("m")) * frame + F.get("slots", F.pmod(at, F.col("m")).cast("int"))
-    return epochs.select("row", F.col("epoch").cast("int").alias("epoch"), slot.cast("long").alias("slot"))
+    epochs = epochs.select("row", F.col("epoch").cast("int").alias("epoch"), slot.cast("long").alias("slot"), "end")
+    return epochs.filter(F.col("slot") < F.col("end")).drop("end")
 
 
 def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id", source_col: str = "source",
