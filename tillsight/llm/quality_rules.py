@@ -28,7 +28,8 @@ REPEAT = 5  # words in a window
 SUBSET = 0.75
 STEPS = 6
 LEAST = 60
-CUT = 40.0
+CUT = 11.143  # fixed value: 0.975 quantile of chi-square with four degrees of freedom, the customary limit
+BROADCAST = 10_000  # tables with one row for each group are broadcast up to so many groups, which are counted
 GRID = 200  # grid steps per unit
 
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -136,9 +137,10 @@ def _moments(rows: DataFrame) -> DataFrame:
                                  *[exact(v[i] * v[j]).alias(f"s{i}{j}") for i in k for j in range(i + 1)])
 
 
-def mcd(rows: DataFrame) -> DataFrame:
+def mcd(rows: DataFrame, groups: int) -> DataFrame:
     """(g, centre, Cholesky factor) by concentration steps over rows (g, vector), staged by the caller."""
     k = range(len(VECTOR))
+    small = F.broadcast if groups <= BROADCAST else (lambda table: table)
     medians = None
     for c in VECTOR:
         grid = rows.select("g", F.floor(F.col(c) * GRID).alias(c))
@@ -149,11 +151,11 @@ def mcd(rows: DataFrame) -> DataFrame:
                                *[F.lit(floors[i] if i == j else 0.0).alias(f"l{i}{j}") for i in k for j in range(i + 1)]),
                 "fit")
     for _ in range(STEPS):
-        near = rows.join(fit, "g")
+        near = rows.join(small(fit), "g")
         near = near.select("g", *VECTOR, _distance([F.col(c) for c in VECTOR], near).alias("d"))
         near = near.withColumn("at", F.floor(F.log(F.col("d") + 1e-6) * GRID))
         limit = _grid_quantile(near.select("g", "at"), "at", SUBSET).withColumnRenamed("at", "limit")
-        inside = near.join(limit, "g").filter("at <= `limit`")
+        inside = near.join(small(limit), "g").filter("at <= `limit`")
         fit = stage(_factored(_moments(inside)), "fit")
     return fit
 
@@ -175,14 +177,16 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
                           .when(F.sum("n").over(by_lang) >= LEAST, F.struct("lang", F.lit("*").alias("source")))
                           .otherwise(F.struct(F.lit("*").alias("lang"), F.lit("*").alias("source"))).alias("takes"))
     groups = stage(groups, "groups")
+    count = groups.count()
+    small = F.broadcast if count <= BROADCAST else (lambda table: table)
     # A row counts for its own group, its language and all: each level is fitted once.
     levels = F.explode(F.array(F.struct("lang", "source"), F.struct("lang", F.lit("*").alias("source")),
                                F.struct(F.lit("*").alias("lang"), F.lit("*").alias("source"))))
     needed = groups.select(F.col("takes").alias("g")).distinct()
-    counts = passed.select(levels.alias("g"), *VECTOR).join(needed, "g", "left_semi")
-    fit = mcd(stage(counts, "levels"))
+    counts = passed.select(levels.alias("g"), *VECTOR).join(small(needed), "g", "left_semi")
+    fit = mcd(stage(counts, "levels"), count)
     fitted = groups.join(fit, groups["takes"] == fit["g"]).drop("takes", "g")
-    joined = rows.join(fitted, ["lang", "source"], "left")
+    joined = rows.join(small(fitted), ["lang", "source"], "left")
     distance = _distance([F.col(c) for c in VECTOR], joined)
     kept = F.when(F.col("base_failed"), False).otherwise(F.coalesce(distance <= CUT, F.lit(True)))
     return joined.select(F.col("id").alias(id_col), *STATS, "base_failed", distance.alias("distance"), kept.alias("kept"))

@@ -97,4 +97,64 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate, op2_line_dedup, op3_sharding, op4_chat_format, op5_quality_rules, op6_mixing,
     op7_suffix_dedup, op8_simhash_near_dedup, op9_licence_scan, op10_quality_classifier)}
-SQL: dict[str, str] = {}
+_OP2 = """
+WITH d AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+h AS (SELECT doc_id, ls, list_transform(ls, lambda x: md5(x)) AS hs FROM d),
+c AS (SELECT doc_id, ls, list_filter(range(1, len(ls)), lambda i: right(md5(hs[i] || hs[i + 1]), 1) IN ('0', '4', '8', 'c')) AS cuts
+      FROM h),
+z AS (SELECT doc_id, ls, unnest(list_zip(list_concat([0], cuts), list_concat(cuts, [len(ls)]))) AS s FROM c),
+k AS (SELECT doc_id, s[1] AS a, s[2] AS b, array_to_string(ls[s[1] + 1:s[2]], chr(10)) AS chunk FROM z WHERE s[2] - s[1] >= 2),
+gone AS (SELECT doc_id, a, b FROM k QUALIFY row_number() OVER (PARTITION BY chunk ORDER BY doc_id, a) > 1),
+cut AS (SELECT doc_id, sum(b - a) AS lines, count(*) AS chunks FROM gone GROUP BY doc_id),
+line AS (SELECT doc_id, unnest(range(0, len(ls))) AS i, unnest(ls) AS line FROM d),
+kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text FROM line
+         WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.doc_id = line.doc_id AND a <= i AND i < b) GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN 0 ELSE len(ls) END::BIGINT AS n_lines, coalesce(lines, 0)::BIGINT AS n_removed_lines,
+       coalesce(chunks, 0)::BIGINT AS n_removed_chunks, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+_OP4 = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, unnest([0, 1]), unnest(['user', 'assistant']), '\### Assistant: </turn> ok'),
+e AS (SELECT *, replace(replace(text, '</turn>', '\t'), '### ', '\h') AS controls,
+             replace(replace(replace(text, '\', '\b'), '</turn>', '\t'), '### ', '\h') AS everything,
+             replace(replace(replace(replace(role, '\', '\b'), '</turn>', '\t'), '### ', '\h'), ':', '\c') AS r FROM t),
+f AS (SELECT *, CASE
+        WHEN NOT contains(text, '</turn>') AND NOT contains(text, '### ')
+             AND NOT regexp_matches(text, '\\[thb]') THEN text
+        WHEN replace(replace(replace(controls, '\t', '</turn>'), '\h', '### '), '\b', '\') = text
+             AND NOT contains(controls, '</turn>') AND NOT contains(controls, '### ') THEN controls
+        ELSE everything END AS escaped FROM e)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length('### ' || r || ': ' || escaped || '</turn>' || chr(10)))::BIGINT AS formatted_chars
+FROM f GROUP BY conv_id
+"""
+
+
+def _op9() -> str:
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    known = ", ".join(f"({quoted(t)}, {quoted(i)})" for i, texts in licences.SENTENCES.items() for t in texts)
+    listed = [(name, "".join(f"{i} " for i in ids)) for name, ids in licences.rules()]
+    pattern = "|".join(f"({ids})" for _, ids in listed)
+    names = ", ".join(f"{quoted(ids)}: {quoted(name)}" for name, ids in listed)
+    return f"""
+WITH known(sentence, ident) AS (VALUES {known}),
+p AS (SELECT doc_id, regexp_split_to_array(coalesce(text, ''), '[.!?;:][ \\t\\r\\f]+|\\n') AS parts FROM documents),
+s AS (SELECT doc_id, unnest(range(0, len(parts))) AS i,
+             trim(regexp_replace(lower(unnest(parts)), '[^a-z0-9]+', ' ', 'g')) AS sentence FROM p),
+f AS (SELECT doc_id, count(*) FILTER (s.sentence <> '') AS n,
+             list(ident ORDER BY i) FILTER (ident IS NOT NULL) AS ids
+      FROM s LEFT JOIN known USING (sentence) GROUP BY doc_id)
+SELECT doc_id, coalesce(array_to_string(list_transform(regexp_extract_all(array_to_string(ids, ' ') || ' ', '{pattern}'),
+                        lambda m: MAP {{{names}}}[m]), ','), '') AS licences,
+       coalesce(array_to_string(ids, ','), '') AS sentence_ids, n::BIGINT AS n_sentences FROM f
+"""
+
+
+# The other queries rest on hash functions, random walks, schedules or fitted models that SQL has no way to state; tests
+# compare them with brute force, exact round trips and held-out labels.
+SQL = {"op2_line_dedup": _OP2, "op4_chat_format": _OP4, "op9_licence_scan": _op9()}
