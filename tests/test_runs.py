@@ -118,7 +118,55 @@ def test_updates_keep_the_newest_row(spark, tmp_path):
     for n, v in ((1, 10.0), (2, 5.0)):
         spark.createDataFrame(events(n, v), schema).write.mode("append").parquet(f"{folder}/events.parquet")
         windows = live.trend_windows(Star(spark, folder).event_stream(), "1 hour")
-        live.write_updates(windows, f"{tmp_path}/rows", f"{tmp_path}/state", once=True).awaitTermination()
-    got = live.current(spark, f"{tmp_path}/rows", ["window_start"]).collect()
+        live.write_updates(windows, f"{tmp_path}/rows", f"{tmp_path}/state", ["window_start"], once=True).awaitTermination()
+    got = live.current(spark, f"{tmp_path}/rows").collect()
     assert [(r.revenue, r.order_count) for r in got] == [(15.0, 2)]
-    assert spark.read.parquet(f"{tmp_path}/rows").count() == 2
+
+
+SALES = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+
+
+def test_late_events_count(spark, tmp_path):
+    """Three batches out of order give the windows and days of one."""
+    folder = f"{tmp_path}/in"
+    times = [dt.datetime(2024, 1, 2, 12), dt.datetime(2024, 1, 1, 12), dt.datetime(2024, 1, 1, 13)]
+    for n, at in enumerate(times):
+        spark.createDataFrame([(n, at, 1, "purchase", 1.0 + n, "")], SALES).write.mode("append").parquet(
+            f"{folder}/events.parquet")
+        stream = Star(spark, folder).event_stream()
+        live.write_updates(live.trend_windows(stream), f"{tmp_path}/hours", f"{tmp_path}/a", ["window_start"],
+                           once=True).awaitTermination()
+        live.watch_revenue(stream, f"{tmp_path}/days", f"{tmp_path}/alerts", f"{tmp_path}/b", once=True).awaitTermination()
+    hours = {(r.window_start, r.revenue) for r in live.current(spark, f"{tmp_path}/hours").collect()}
+    assert hours == {(at, 1.0 + n) for n, at in enumerate(times)}
+    days = {(r.order_date, r.daily_revenue) for r in live.current(spark, f"{tmp_path}/days").collect()}
+    assert days == {(dt.date(2024, 1, 2), 1.0), (dt.date(2024, 1, 1), 5.0)}
+    assert len([p for p in (tmp_path / "days").iterdir() if p.name.startswith("batch=")]) <= 2
+
+
+def test_days_follow_the_session_time_zone(spark, tmp_path):
+    folder = f"{tmp_path}/in"
+    rows = [(n, dt.datetime(2024, 1, 2, hour), 1, "purchase", 1.0, "") for n, hour in enumerate((12, 20))]
+    spark.createDataFrame(rows, SALES).write.parquet(f"{folder}/events.parquet")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        live.watch_revenue(Star(spark, folder).event_stream(), f"{tmp_path}/days", f"{tmp_path}/alerts",
+                           f"{tmp_path}/state", once=True).awaitTermination()
+        got = live.current(spark, f"{tmp_path}/days").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [(r.order_date, r.daily_revenue) for r in got] == [(dt.date(2024, 1, 2), 2.0)]
+
+
+def test_csv_columns_go_by_name(spark, tmp_path):
+    (tmp_path / "order_items.csv").write_text(
+        "order_item_id,product_id,order_id,quantity,unit_price,total_price\n1,20,300,x,1.50,3.00\n")
+    row = readers.read_raw_csv(spark, str(tmp_path), ["order_items"])["order_items"].first()
+    assert (row.product_id, row.order_id, row.quantity, row.bad_values) == (20, 300, None, 1)
+
+
+def test_short_series_give_empty_forecasts(spark):
+    from tillsight.operators import forecast
+    series = spark.createDataFrame([(dt.date(2024, 1, 1), 1.0, 2.0)], "ds date, revenue double, x double")
+    ahead, errors = forecast.random_forest(series)
+    assert ahead.count() == 0 and errors.count() == 0

@@ -45,25 +45,8 @@ def _matrix(t: Star) -> DataFrame:
     return churn.feature_matrix(_features(t))
 
 
-# Training data and fitted models of a session, so that the queries on them
-# (scores, importances, quality) train once.
-_trained: dict[tuple, tuple] = {}
-
-
 def _data(t: Star) -> models.TrainingData:
-    key = (t.spark.sparkContext.applicationId, t.folder)
-    if key not in _trained:
-        _trained[key] = (models.training_data(_matrix(t)), {})
-    return _trained[key][0]
-
-
-def _model(t: Star, *names: str) -> dict:
-    data = _data(t)
-    held = _trained[(t.spark.sparkContext.applicationId, t.folder)][1]
-    missing = tuple(n for n in names if n not in held)
-    if missing:
-        held.update(models.train_models(data, missing))
-    return {n: held[n] for n in names}
+    return models.training_data(_matrix(t))
 
 
 _ALL = (models.RANDOM_FOREST, models.GRADIENT_BOOSTING, models.LOGISTIC)
@@ -119,16 +102,16 @@ def ch_split(t: Star) -> DataFrame:
     return churn.stratified_split(_labels(t).select("customer_id", "churn_label"))
 
 
-_SCALED = ("total_orders", "total_spent", "days_since_last_order", "engagement_ratio")
+_SCALED = churn.FEATURES
 
 
 @query("ch_scale", f"""
     WITH j AS (SELECT * EXCLUDE (churn_label) FROM r_churn_matrix JOIN r_churn_split USING (customer_id)),
     s AS (SELECT {', '.join(f'AVG({c}) AS m_{c}, stddev_samp({c}) AS s_{c}' for c in _SCALED)}
           FROM j WHERE is_train)
-    SELECT customer_id, {', '.join(f"{even(f'({c} - m_{c}) / s_{c}', 6)} AS {c}" for c in _SCALED)} FROM j, s""")
+    SELECT customer_id, {', '.join(f"{even(f'CASE WHEN s_{c} > 0 THEN ({c} - m_{c}) / s_{c} ELSE 0 END', 6)} AS {c}" for c in _SCALED)} FROM j, s""")
 def ch_scale(t: Star) -> DataFrame:
-    """Four of the standardised inputs of every customer."""
+    """All standardised inputs of every customer; a constant input is 0."""
     data = _data(t)
     vector = vector_to_array(F.col("scaled"))
     place = {c: churn.FEATURES.index(c) for c in _SCALED}
@@ -138,7 +121,8 @@ def ch_scale(t: Star) -> DataFrame:
 
 
 def _scored(t: Star, name: str) -> DataFrame:
-    return models.score_customers(_data(t), _model(t, name), name)
+    data = _data(t)
+    return models.score_customers(data, models.train_models(data, (name,)), name)
 
 
 @query("ch_random_forest")
@@ -158,7 +142,8 @@ def ch_logistic(t: Star) -> DataFrame:
 
 @query("ch_model_auc")
 def ch_model_auc(t: Star) -> DataFrame:
-    return models.test_auc(_data(t), _model(t, *_ALL))
+    data = _data(t)
+    return models.test_auc(data, models.train_models(data, _ALL))
 
 
 # Labels ranked by days since the last order: a score with many ties.
@@ -197,13 +182,15 @@ def ch_cross_val(t: Star) -> DataFrame:
 
 @query("ch_importance")
 def ch_importance(t: Star) -> DataFrame:
-    return models.feature_importance(_data(t), _model(t, *_ALL), top=10)
+    data = _data(t)
+    return models.feature_importance(data, models.train_models(data, _ALL), top=10)
 
 
 @query("ch_score")
 def ch_score(t: Star) -> DataFrame:
     """An unknown model name falls back to the random forest."""
-    return models.score_customers(_data(t), _model(t, models.RANDOM_FOREST), "No Such Model")
+    data = _data(t)
+    return models.score_customers(data, models.train_models(data, (models.RANDOM_FOREST,)), "No Such Model")
 
 
 @query("ch_write", """
@@ -237,7 +224,6 @@ def ch_insights(t: Star) -> DataFrame:
 
 @query("ch_full_run")
 def ch_full_run(t: Star) -> DataFrame:
-    """All churn steps with the random forest; returns the scored customers."""
-    run = plan.run_churn(t.registered, t.orders, t.order_items, t.products,
-                         chosen=(models.RANDOM_FOREST,), folds=0)
+    """All churn steps: three models, five folds; returns the scored customers."""
+    run = plan.run_churn(t.registered, t.orders, t.order_items, t.products)
     return run.scored.select("customer_id", "churn_label", "churn_probability", "churn_risk_category")

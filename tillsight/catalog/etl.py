@@ -79,15 +79,6 @@ _CLEAN_ORDERS = f"""
     FROM r_orders WHERE order_date <= DATE '{TODAY}' AND total_amount >= 0"""
 
 
-@query("snk_csv", _CLEAN_ORDERS)
-def snk_csv(t: Star) -> DataFrame:
-    folder = scratch_path(t.spark, "processed")
-    cleaned = clean.clean_orders(t.orders.drop("order_date_ts"), TODAY)
-    writers.write_processed_csv({"orders": cleaned}, folder)
-    return (t.spark.read.schema(cleaned.schema).option("header", True)
-            .csv(f"{folder}/orders_processed.csv"))
-
-
 @query("snk_table_replace", "SELECT customer_id, 1 - churn_probability AS churn_probability FROM r_scores")
 def snk_table_replace(t: Star) -> DataFrame:
     """Replace a table by rows computed from that same table."""
@@ -99,14 +90,15 @@ def snk_table_replace(t: Star) -> DataFrame:
 
 
 @query("snk_table_fail", """
-    SELECT 'products' AS table_name, COUNT(*) AS n, TRUE AS second_load_refused FROM r_products
+    SELECT 'customers' AS table_name, COUNT(*) AS n, TRUE AS second_load_refused FROM r_registered
+    UNION ALL SELECT 'products', COUNT(*), TRUE FROM r_products
     UNION ALL SELECT 'orders', COUNT(*), TRUE FROM r_orders
-    UNION ALL SELECT 'order_items', COUNT(*), TRUE FROM r_items""")
+    UNION ALL SELECT 'order_items', COUNT(*), TRUE FROM r_items
+    UNION ALL SELECT 'marketing_campaigns', COUNT(*), TRUE FROM r_campaigns""")
 def snk_table_fail(t: Star) -> DataFrame:
-    """First load writes the tables; a second load of the same tables is refused."""
+    """First load writes the five tables; a second load of the same tables is refused."""
     folder = scratch_path(t.spark, "load")
-    tables = {"order_items": t.order_items, "orders": t.orders, "products": t.products,
-              "customers": t.customers.filter(F.lit(False))}
+    tables = t.tables()
     written = writers.load_tables(tables, folder)
     try:
         writers.load_tables(tables, folder)
@@ -201,33 +193,46 @@ def dq_row_count(t: Star) -> DataFrame:
 
 
 @query("dq_null_counts", " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, COUNT(*) - COUNT({c}) AS null_count FROM r_registered"
-    for c in _COLUMNS["customers"].split()))
+    f"SELECT '{n}' AS table_name, '{c}' AS column_name, COUNT(*) - COUNT({c}) AS null_count FROM {_SQL_TABLE[n]}"
+    for n, cs in _COLUMNS.items() for c in cs.split()))
 def dq_null_counts(t: Star) -> DataFrame:
-    return quality.null_counts(t.registered)
+    return _union([quality.null_counts(df).withColumn("table_name", F.lit(n)) for n, df in t.tables().items()])
 
 
-@query("dq_duplicate_count", """
-    SELECT COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT order_item_id, quantity FROM r_items))
-           AS duplicate_count FROM r_items""")
+@query("dq_duplicate_count", " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, (SELECT COUNT(*) FROM {s}) + (SELECT COUNT(*) FROM {s} WHERE {k} % 3 = 0) "
+    f"- (SELECT COUNT(*) FROM (SELECT DISTINCT {', '.join(_COLUMNS[n].split())} FROM {s})) AS duplicate_count"
+    for n, s, k in ((n, _SQL_TABLE[n], _COLUMNS[n].split()[0]) for n in _SQL_TABLE)))
 def dq_duplicate_count(t: Star) -> DataFrame:
-    return quality.duplicate_count(t.order_items.select("order_item_id", "quantity"))
+    """Full rows of all five tables, to which every third key's rows are added once more."""
+    return _union([quality.duplicate_count(_with_copies(n, df)).withColumn("table_name", F.lit(n))
+                   for n, df in t.tables().items()])
 
 
-_TYPES = {"customer_id": "bigint", "email": "string", "first_name": "string", "last_name": "string",
-          "country": "string", "city": "string", "age": "int", "gender": "string",
-          "registration_date": "date"}
+def _with_copies(name: str, df: DataFrame) -> DataFrame:
+    key = _COLUMNS[name].split()[0]
+    return df.unionByName(df.filter(F.col(key) % 3 == 0))
+
+
+_TYPES = {
+    "customers": "bigint string string string string string int string date",
+    "products": "bigint string string string string double double int",
+    "orders": "bigint bigint date double double double string string",
+    "order_items": "bigint bigint bigint int double double",
+    "marketing_campaigns": "bigint string date date double string double double"}
 
 
 @query("dq_data_types", " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, '{k}' AS data_type, COUNT({c}) AS filled FROM r_registered"
-    for c, k in _TYPES.items()))
+    f"SELECT '{n}' AS table_name, '{c}' AS column_name, '{k}' AS data_type, COUNT({c}) AS filled FROM {_SQL_TABLE[n]}"
+    for n in _TYPES for c, k in zip(_COLUMNS[n].split(), _TYPES[n].split())))
 def dq_data_types(t: Star) -> DataFrame:
-    """Type of every column, with the rows that have a value of it."""
-    rows = t.registered
-    filled = quality.null_counts(rows).join(quality.data_types(rows), "column_name")
-    return filled.select("column_name", "data_type",
-                         (quality.row_count(rows).scalar() - F.col("null_count")).alias("filled"))
+    """Type of every column of the five tables, with the rows that have a value of it."""
+    parts = []
+    for name, rows in t.tables().items():
+        filled = quality.null_counts(rows).join(quality.data_types(rows), "column_name")
+        parts.append(filled.select(F.lit(name).alias("table_name"), "column_name", "data_type",
+                                   (quality.row_count(rows).scalar() - F.col("null_count")).alias("filled")))
+    return _union(parts)
 
 
 def _rule(name: str, table: str) -> None:
@@ -355,9 +360,36 @@ def cl_campaigns(t: Star) -> DataFrame:
     return clean.clean_campaigns(t.campaigns)
 
 
-@query("cl_dedup", "SELECT DISTINCT order_item_id, quantity FROM r_items")
+@query("cl_dedup", " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, COUNT(*) AS n, {', '.join(f'COUNT(DISTINCT {c}) AS d{i}' for i, c in enumerate(_COLUMNS[n].split()[:6]))} "
+    f"FROM (SELECT DISTINCT {', '.join(_COLUMNS[n].split())} FROM {_SQL_TABLE[n]})" for n in _SQL_TABLE))
 def cl_dedup(t: Star) -> DataFrame:
-    return clean.clean({"lines": t.order_items.select("order_item_id", "quantity")})["lines"]
+    """All five tables with a third of their rows repeated, freed of repeated full rows."""
+    single = clean.clean({f"copy of {n}": _with_copies(n, df) for n, df in t.tables().items()})
+    return _union([df.agg(F.lit(n.removeprefix("copy of ")).alias("table_name"), F.count("*").alias("n"), *[
+        F.count_distinct(c).alias(f"d{i}") for i, c in enumerate(_COLUMNS[n.removeprefix("copy of ")].split()[:6])])
+        for n, df in single.items()])
+
+
+@query("snk_csv", " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, '{c}' AS column_name, COUNT(*) AS n, COUNT({c}) AS filled, "
+    f"COUNT(DISTINCT {c}) AS different FROM ({_CLEAN[n]})" for n in _CLEAN for c in _COLUMNS[n].split()))
+def snk_csv(t: Star) -> DataFrame:
+    """All five cleaned tables as CSV, read back and counted column by column."""
+    folder = scratch_path(t.spark, "processed")
+    cleaned = clean.clean(t.tables(), TODAY)
+    writers.write_processed_csv(cleaned, folder)
+    parts = []
+    for name, df in cleaned.items():
+        back = t.spark.read.schema(df.schema).option("header", True).option("enforceSchema", False).csv(
+            f"{folder}/{name}_processed.csv")
+        columns = _COLUMNS[name].split()
+        counted = back.agg(F.count("*").alias("n"), *[F.count(c).alias(f"f_{c}") for c in columns],
+                           *[F.count_distinct(c).alias(f"d_{c}") for c in columns])
+        cells = [F.struct(F.lit(name).alias("table_name"), F.lit(c).alias("column_name"), "n",
+                          F.col(f"f_{c}").alias("filled"), F.col(f"d_{c}").alias("different")) for c in columns]
+        parts.append(counted.select(F.inline(F.array(*cells))))
+    return _union(parts)
 
 
 @query("cl_row_delta", " UNION ALL ".join(

@@ -71,8 +71,7 @@ def w4(t: Star) -> DataFrame:
           WHERE order_status IN ('Completed', 'Delivered') GROUP BY 1)
     WINDOW w AS (ORDER BY order_date ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""")
 def w5(t: Star) -> DataFrame:
-    # Far enough back to cover every day on record.
-    return alerts.with_moving_average(alerts.daily_revenue(t.orders, days=36500))
+    return alerts.with_moving_average(alerts.daily_revenue(t.orders, days=None))
 
 
 _PRODUCT_SERIES = f"""
@@ -127,11 +126,6 @@ def fc_moving_average(t: Star) -> DataFrame:
 
 @query("fc_arima")
 def fc_arima(t: Star) -> DataFrame:
-    return arima.arima_forecast(_daily(t))
-
-
-@query("fc_arima_by_category")
-def fc_arima_by_category(t: Star) -> DataFrame:
     """One fit per category, all in one job."""
     daily = series.time_series(_sales(t), "daily", keys=["category"])
     return arima.arima_forecast(daily, keys=["category"])

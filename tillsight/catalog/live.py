@@ -82,8 +82,8 @@ def st_live_kpis(t: Star) -> DataFrame:
 def st_live_trend(t: Star) -> DataFrame:
     path = scratch_path(t.spark, "live_trend")
     windows = live.trend_windows(t.event_stream(), "1 hour")
-    live.write_updates(windows, f"{path}/rows", f"{path}/state", once=True).awaitTermination()
-    found = live.current(t.spark, f"{path}/rows", ["window_start"])
+    live.write_updates(windows, f"{path}/rows", f"{path}/state", ["window_start"], once=True).awaitTermination()
+    found = live.current(t.spark, f"{path}/rows")
     return found.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
@@ -94,7 +94,7 @@ def st_live_trend(t: Star) -> DataFrame:
 def st_closed_windows(t: Star) -> DataFrame:
     """Daily windows the watermark has passed, appended to files."""
     path = scratch_path(t.spark, "closed")
-    windows = live.trend_windows(t.event_stream(), "1 day")
+    windows = live.trend_windows(t.event_stream(), "1 day", late="1 hour")
     live.append_closed_windows(windows, f"{path}/rows", f"{path}/state", once=True).awaitTermination()
     return t.spark.read.parquet(f"{path}/rows").select(
         F.to_date("window_start").alias("day"), "revenue", "order_count")
@@ -108,4 +108,4 @@ def st_revenue_watch(t: Star) -> DataFrame:
     path = scratch_path(t.spark, "watch")
     live.watch_revenue(t.event_stream(), f"{path}/days", f"{path}/alerts", f"{path}/state",
                        once=True).awaitTermination()
-    return live.current(t.spark, f"{path}/days", ["order_date"])
+    return live.current(t.spark, f"{path}/days")

@@ -184,12 +184,15 @@ def a16(t: Star) -> DataFrame:
     return metrics.churn_band_counts(segments(t))
 
 
+_ADVICE = "; ".join(metrics.STANDING_ADVICE)
+
+
 @query("a17_exec_summary", f"""
     SELECT ({_REVENUE_30}) AS monthly_revenue,
            {_growth(_NEW_CUSTOMERS.format(today=_TODAY), 'n')} AS customer_growth,
            (SELECT string_agg(product_id || ' ' || product_name || ' ' || CAST(CAST(revenue AS DECIMAL(18,2)) AS VARCHAR),
                               '; ' ORDER BY revenue DESC, product_id) FROM ({_TOP_30})) AS top_products,
-           b.*, CAST(4 AS INTEGER) AS recommendations
+           b.*, '{_ADVICE}' AS recommendations
     FROM ({_BANDS}) b""")
 def a17(t: Star) -> DataFrame:
     """The summary row, with its lists printed as text."""
@@ -197,7 +200,7 @@ def a17(t: Star) -> DataFrame:
     line = lambda p: F.concat_ws(" ", p["product_id"].cast("string"), p["product_name"],
                                  p["revenue"].cast("decimal(18,2)").cast("string"))
     return (row.withColumn("top_products", F.array_join(F.transform("top_products", line), "; "))
-            .withColumn("recommendations", F.size("recommendations")))
+            .withColumn("recommendations", F.array_join("recommendations", "; ")))
 
 
 @query("a18_rfm_profile", f"""

@@ -48,12 +48,14 @@ def p1(t: Star) -> DataFrame:
     UNION ALL SELECT 'months 2', COUNT(*) FROM r_orders WHERE order_date >= {_TODAY} - INTERVAL 2 MONTH
     UNION ALL SELECT 'months 12', COUNT(*) FROM r_orders WHERE order_date >= {_TODAY} - INTERVAL 12 MONTH""")
 def p2(t: Star) -> DataFrame:
-    out = None
-    for unit, n in (("days", 7), ("days", 30), ("days", 90), ("days", 84), ("months", 2), ("months", 12)):
-        recent = (fn.last_days if unit == "days" else fn.last_months)(t.orders, "order_date", None, n)
-        row = recent.agg(F.lit(f"{unit} {n}").alias("span"), F.count("*").alias("n"))
-        out = row if out is None else out.unionByName(row)
-    return out
+    """Six spans counted in one scan."""
+    day, today = F.col("order_date"), fn.latest(t.orders, "order_date")
+    spans = [("days", 7), ("days", 30), ("days", 90), ("days", 84), ("months", 2), ("months", 12)]
+    since = lambda unit, n: F.date_sub("today", n) if unit == "days" else F.add_months("today", -n)
+    rows = t.orders.select("order_date", today.alias("today"))
+    counted = rows.agg(*[F.sum((day >= since(u, n)).cast("bigint")).alias(f"{u} {n}") for u, n in spans])
+    cells = [F.struct(F.lit(f"{u} {n}").alias("span"), F.coalesce(f"{u} {n}", F.lit(0)).alias("n")) for u, n in spans]
+    return counted.select(F.inline(F.array(*cells)))
 
 
 def _category_trend(t: Star) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tillsight.catalog.base import even, labelled, query, segment_base
-from tillsight.functions.ranks import exact_quantiles, rank_first
+from tillsight.functions.ranks import column_quantiles, rank_first
 from tillsight.operators import clusters, rfm
 from tillsight.plans import segmentation as plan
 from tillsight.session import stage
@@ -33,13 +33,13 @@ def w7(t: Star) -> DataFrame:
 def w9(t: Star) -> DataFrame:
     """Latest date, mean lifespan and exact medians in one row."""
     base = stage(segment_base(t), "scalars")
-    medians = exact_quantiles(base, ["total_spent", "age"], (0.5,))
+    medians = column_quantiles(base, ["total_spent", "age"], (0.5,))
     span = F.datediff("last_order_date", "first_order_date")
     return base.agg(
         F.max("last_order_date").alias("latest"),
         (F.rint(F.avg(span) * 1e6) / 1e6).alias("mean_lifespan"),
-        F.lit(medians[(None, "total_spent")][0]).alias("median_spent"),
-        F.lit(medians[(None, "age")][0]).alias("median_age"))
+        F.lit(medians["total_spent"][0]).alias("median_spent"),
+        F.lit(medians["age"][0]).alias("median_age"))
 
 
 @query("seg_rfm_scores", """
@@ -89,4 +89,4 @@ def a18_cluster_profile(t: Star) -> DataFrame:
 @query("seg_full_run")
 def seg_full_run(t: Star) -> DataFrame:
     """All segmentation steps; returns the stored segment rows."""
-    return plan.run_segmentation(t.customers, t.orders, t.order_items, k=4).segments
+    return plan.run_segmentation(t.customers, t.orders, t.order_items).segments

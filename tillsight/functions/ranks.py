@@ -1,11 +1,8 @@
 """Ranks, running totals and exact quantiles that do not need one big task.
 
-Every function takes ``small_rows``.  Up to that many rows the plain Spark
-expression is used (a window, ``percentile``): one task then holds a bounded
-number of rows.  Beyond it the rows are range-partitioned on the full sort key,
-written once with their partition number, and totals per partition - one row
-for each - are turned into offsets.  Callers include a unique column in the
-sort key, so a hot value is spread over many partitions.
+Rows are range-partitioned on the full sort key, written once with their partition number, and totals per partition -
+one row for each - are turned into offsets.  The path is the same for every size.  Callers include a unique column in
+the sort key, so a hot value is spread over many partitions.
 """
 
 from __future__ import annotations
@@ -18,38 +15,30 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tillsight.functions.scalars import to_col
 from tillsight.session import stage
 
-SMALL_ROWS = 1_000_000
-
-# Quantiles go to the driver, so they are given for so many groups at most.
-MAX_CELLS = 1_000
+# A partition of a ranking holds about this many rows at most.
+PART_ROWS = 250_000
 
 # Quintile probabilities as numpy's linspace(0, 1, 6) gives them.
 QUINTILES = (0.0, 0.2, 0.4, 0.6000000000000001, 0.8, 1.0)
 
 
 def _range_partitioned(df: DataFrame, order: Sequence[Column]) -> DataFrame:
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least, -(-df.count() // PART_ROWS))
     placed = df.repartitionByRange(parts, *order)
     return stage(placed.withColumn("_part", F.spark_partition_id()), "ranges")
 
 
 def running_totals(df: DataFrame, order: Sequence[Column], totals: dict[str, str],
-                   by: Sequence[str] = (), rows: int | None = None,
-                   small_rows: int = SMALL_ROWS) -> DataFrame:
+                   by: Sequence[str] = ()) -> DataFrame:
     """Add running sums of integer columns in the given order.
 
     ``totals`` maps each new column to the column it sums.  ``by`` names
-    grouping columns with few distinct values; sums restart for each group.
+    grouping columns; sums restart for each group.  ``df`` is read three times
+    (count, range sample, rows), so callers stage what is costly to compute.
     """
     order = list(order)
-    rows = df.count() if rows is None else rows
-    if rows <= small_rows:
-        w = (Window.partitionBy(*by).orderBy(*order)
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return df.select("*", *[F.sum(src).over(w).alias(new) for new, src in totals.items()])
-
-    full = [F.col(c).asc() for c in by] + order
-    placed = _range_partitioned(df, full)
+    placed = _range_partitioned(df, [F.col(c).asc() for c in by] + order)
     sums = placed.groupBy("_part", *by).agg(*[F.sum(s).alias(f"_o_{n}") for n, s in totals.items()])
     # One row per partition and group: a bounded table.
     before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -66,11 +55,9 @@ def running_totals(df: DataFrame, order: Sequence[Column], totals: dict[str, str
             .select(*[local[c] for c in df.columns], *[(F.col(f"_l_{n}") + F.col(f"_o_{n}")).alias(n) for n in totals]))
 
 
-def rank_first(df: DataFrame, order: Sequence[Column], name: str, by: Sequence[str] = (),
-               rows: int | None = None, small_rows: int = SMALL_ROWS) -> DataFrame:
+def rank_first(df: DataFrame, order: Sequence[Column], name: str, by: Sequence[str] = ()) -> DataFrame:
     """1-based position in the given order (restarting per ``by`` group)."""
-    ranked = running_totals(df.withColumn("_one", F.lit(1).cast("bigint")), order, {name: "_one"},
-                            by=by, rows=rows, small_rows=small_rows)
+    ranked = running_totals(df.withColumn("_one", F.lit(1).cast("bigint")), order, {name: "_one"}, by=by)
     return ranked.drop("_one")
 
 
@@ -89,52 +76,43 @@ def rank_edges(n: int, probs: Sequence[float] = QUINTILES) -> list[float]:
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-                    by: str | None = None, rows: int | None = None,
-                    small_rows: int = SMALL_ROWS) -> dict[tuple, list[float]]:
-    """Linearly interpolated quantiles of several columns, nulls left out.
+                    by: str | None = None) -> DataFrame:
+    """(group, column, quantiles): linearly interpolated, one array entry per probability, nulls left out.
 
-    Returns ``{(group, column): [value per probability]}`` with group ``None``
-    when ``by`` is not given.  ``by`` must have few distinct values; only the
-    quantiles themselves reach the driver.
+    ``group`` is null when ``by`` is not given.  Columns of nulls only, and
+    groups with nulls only, have no row.
     """
-    rows = df.count() if rows is None else rows
     group = F.lit(None).cast("string") if by is None else F.col(by).cast("string")
-    if rows <= small_rows:
-        wanted = F.array(*[F.lit(float(p)) for p in probs])
-        found = df.groupBy(group.alias("_g")).agg(
-            *[F.percentile(F.col(c).cast("double"), wanted).alias(c) for c in columns])
-        return {(r["_g"], c): r[c] for r in found.collect() for c in columns if r[c] is not None}
-
     # (group, column, value) -> count; copies of a value collapse map-side.
     cells = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_v")) for c in columns]))
-    counts = (df.select(group.alias("_g"), cells.alias("_x")).select("_g", "_x._c", "_x._v")
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("_v")) for c in columns]))
+    counts = (df.select(group.alias("group"), cells.alias("_x")).select("group", "_x.column", "_x._v")
               .filter(F.col("_v").isNotNull())
-              .groupBy("_g", "_c", "_v").agg(F.count("*").alias("_n")))
-    counts = stage(counts.withColumn("_g", F.coalesce("_g", F.lit("\0"))), "counts")
-    sizes = {(r["_g"], r["_c"]): r["n"] for r in
-             counts.groupBy("_g", "_c").agg(F.sum("_n").alias("n")).limit(MAX_CELLS + 1).collect()}
-    if len(sizes) > MAX_CELLS:
-        raise ValueError(f"quantiles are returned for at most {MAX_CELLS} groups and columns")
-    up_to = stage(running_totals(counts, [F.col("_v").asc()], {"_upto": "_n"}, by=["_g", "_c"],
-                                 rows=rows, small_rows=small_rows), "ranked")
-    hit = F.lit(False)
-    for (g, c), n in sizes.items():
-        at = {p for low, high, _ in _positions(n, probs) for p in (low, high)}
-        inside = F.lit(False)
-        for p in sorted(at):
-            inside = inside | ((F.col("_upto") > p) & (F.col("_upto") - F.col("_n") <= p))
-        hit = hit | ((F.col("_g") == g) & (F.col("_c") == c) & inside)
-    picked: dict[tuple, list] = {}
-    for r in up_to.filter(hit).collect():
-        picked.setdefault((r["_g"], r["_c"]), []).append((r["_upto"] - r["_n"], r["_upto"], r["_v"]))
-    out = {}
-    for (g, c), n in sizes.items():
-        spans = picked[(g, c)]
-        value = lambda p: next(v for lo, hi, v in spans if lo <= p < hi)
-        out[(None if g == "\0" else g, c)] = [
-            value(low) + (value(high) - value(low)) * part for low, high, part in _positions(n, probs)]
-    return out
+              .groupBy("group", "column", "_v").agg(F.count("*").alias("_n")))
+    counts = stage(counts, "counts")
+    up_to = running_totals(counts, [F.col("_v").asc()], {"_upto": "_n"}, by=["group", "column"])
+    sizes = counts.groupBy(F.col("group").alias("_g"), F.col("column").alias("_c")).agg(F.sum("_n").alias("_all"))
+    known = up_to.join(sizes, F.col("group").eqNullSafe(F.col("_g")) & (F.col("column") == F.col("_c")))
+    holds = lambda at: (F.col("_upto") - F.col("_n") <= at) & (at < F.col("_upto"))
+    spots = []
+    for i, q in enumerate(probs):
+        at = (F.col("_all") - 1) * F.lit(float(q))
+        low, high = F.floor(at), F.least(F.ceil(at), F.col("_all") - 1)
+        spots.append(F.when(holds(low) | holds(high), F.struct(
+            F.lit(i).alias("i"), (at - low).alias("part"), F.when(holds(low), F.col("_v")).alias("low"),
+            F.when(holds(high), F.col("_v")).alias("high"))))
+    # A value is kept for the probabilities it serves: two values for each at most.
+    hit = known.select("group", "column", F.explode(F.array_compact(F.array(*spots))).alias("s"))
+    ends = hit.groupBy("group", "column", "s.i").agg(
+        F.max("s.low").alias("low"), F.max("s.high").alias("high"), F.max("s.part").alias("part"))
+    value = F.col("low") + (F.col("high") - F.col("low")) * F.col("part")
+    listed = ends.groupBy("group", "column").agg(F.sort_array(F.collect_list(F.struct("i", value.alias("q")))).alias("_q"))
+    return listed.select("group", "column", F.transform("_q", lambda x: x["q"]).alias("quantiles"))
+
+
+def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
+    """The quantiles of whole columns: one row for each column reaches the driver."""
+    return {r["column"]: list(r["quantiles"]) for r in exact_quantiles(df, columns, probs).collect()}
 
 
 def check_edges(edges: Sequence[float], name: str, duplicates: str = "raise") -> list[float]:

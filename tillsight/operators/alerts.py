@@ -10,14 +10,16 @@ from pyspark.sql import DataFrame, functions as F
 from tillsight.functions.scalars import (
     REALISED_STATUSES, AsOf, is_realised, last_days, money_sum)
 from tillsight.operators.series import rolling_mean
+from tillsight.session import stage
 
 log = logging.getLogger(__name__)
 
 
-def daily_revenue(orders: DataFrame, as_of: AsOf = None, days: int = 7,
+def daily_revenue(orders: DataFrame, as_of: AsOf = None, days: int | None = 7,
                   statuses: Sequence[str] = REALISED_STATUSES) -> DataFrame:
-    """Realised revenue of the last days that have orders."""
-    return (last_days(orders, "order_date", as_of, days).filter(is_realised(statuses=statuses))
+    """Realised revenue of the last days that have orders; of all days for ``days=None``."""
+    recent = orders if days is None else last_days(orders, "order_date", as_of, days)
+    return (recent.filter(is_realised(statuses=statuses))
             .groupBy("order_date").agg(money_sum("total_amount").alias("daily_revenue")))
 
 
@@ -62,7 +64,8 @@ def run_alerts(orders: DataFrame, segments: DataFrame, as_of: AsOf = None, share
 
 
 def emit_alerts(alerts: DataFrame, path: str) -> None:
-    """Append fired alerts to a table and log the first hundred of them."""
-    alerts.withColumn("raised_at", F.current_timestamp()).write.mode("append").parquet(path)
-    for row in alerts.take(100):
-        log.warning("ALERT [%s]: %s", row["alert_type"], row["message"])
+    """Append fired alerts to a table and log how many of each type there were."""
+    fired = stage(alerts.withColumn("raised_at", F.current_timestamp()), "alerts")
+    fired.write.mode("append").parquet(path)
+    for row in fired.groupBy("alert_type").agg(F.count("*").alias("n")).toLocalIterator():
+        log.warning("ALERT [%s]: %d written to %s", row["alert_type"], row["n"], path)

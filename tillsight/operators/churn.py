@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillsight.functions.ranks import SMALL_ROWS, rank_first
+from tillsight.functions.ranks import rank_first
 from tillsight.functions.scalars import (
     AsOf, as_of_col, flag, int_ratio, is_realised, money_avg, money_sum, ratio)
 from tillsight.operators.clusters import fill_with_median
@@ -89,12 +89,10 @@ def churn_labels(df: DataFrame, days: int = 90, returns: float = 0.2, cancels: f
             .withColumn("churn_label", (F.col("churn_risk_score") >= min_score).cast("int")))
 
 
-def churn_features(df: DataFrame, today: Column, small_rows: int = SMALL_ROWS,
-                   duplicates: str = "raise") -> DataFrame:
+def churn_features(df: DataFrame, today: Column, duplicates: str = "raise") -> DataFrame:
     """Scores and behaviour ratios; the input is staged because edges and rows both read it."""
     staged = stage(df, "churn")
-    scored = quintile_scores(staged, "days_since_last_order", "total_orders", "total_spent",
-                             small_rows, duplicates)
+    scored = quintile_scores(staged, "days_since_last_order", "total_orders", "total_spent", duplicates)
     lifetime, orders = F.col("customer_lifetime_days"), F.col("total_orders")
     return (scored.withColumns({
         "avg_days_between_orders": ratio(lifetime, orders),
@@ -107,42 +105,37 @@ def churn_features(df: DataFrame, today: Column, small_rows: int = SMALL_ROWS,
             "purchase_intensity": ratio(orders, F.col("tenure_days") + 1)}))
 
 
-def label_encode(df: DataFrame, column: str, rows: int | None = None,
-                 small_rows: int = SMALL_ROWS) -> DataFrame:
+def label_encode(df: DataFrame, column: str) -> DataFrame:
     """Add ``<column>_encoded``: position of the value in sorted order, from 0; null is 'Unknown'."""
     value = F.coalesce(F.col(column), F.lit("Unknown"))
-    labels = df.select(value.alias("_value")).distinct()
-    coded = rank_first(labels, [F.col("_value").asc()], "_place", rows=rows, small_rows=small_rows)
+    labels = stage(df.select(value.alias("_value")).distinct(), "labels")
+    coded = rank_first(labels, [F.col("_value").asc()], "_place")
     return (df.withColumn("_value", value)
             .join(coded.select("_value", (F.col("_place") - 1).cast("int").alias(f"{column}_encoded")),
                   "_value").drop("_value"))
 
 
-def feature_matrix(features: DataFrame, small_rows: int = SMALL_ROWS) -> DataFrame:
+def feature_matrix(features: DataFrame) -> DataFrame:
     """Customer, the 23 model inputs (medians for nulls, text encoded) and the label."""
-    filled = fill_with_median(features, NUMERIC_FEATURES, small_rows=small_rows)
+    filled = fill_with_median(features, NUMERIC_FEATURES)
     for column in TEXT_FEATURES:
-        filled = label_encode(filled, column, small_rows=small_rows)
+        filled = label_encode(filled, column)
     return filled.select("customer_id", *FEATURES, "churn_label")
 
 
 def stratified_split(df: DataFrame, label: str = "churn_label", id_col: str = "customer_id",
-                     train_share: float = 0.8, folds: int = 5,
-                     small_rows: int = SMALL_ROWS) -> DataFrame:
+                     train_share: float = 0.8, folds: int = 5) -> DataFrame:
     """Add ``is_train`` and, for training rows, ``fold``; each label is divided alike.
 
     Rows are placed by a hash of their key, so the split repeats on every run.
     """
-    sizes = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
     hashed = df.withColumn("_hash", F.md5(F.col(id_col).cast("string")))
-    ranked = rank_first(hashed, [F.col("_hash").asc(), F.col(id_col).asc()], "_place", by=[label],
-                        rows=sum(sizes.values()), small_rows=small_rows)
-    cut = F.lit(0)
-    for value, n in sizes.items():
-        cut = F.when(F.col(label) == value, int(n * train_share)).otherwise(cut)
-    return (ranked.withColumn("is_train", F.col("_place") <= cut)
+    ranked = rank_first(hashed, [F.col("_hash").asc(), F.col(id_col).asc()], "_place", by=[label])
+    sizes = df.groupBy(F.col(label).alias("_label")).agg(F.floor(F.count("*") * F.lit(train_share)).alias("_cut"))
+    known = ranked.join(sizes, F.col(label).eqNullSafe(F.col("_label")))
+    return (known.withColumn("is_train", F.col("_place") <= F.col("_cut"))
             .withColumn("fold", F.when(F.col("is_train"), ((F.col("_place") - 1) % folds).cast("int")))
-            .drop("_hash", "_place"))
+            .drop("_hash", "_place", "_label", "_cut"))
 
 
 def churn_insights(scored: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssemb
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from tillsight.functions.ranks import SMALL_ROWS, running_totals
+from tillsight.functions.ranks import running_totals
 from tillsight.functions.scalars import risk_category
 from tillsight.operators.churn import FEATURES, stratified_split
 from tillsight.session import stage
@@ -23,12 +23,13 @@ RANDOM_FOREST, GRADIENT_BOOSTING, LOGISTIC = (
     "Random Forest", "Gradient Boosting", "Logistic Regression")
 
 
-def estimators(train_rows: int, seed: int = 42, trees: int = 100, max_depth: int = 10,
+def estimators(train_rows: int, seed: int = 42, trees: int = 100, max_depth: int = 30,
                rounds: int = 100) -> dict[str, Estimator]:
     """The three classifiers.
 
-    Boosting uses depth 3 and rate .1; the logistic penalty is 1/n, a unit
-    penalty on the summed loss.
+    Trees of the forest grow to Spark's limit of 30 levels.  Boosting uses
+    depth 3 and rate .1; the logistic penalty is 1/n, a unit penalty on the
+    summed loss.
     """
     return {
         RANDOM_FOREST: RandomForestClassifier(numTrees=trees, maxDepth=max_depth, seed=seed),
@@ -60,9 +61,9 @@ class TrainingData:
         return self.scaler.transform(df).drop("features").withColumnRenamed("scaled", "features")
 
 
-def training_data(matrix: DataFrame, small_rows: int = SMALL_ROWS) -> TrainingData:
+def training_data(matrix: DataFrame) -> TrainingData:
     """Split, pack and stage a feature matrix; scale by its training rows."""
-    parted = stratified_split(stage(matrix, "matrix"), small_rows=small_rows)
+    parted = stratified_split(stage(matrix, "matrix"))
     packed = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(parted)
     rows = stage(packed.select(
         "customer_id", F.col("churn_label").cast("double").alias("label"), "features", "is_train", "fold"),
@@ -133,35 +134,35 @@ def score_customers(data: TrainingData, models: Mapping[str, Model],
             .withColumn("churn_risk_category", risk_category("churn_probability")))
 
 
-def _score_totals(scored: DataFrame, label: str, score: str, small_rows: int) -> DataFrame:
-    """Positives and negatives at and above each distinct score."""
+def _score_counts(scored: DataFrame, label: str, score: str) -> DataFrame:
+    """Positives and negatives at each distinct score, written once."""
     counts = scored.groupBy(F.col(score).alias("threshold")).agg(
         F.sum((F.col(label) == 1).cast("bigint")).alias("pos"),
         F.sum((F.col(label) != 1).cast("bigint")).alias("neg"))
-    counts = stage(counts, "scores")
-    return running_totals(counts, [F.col("threshold").desc()], {"tp": "pos", "fp": "neg"},
-                          small_rows=small_rows)
+    return stage(counts, "scores")
+
+
+def _score_totals(counts: DataFrame) -> DataFrame:
+    """Positives and negatives at and above each distinct score."""
+    return running_totals(counts, [F.col("threshold").desc()], {"tp": "pos", "fp": "neg"})
 
 
-def roc_points(scored: DataFrame, label: str = "label", score: str = "score",
-               small_rows: int = SMALL_ROWS) -> DataFrame:
+def roc_points(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """False and true positive rate at every distinct score."""
-    totals = _score_totals(scored, label, score, small_rows)
-    ends = scored.agg(F.struct(F.sum((F.col(label) == 1).cast("bigint")).alias("p"),
-                               F.sum((F.col(label) != 1).cast("bigint")).alias("n")).alias("e"))
+    counts = _score_counts(scored, label, score)
+    ends = counts.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n")).alias("e"))
     e = F.col("e")
-    return (totals.withColumn("e", ends.scalar())
+    return (_score_totals(counts).withColumn("e", ends.scalar())
             .select("threshold", (F.col("fp") / F.nullif(e["n"], F.lit(0))).alias("fpr"),
                     (F.col("tp") / F.nullif(e["p"], F.lit(0))).alias("tpr")))
 
 
-def exact_auc(scored: DataFrame, label: str = "label", score: str = "score",
-              small_rows: int = SMALL_ROWS) -> DataFrame:
+def exact_auc(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Share of (positive, negative) pairs ranked rightly, ties counting half.
 
     Summed over distinct scores: negatives below times positives here.
     """
-    totals = _score_totals(scored, label, score, small_rows)
+    totals = _score_totals(_score_counts(scored, label, score))
     wide = lambda c: F.col(c).cast("decimal(38,0)")
     # Twice the pairs where the positive scores higher, plus the ties once.
     pairs = F.sum(wide("neg") * (wide("tp") * 2 - wide("pos")))

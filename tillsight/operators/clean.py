@@ -66,12 +66,9 @@ def clean(tables: Mapping[str, DataFrame], as_of: AsOf = None) -> dict[str, Data
 
 def row_deltas(raw: Mapping[str, DataFrame], cleaned: Mapping[str, DataFrame]) -> DataFrame:
     """Rows of each table before and after cleaning."""
-    sides = None
+    counts = None
     for name in cleaned:
-        for df, before, after in ((raw[name], 1, 0), (cleaned[name], 0, 1)):
-            n = df.agg(F.count("*").alias("n")).select(
-                F.lit(name).alias("table_name"), (F.col("n") * before).alias("rows_in"),
-                (F.col("n") * after).alias("rows_out"))
-            sides = n if sides is None else sides.unionByName(n)
-    return sides.groupBy("table_name").agg(F.sum("rows_in").alias("rows_in"),
-                                           F.sum("rows_out").alias("rows_out"))
+        before, after = raw[name].agg(F.count("*")).scalar(), cleaned[name].agg(F.count("*").alias("rows_out"))
+        row = after.select(F.lit(name).alias("table_name"), before.alias("rows_in"), "rows_out")
+        counts = row if counts is None else counts.unionByName(row)
+    return counts

@@ -11,7 +11,7 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
-from tillsight.functions.ranks import SMALL_ROWS, exact_quantiles
+from tillsight.functions.ranks import column_quantiles
 from tillsight.session import stage
 
 # The columns that are clustered.
@@ -19,28 +19,25 @@ CLUSTER_FEATURES = ("recency", "frequency", "monetary", "avg_order_value",
                     "total_items_purchased", "age")
 
 
-def fill_with_median(df: DataFrame, columns: Iterable[str], rows: int | None = None,
-                     small_rows: int = SMALL_ROWS) -> DataFrame:
+def fill_with_median(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Replace nulls by the exact column median; only columns with nulls are ranked."""
     columns = list(columns)
     gaps = df.agg(F.count("*").alias("_rows"), *[F.count(c).alias(c) for c in columns]).first()
     holed = [c for c in columns if gaps[c] < gaps["_rows"]]
     if not holed:
         return df.withColumns({c: F.col(c).cast("double") for c in columns})
-    medians = exact_quantiles(df, holed, (0.5,), rows=gaps["_rows"], small_rows=small_rows)
-    fill = {c: medians[(None, c)][0] for c in holed if (None, c) in medians}
+    fill = {c: found[0] for c, found in column_quantiles(df, holed, (0.5,)).items()}
     return df.withColumns({
         c: F.coalesce(F.col(c).cast("double"), F.lit(fill.get(c))) for c in columns})
 
 
-def standardised(df: DataFrame, columns: Iterable[str] = CLUSTER_FEATURES, id_col: str = "customer_id",
-                 small_rows: int = SMALL_ROWS) -> DataFrame:
+def standardised(df: DataFrame, columns: Iterable[str] = CLUSTER_FEATURES, id_col: str = "customer_id") -> DataFrame:
     """(id, features) with median-filled, standardised features, written once.
 
     Every k-means pass reads this narrow table.
     """
     columns = list(columns)
-    filled = fill_with_median(df.select(id_col, *columns), columns, small_rows=small_rows)
+    filled = fill_with_median(df.select(id_col, *columns), columns)
     packed = VectorAssembler(inputCols=columns, outputCol="raw").transform(filled)
     scaler = StandardScaler(withMean=True, withStd=True, inputCol="raw", outputCol="features").fit(packed)
     return stage(scaler.transform(packed).select(id_col, "features"), "features")

@@ -99,15 +99,18 @@ def holdout_split(features: DataFrame, train_share: float = 0.8) -> tuple[DataFr
 
 
 def random_forest(features: DataFrame, column: str = "revenue", horizon: int = 30, trees: int = 100,
-                  max_depth: int = 8, seed: int = 42, need: int = 50) -> tuple[DataFrame, DataFrame] | None:
+                  max_depth: int = 30, seed: int = 42, need: int = 50) -> tuple[DataFrame, DataFrame]:
     """Forecast from the last feature row, and hold-out errors.
 
     The same row is scored for every day ahead, so the forecast is flat.
-    Returns None for fewer than ``need`` complete rows.
+    Trees grow to Spark's limit of 30 levels.  Fewer than ``need`` complete
+    rows give no forecast and no errors: two empty frames.
     """
     rows, n = holdout_split(features)
     if n < need:
-        return None
+        spark = features.sparkSession
+        return (spark.createDataFrame([], "forecast_date date, predicted_value double, model_type string"),
+                spark.createDataFrame([], "mae double, rmse double, r2 double"))
     inputs = [c for c in features.columns if c not in (column, "ds")]
     packed = VectorAssembler(inputCols=inputs, outputCol="x").transform(rows)
     model = RandomForestRegressor(
@@ -129,6 +132,8 @@ def combine(*forecasts: DataFrame | None) -> DataFrame:
     model has an interval is it set to 20 % around the prediction.
     """
     given = [f for f in forecasts if f is not None]
+    if not given:
+        raise ValueError("no forecast given")
     rows = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), given)
     value = F.col("predicted_value")
 

@@ -10,6 +10,7 @@ from tillsight.functions.ranks import exact_quantiles
 from tillsight.functions.scalars import (
     REALISED_STATUSES, AsOf, as_of_col, cents, flag, full_name, is_realised, last_days, last_months,
     money_avg, money_sum, period_start, risk_band)
+from tillsight.session import stage
 
 # Look-back of each trend period.
 TREND_SPAN = {"daily": ("days", 30), "weekly": ("days", 84), "monthly": ("months", 12)}
@@ -147,7 +148,8 @@ def high_risk_customers(customers: DataFrame, segments: DataFrame, orders: DataF
               .orderBy(F.col("churn_probability").desc(), F.col("clv_prediction").desc_nulls_first(),
                        "customer_id")
               .limit(limit))
-    # At most ``limit`` keys, so the semi join is a lookup beside the scan.
+    # At most ``limit`` rows, read twice below.
+    listed = stage(listed, "listed")
     spent = (orders.join(listed.select("customer_id"), "customer_id", "left_semi")
              .groupBy("customer_id")
              .agg(F.max("order_date").alias("last_order_date"),
@@ -205,6 +207,8 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """Counts in equal-width bins between the ends; the last bin is closed."""
+    # The column alone is written once; ends and counts read that copy.
+    df = stage(df.select(F.col(column)), "histogram")
     ends = df.agg(F.struct(F.min(column).cast("double").alias("lo"),
                            F.max(column).cast("double").alias("hi")).alias("ends"))
     e = F.col("e")
@@ -222,9 +226,8 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
                     F.coalesce("count", F.lit(0)).alias("count")).orderBy("bin"))
 
 
-def box_stats(df: DataFrame, by: str, column: str, **options) -> DataFrame:
+def box_stats(df: DataFrame, by: str, column: str) -> DataFrame:
     """Exact minimum, quartiles and maximum of a column for each group."""
-    found = exact_quantiles(df, [column], (0.0, 0.25, 0.5, 0.75, 1.0), by=by, **options)
-    rows = [(group, *values) for (group, _), values in found.items()]
-    return df.sparkSession.createDataFrame(
-        rows, f"{by} string, min double, q1 double, median double, q3 double, max double")
+    found = exact_quantiles(df, [column], (0.0, 0.25, 0.5, 0.75, 1.0), by=by)
+    names = ("min", "q1", "median", "q3", "max")
+    return found.select(F.col("group").alias(by), *[F.get("quantiles", F.lit(i)).alias(n) for i, n in enumerate(names)])

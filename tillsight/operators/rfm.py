@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillsight.functions.ranks import (
-    QUINTILES, SMALL_ROWS, check_edges, exact_quantiles, rank_edges, rank_first, score)
+    QUINTILES, check_edges, column_quantiles, rank_edges, rank_first, score)
 from tillsight.functions.scalars import (
     REALISED_STATUSES, is_realised, latest, money_avg, money_sum, round_half_even, to_col)
 from tillsight.operators.marts import lines_per_order
@@ -52,7 +52,7 @@ def segment_base(customers: DataFrame, orders: DataFrame, items: DataFrame,
 
 
 def quintile_scores(df: DataFrame, recency: str, frequency: str, monetary: str,
-                    small_rows: int = SMALL_ROWS, duplicates: str = "raise") -> DataFrame:
+                    duplicates: str = "raise") -> DataFrame:
     """Scores 1..5 for three measures of one row per customer.
 
     Recency and money are cut at their quintiles, frequency at the quintiles
@@ -60,19 +60,18 @@ def quintile_scores(df: DataFrame, recency: str, frequency: str, monetary: str,
     between them; ``duplicates="drop"`` merges such bins instead.
     """
     rows = df.count()
-    cuts = exact_quantiles(df, [recency, monetary], QUINTILES, rows=rows, small_rows=small_rows)
-    r_edges = check_edges(cuts[(None, recency)], recency, duplicates)
-    m_edges = check_edges(cuts[(None, monetary)], monetary, duplicates)
+    cuts = column_quantiles(df, [recency, monetary], QUINTILES)
+    r_edges = check_edges(cuts[recency], recency, duplicates)
+    m_edges = check_edges(cuts[monetary], monetary, duplicates)
     f_edges = check_edges(rank_edges(rows), frequency, duplicates)
-    ranked = rank_first(df, [F.col(frequency).asc(), F.col("customer_id").asc()], "_rank",
-                        rows=rows, small_rows=small_rows)
+    ranked = rank_first(df, [F.col(frequency).asc(), F.col("customer_id").asc()], "_rank")
     return ranked.withColumns({
         "recency_score": score(recency, r_edges, descending=True),
         "frequency_score": score("_rank", f_edges),
         "monetary_score": score(monetary, m_edges)}).drop("_rank")
 
 
-def rfm_scores(base: DataFrame, small_rows: int = SMALL_ROWS, duplicates: str = "raise") -> DataFrame:
+def rfm_scores(base: DataFrame, duplicates: str = "raise") -> DataFrame:
     """Recency, frequency, monetary value, their scores and the three-digit code.
 
     The base is staged, as edges and scores both read it.
@@ -82,7 +81,7 @@ def rfm_scores(base: DataFrame, small_rows: int = SMALL_ROWS, duplicates: str =
         "recency": F.datediff(latest(staged, "last_order_date"), "last_order_date"),
         "frequency": F.col("total_orders"),
         "monetary": F.col("total_spent")})
-    scored = quintile_scores(measured, "recency", "frequency", "monetary", small_rows, duplicates)
+    scored = quintile_scores(measured, "recency", "frequency", "monetary", duplicates)
     return scored.withColumn("rfm_score", F.concat(*[
         F.col(c).cast("string") for c in ("recency_score", "frequency_score", "monetary_score")]))
 

@@ -7,26 +7,27 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings the plans in this package rely on.  They are only filled in where
-# the user has not chosen a value.
+# Settings the plans in this package rely on: Spark's default and ours.  They
+# are only filled in where the user has not chosen a value.
 #
 # forceOptimizeSkewedJoin lets AQE split a hot join key even when the join's
 # partitioning would otherwise be reused by the aggregation above it.
 _DEFAULTS = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.enabled": ("true", "true"),
+    "spark.sql.adaptive.coalescePartitions.enabled": ("true", "true"),
+    "spark.sql.adaptive.skewJoin.enabled": ("true", "true"),
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": ("false", "true"),
 }
 
-_local_scratch: dict[str, str] = {}
-
-
 def tune(spark: SparkSession) -> SparkSession:
-    """Fill in the adaptive-execution settings the user has left open."""
-    chosen = {key for key, _ in spark.sparkContext.getConf().getAll()}
-    for key, value in _DEFAULTS.items():
-        if key not in chosen:
+    """Fill in the adaptive-execution settings the user has left open.
+
+    A setting counts as chosen when the context was started with it, or when
+    the session holds another value than Spark's own default.
+    """
+    started = {key for key, _ in spark.sparkContext.getConf().getAll()}
+    for key, (own, value) in _DEFAULTS.items():
+        if key not in started and spark.conf.get(key) == own:
             spark.conf.set(key, value)
     return spark
 
@@ -34,17 +35,16 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder.
+    Where it is unset on a local master - a test or a trial on one machine -
+    it is set here, once for the session.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    if context.applicationId not in _local_scratch:
-        _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="tillsight-")
-    return _local_scratch[context.applicationId]
+    if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        named = tempfile.mkdtemp(prefix="tillsight-")
+        spark.conf.set("spark.checkpoint.dir", named)
+    return named.rstrip("/")
 
 
 def _scratch_root(spark: SparkSession) -> str:

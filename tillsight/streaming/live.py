@@ -1,8 +1,14 @@
 """Live figures over an event stream.
 
-Results are written per micro-batch into ``<path>/batch=<id>``; a batch that is
-retried overwrites its own folder, so each counts once.  ``current`` reads the
-newest row of every key.
+After every micro-batch the newest row of every key is written into
+``<path>/batch=<id>``: the rows the batch changed over those of the batch
+before.  A batch that is retried overwrites its own folder, so each counts
+once; folders older than the batch before are deleted, so what is stored and
+read grows with the keys, not with the batches.
+
+Totals, windows and days are kept without a watermark: an event counts however
+late it comes, at the price of one state row per window.  Only
+``append_closed_windows`` closes windows by a watermark.
 """
 
 from __future__ import annotations
@@ -27,19 +33,49 @@ def kpi_totals(events: DataFrame) -> DataFrame:
         F.coalesce(money_sum(F.when(sale, F.col("value"))), F.lit(0.0)).alias("total_revenue"))
 
 
-def trend_windows(events: DataFrame, width: str = "1 hour", late: str = "1 hour") -> DataFrame:
-    """Sales per tumbling window; windows older than the watermark are closed."""
-    watched = events.withWatermark("ts", late) if events.isStreaming else events
+def trend_windows(events: DataFrame, width: str = "1 hour", late: str | None = None) -> DataFrame:
+    """Sales per tumbling window; with ``late`` windows are closed by that watermark."""
+    watched = events.withWatermark("ts", late) if late and events.isStreaming else events
     return (watched.filter(F.col("event_type") == SALE)
             .groupBy(F.window("ts", width))
             .agg(money_sum("value").alias("revenue"), F.count("*").alias("order_count"))
             .select(F.col("window.start").alias("window_start"), "revenue", "order_count"))
 
 
-def daily_sales(events: DataFrame, late: str = "1 hour") -> DataFrame:
-    days = trend_windows(events, "1 day", late)
-    return days.select(F.to_date("window_start").alias("order_date"),
-                       F.col("revenue").alias("daily_revenue"))
+def daily_sales(events: DataFrame) -> DataFrame:
+    """Sales per day, as the session's time zone reads the event time."""
+    return (events.filter(F.col("event_type") == SALE).groupBy(F.to_date("ts").alias("order_date"))
+            .agg(money_sum("value").alias("daily_revenue")))
+
+
+def _batches(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the stored batches, in order."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return []
+    names = [entry.getPath().getName() for entry in system.listStatus(folder)]
+    return sorted(int(n.removeprefix("batch=")) for n in names if n.startswith("batch="))
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _merge(batch: DataFrame, batch_id: int, path: str, keys: Sequence[str]) -> DataFrame:
+    """Store the newest row of every key after this batch, and return the stored rows."""
+    spark = batch.sparkSession
+    before = [b for b in _batches(spark, path) if b < batch_id]
+    merged = batch
+    if before and keys:
+        old = spark.read.schema(batch.schema).parquet(f"{path}/batch={before[-1]}")
+        merged = batch.unionByName(old.join(batch.select(*keys), list(keys), "left_anti"))
+    merged.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    for stale in before[:-1]:
+        _drop(spark, f"{path}/batch={stale}")
+    return spark.read.schema(batch.schema).parquet(f"{path}/batch={batch_id}")
 
 
 def _start(df: DataFrame, checkpoint: str, mode: str, each, once: bool) -> StreamingQuery:
@@ -47,11 +83,15 @@ def _start(df: DataFrame, checkpoint: str, mode: str, each, once: bool) -> Strea
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="5 minutes")).start()
 
 
-def write_updates(df: DataFrame, path: str, checkpoint: str, mode: str = "update",
+def write_updates(df: DataFrame, path: str, checkpoint: str, keys: Sequence[str] = (), mode: str = "update",
                   once: bool = False) -> StreamingQuery:
-    """Store the rows each micro-batch changes (or, in complete mode, all rows)."""
+    """Keep the newest row of every key; without keys the rows of the last batch."""
     def each(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        held = batch.persist()
+        try:
+            _merge(held, batch_id, path, keys)
+        finally:
+            held.unpersist()
 
     return _start(df, checkpoint, mode, each, once)
 
@@ -63,30 +103,31 @@ def append_closed_windows(df: DataFrame, path: str, checkpoint: str, once: bool
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="5 minutes")).start()
 
 
-def current(spark: SparkSession, path: str, keys: Sequence[str] = ()) -> DataFrame:
-    """The newest row per key of the stored updates."""
-    stored = spark.read.parquet(path)
-    values = [c for c in stored.columns if c not in (*keys, "batch")]
-    newest = stored.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("r"))
-    return newest.select(*keys, *[F.col(f"r.{v}").alias(v) for v in values])
+def current(spark: SparkSession, path: str) -> DataFrame:
+    """The newest row of every key."""
+    stored = _batches(spark, path)
+    if not stored:
+        raise FileNotFoundError(f"no batch stored below {path}")
+    return spark.read.parquet(f"{path}/batch={stored[-1]}")
 
 
 def watch_revenue(events: DataFrame, path: str, alerts_path: str, checkpoint: str,
                   once: bool = False, days: int = 7) -> StreamingQuery:
     """After every micro-batch, check the last days against their moving average.
 
-    Days changed by the batch are stored first; the check reads back the stored
-    days, since a stream cannot look at its own earlier rows.  A batch without
-    changes raises nothing.
+    The check reads the stored days, one row each.  A batch without changes
+    raises nothing.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
-        spark, part = batch.sparkSession, f"{path}/batch={batch_id}"
-        batch.write.mode("overwrite").parquet(part)
-        if spark.read.schema(batch.schema).parquet(part).isEmpty():
-            return
-        stored = current(spark, path, ["order_date"])
-        recent = last_days(stored, "order_date", None, days)
-        fired = revenue_alert(recent).filter("is_alert")
-        fired.write.mode("overwrite").parquet(f"{alerts_path}/batch={batch_id}")
+        held = batch.persist()
+        try:
+            stored = _merge(held, batch_id, path, ["order_date"])
+            if held.isEmpty():
+                return
+            recent = last_days(stored, "order_date", None, days)
+            fired = revenue_alert(recent).filter("is_alert")
+            fired.write.mode("overwrite").parquet(f"{alerts_path}/batch={batch_id}")
+        finally:
+            held.unpersist()
 
     return _start(daily_sales(events), checkpoint, "update", each, once)
