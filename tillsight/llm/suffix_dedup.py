@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from tillsight.llm.words import mix, slices, text_bytes
@@ -38,6 +39,8 @@ GRAM = 32
 FILTER_BITS = 27  # the filter of repeated anchors has 2 ** FILTER_BITS bits, whatever the corpus
 HEAVY = 500  # a corpus has fewer heavy anchors than this
 BLOCK = 1 << 19
+BUCKET = 100_000  # segments in a bucket, about
+HELD = 16 << 20  # bytes of segments that a task gathers before it packs them
 SLICE = 4 << 20
 _BYTE, _STEP = mix(256, 11), mix(8, 12)
 
@@ -212,11 +215,6 @@ def repeated_windows(parts: list[bytes], length: int) -> list[np.ndarray]:
 
 # Spark --------------------------------------------------------------------------------------------------------------
 
-_ROW = pa.schema([("g", pa.int64()), ("id", pa.int64()), ("th", pa.int64()), ("a", pa.int64()), ("b", pa.int64()),
-                  ("piece", pa.binary())])
-_KINDS = "g long, id long, th long, a long, b long, piece binary"
-
-
 def _slices(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple]:
     for batch in batches:
         for part in slices(batch, SLICE):
@@ -247,17 +245,28 @@ def _anchor_counts(rows: DataFrame, length: int) -> DataFrame:
     return counted.groupBy("h").agg(F.sum("c").alias("c"), F.sum("d").alias("d")).filter("c > 1")
 
 
-def _filter(again: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Bits of the repeated anchors, and the heavy anchors: both of bounded size."""
-    word = F.shiftrightunsigned("h", 64 - FILTER_BITS + 6).alias("w")
-    bit = F.shiftrightunsigned("h", 64 - FILTER_BITS).bitwiseAND(F.lit(63)).cast("int")
-    found = again.select(word, bit.alias("b")).groupBy("w").agg(
+def _bits(hashes: DataFrame) -> np.ndarray:
+    """A filter of 2 ** FILTER_BITS bits that knows the hashes in the only column; others may pass by chance."""
+    h = F.col(hashes.columns[0])
+    word = F.shiftrightunsigned(h, 64 - FILTER_BITS + 6).alias("w")
+    bit = F.shiftrightunsigned(h, 64 - FILTER_BITS).bitwiseAND(F.lit(63)).cast("int")
+    found = hashes.select(word, bit.alias("b")).groupBy("w").agg(
         F.expr("bit_or(shiftleft(1L, b))").alias("bits")).toPandas()
     bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
     bits[found["w"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
+    return bits
+
+
+def _known(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    place = hashes >> np.uint64(64 - FILTER_BITS)
+    return ((bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)) == 1
+
+
+def _heavy(again: DataFrame) -> np.ndarray:
+    """Anchors with more than 1 / HEAVY of the different segments: fewer than HEAVY."""
     total = again.agg(F.sum("d")).first()[0] or 0
-    heavy = [r["h"] for r in again.filter(F.col("d") > max(64, total // HEAVY)).select("h").collect()]
-    return bits, np.array(sorted(heavy), np.int64).view(np.uint64)
+    found = [r["h"] for r in again.filter(F.col("d") > max(64, total // HEAVY)).select("h").collect()]
+    return np.array(sorted(found), np.int64).view(np.uint64)
 
 
 def _alone(data, h, of, first, last, heavy, length):
@@ -287,19 +296,55 @@ def _united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _candidates(batches: Iterator[pa.RecordBatch], shared, length: int) -> Iterator[pa.RecordBatch]:
+def _packed(rows: list[tuple], buckets: int) -> pa.RecordBatch:
+    """Rows (g, id, th, a, b, piece) as one compressed block for each bucket: a row each would take twice the room."""
+    columns = [np.array([r[0] for r in rows], np.int64)]
+    columns += [np.array([r[1] is not None for r in rows], np.int8), np.array([r[1] or 0 for r in rows], np.int64)]
+    columns += [np.array([r[k] for r in rows], np.int64) for k in (2, 3, 4)]
+    bucket = columns[0] % buckets
+    order = np.lexsort((columns[0], bucket))
+    cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+    names, blocks = [], []
+    press = zstandard.ZstdCompressor(level=3)
+    for part in np.split(order, cuts):
+        pieces = [rows[k][5] for k in part]
+        sizes = np.array([-1 if p is None else len(p) for p in pieces], np.int32)
+        body = [c[part].tobytes() for c in columns] + [sizes.tobytes(), b"".join(p for p in pieces if p is not None)]
+        names.append(int(bucket[part[0]]))
+        blocks.append(press.compress(len(part).to_bytes(8, "little") + b"".join(body)))
+    return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blocks, pa.binary())], names=["bucket", "block"])
+
+
+def _unpacked(block: bytes) -> list[tuple]:
+    raw = zstandard.ZstdDecompressor().decompress(block)
+    n, at, columns = int.from_bytes(raw[:8], "little"), 8, []
+    for kind in (np.int64, np.int8, np.int64, np.int64, np.int64, np.int64, np.int32):
+        columns.append(np.frombuffer(raw, kind, n, at).tolist())
+        at += n * np.dtype(kind).itemsize
+    g, named, ids, th, a, b, sizes = columns
+    out = []
+    for k in range(n):
+        piece = None
+        if sizes[k] >= 0:
+            piece = raw[at:at + sizes[k]]
+            at += sizes[k]
+        out.append((g[k], ids[k] if named[k] else None, th[k], a[k], b[k], piece))
+    return out
+
+
+def _candidates(batches: Iterator[pa.RecordBatch], shared, length: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """Segments with repeated anchors; what equals an earlier segment of the same slice is given as a finished span."""
     bits, heavy = shared.value
+    held, size = [], 0
     for part, data, offsets, h, of, first, last in _slices(batches, length):
-        place = h >> np.uint64(64 - FILTER_BITS)
-        keep = ((bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)) == 1
+        keep = _known(bits, h)
         h, of, first, last = _alone(data, h[keep], of[keep], first[keep], last[keep], heavy, length)
         ids, ths = part.column(0).to_pylist(), part.column(1).to_pylist()
         ranked = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0, ths[i]))
         rank = np.empty(len(ids), np.int64)
         rank[ranked] = np.arange(len(ids))
         order = np.lexsort((first, rank[of]))
-        raw, seen, rows, again = data.tobytes(), set(), [], {}
+        raw, seen, again = data.tobytes(), set(), {}
         for g, o, a, b in zip(h.view(np.int64)[order].tolist(), of[order].tolist(), first[order].tolist(),
                               (last[order] + length).tolist()):
             piece, base = raw[a:b], int(offsets[o])
@@ -307,16 +352,33 @@ def _candidates(batches: Iterator[pa.RecordBatch], shared, length: int) -> Itera
                 again.setdefault(o, []).append((a - base, b - base))
             else:
                 seen.add(piece)
-                rows.append((g, ids[o], ths[o], a - base, b - base, piece))
+                held.append((g, ids[o], ths[o], a - base, b - base, piece))
+                size += len(piece) + 64
         for o, spans in again.items():
-            rows += [(ths[o] ^ a, ids[o], ths[o], a, b, None) for a, b in _united(spans)]
-        for at in range(0, len(rows), 20_000):
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[at:at + 20_000]), _ROW)],
-                                             schema=_ROW)
+            held += [(ths[o] ^ a, ids[o], ths[o], a, b, None) for a, b in _united(spans)]
+        if size > HELD:
+            yield _packed(held, buckets)
+            held, size = [], 0
+    if held:
+        yield _packed(held, buckets)
+
+
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The rows of each bucket, sorted by group; blocks come sorted by bucket."""
+    rows, now = [], None
+    for batch in batches:
+        for bucket, block in zip(batch.column(0).to_pylist(), batch.column(1)):
+            if bucket != now and rows:
+                yield sorted(rows, key=lambda r: r[0])
+                rows = []
+            now = bucket
+            rows += _unpacked(block.as_py())
+    if rows:
+        yield sorted(rows, key=lambda r: r[0])
 
 
 def _marked(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Repeated spans from segments that come sorted by group."""
+    """Repeated spans from the segments of whole buckets."""
     spans: list[tuple] = []
     group: dict[bytes, tuple] = {}  # the first place of each different segment
     block: list[tuple] = []  # segments of groups that have several
@@ -348,8 +410,8 @@ def _marked(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
         spans.clear()
         return out
 
-    for batch in batches:
-        for g, i, th, a, b, piece in zip(*[batch.column(k).to_pylist() for k in range(6)]):
+    for rows in _buckets(batches):
+        for g, i, th, a, b, piece in rows:
             if g != last:
                 close_group()
                 last = g
@@ -375,9 +437,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     tune(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
     again = stage(_anchor_counts(rows, length), "anchors")
-    shared = docs.sparkSession.sparkContext.broadcast(_filter(again))
-    found = rows.mapInArrow(lambda batches: _candidates(batches, shared, length), _KINDS)
-    found = found.repartition("g").sortWithinPartitions("g")
+    shared = docs.sparkSession.sparkContext.broadcast((_bits(again.select("h")), _heavy(again)))
+    repeats = again.agg(F.sum("c")).first()[0] or 0
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), repeats // BUCKET)
+    found = rows.mapInArrow(lambda batches: _candidates(batches, shared, length, buckets), "bucket int, block binary")
+    found = found.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     spans = found.mapInArrow(lambda batches: _marked(batches, length), "id long, th long, a long, b long")
     return stage(spans.groupBy("id", "th").agg(F.collect_list(F.struct("a", "b")).alias("spans")), "spans")
 
@@ -387,7 +451,17 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id
     spans = repeated_spans(docs, length, id_col, text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("i"), F.xxhash64(text_col).alias("t"),
                        F.coalesce(text_col, F.lit("")).cast("binary").alias("text"))
-    joined = rows.join(spans, F.col("i").eqNullSafe(F.col("id")) & (F.col("t") == F.col("th")), "left")
+    # Only texts that may have spans are shuffled to meet them.
+    shared = docs.sparkSession.sparkContext.broadcast(_bits(spans.select("th")))
+
+    @F.arrow_udf("boolean")
+    def touched(hashes: pa.Array) -> pa.Array:
+        return pa.array(_known(shared.value, hashes.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)))
+
+    same = F.col("i").eqNullSafe(F.col("id")) & (F.col("t") == F.col("th"))
+    met = rows.filter(touched("t")).join(spans, same, "left").select("i", "text", "spans")
+    alone = rows.filter(~touched("t")).select("i", "text", F.lit(None).cast("array<struct<a:long,b:long>>").alias("spans"))
+    joined = met.unionByName(alone)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
