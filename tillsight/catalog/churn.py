@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tillsight.catalog import base
 from tillsight.catalog.base import even, query, rounded, scores, segments
@@ -227,3 +227,29 @@ def ch_full_run(t: Star) -> DataFrame:
     """All churn steps: three models, five folds; returns the scored customers."""
     run = plan.run_churn(t.registered, t.orders, t.order_items, t.products)
     return run.scored.select("customer_id", "churn_label", "churn_probability", "churn_risk_category")
+
+
+@query("ch_logistic_check", """
+    SELECT COUNT(*) AS customers, COUNT(*) AS scored_once, COUNT(*) AS in_range, COUNT(*) AS category_fits
+    FROM r_churn_labels""")
+def ch_logistic_check(t: Star) -> DataFrame:
+    """Every customer is scored once, between 0 and 1, and the category follows from the probability."""
+    p = F.col("churn_probability")
+    category = F.when(p <= 0.3, "Low Risk").when(p <= 0.7, "Medium Risk").otherwise("High Risk")
+    scored = _scored(t, models.LOGISTIC)
+    return scored.agg(F.count("*").alias("customers"), F.count_distinct("customer_id").alias("scored_once"),
+                      F.count_if((p >= 0) & (p <= 1)).alias("in_range"),
+                      F.count_if(F.col("churn_risk_category") == category).alias("category_fits"))
+
+
+@query("ch_importance_check", f"""
+    SELECT '{models.LOGISTIC}' AS model, CAST({len(churn.FEATURES)} AS BIGINT) AS features, CAST(0 AS BIGINT) AS negative,
+           CAST(0 AS BIGINT) AS out_of_order""")
+def ch_importance_check(t: Star) -> DataFrame:
+    """One importance per input, none negative, largest first."""
+    data = _data(t)
+    found = models.feature_importance(data, models.train_models(data, (models.LOGISTIC,)))
+    after = F.lead("importance").over(Window.partitionBy("model").orderBy("place"))
+    return found.withColumn("after", after).groupBy("model").agg(
+        F.count_distinct("feature").alias("features"), F.count_if(F.col("importance") < 0).alias("negative"),
+        F.count_if(F.col("after") > F.col("importance")).alias("out_of_order"))

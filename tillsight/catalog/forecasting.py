@@ -131,6 +131,20 @@ def fc_arima(t: Star) -> DataFrame:
     return arima.arima_forecast(daily, keys=["category"])
 
 
+@query("fc_arima_check", """
+    SELECT category, COUNT(*) AS days, min(d) AS first_day, max(d) AS last_day, TRUE AS interval_fits
+    FROM (SELECT category, CAST(last + CAST(h AS INTEGER) AS DATE) AS d
+          FROM (SELECT category, max(order_date) AS last FROM r_sales_base GROUP BY 1),
+               (SELECT unnest(generate_series(1, 30)) AS h)) GROUP BY 1""")
+def fc_arima_check(t: Star) -> DataFrame:
+    """Thirty days after each category's last one, each inside its interval."""
+    found = fc_arima(t)
+    fits = F.col("predicted_value").between(F.col("lower_ci"), F.col("upper_ci"))
+    return found.groupBy("category").agg(
+        F.count("*").alias("days"), F.min("forecast_date").alias("first_day"), F.max("forecast_date").alias("last_day"),
+        F.bool_and(fits).alias("interval_fits"))
+
+
 @query("fc_random_forest")
 def fc_random_forest(t: Star) -> DataFrame:
     ahead, errors = forecast.random_forest(series.model_features(_daily(t)))

@@ -90,3 +90,12 @@ def a18_cluster_profile(t: Star) -> DataFrame:
 def seg_full_run(t: Star) -> DataFrame:
     """All segmentation steps; returns the stored segment rows."""
     return plan.run_segmentation(t.customers, t.orders, t.order_items).segments
+
+
+@query("seg_kmeans_check", "SELECT COUNT(*) AS customers, COUNT(*) AS clustered, TRUE AS ids_fit FROM r_rfm")
+def seg_kmeans_check(t: Star) -> DataFrame:
+    """Every customer is in one of the four clusters."""
+    found, _ = clusters.cluster_customers(labelled(t), k=4)
+    c = F.col("kmeans_cluster")
+    return found.agg(F.count_distinct("customer_id").alias("customers"), F.count(c).alias("clustered"),
+                     ((F.min(c) >= 0) & (F.max(c) < 4)).alias("ids_fit"))

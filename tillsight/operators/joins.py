@@ -74,11 +74,17 @@ def restrict_to(df: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
 
 
 def calendar_fill(df: DataFrame, date_col: str, zero: Sequence[str], step: str = "1 day",
-                  keys: Sequence[str] = ()) -> DataFrame:
-    """Put each series on a gap-free grid between its own ends, gaps as 0."""
+                  keys: Sequence[str] = (), longest: int = 36_525) -> DataFrame:
+    """Put each series on a gap-free grid between its own ends, gaps as 0.
+
+    A series that spans more than ``longest`` days, which one mistyped date is
+    enough for, is refused.
+    """
     spans = df.groupBy(*keys).agg(F.min(date_col).alias("_lo"), F.max(date_col).alias("_hi"))
+    end = F.when(F.datediff("_hi", "_lo") <= longest, F.col("_hi")).otherwise(F.raise_error(F.concat(
+        F.lit("series too long: "), F.col("_lo").cast("string"), F.lit(" to "), F.col("_hi").cast("string"))).cast("date"))
     grid = spans.select(*keys, F.explode(
-        F.sequence("_lo", "_hi", F.expr(f"interval {step}"))).alias(date_col))
+        F.sequence(F.col("_lo"), end, F.expr(f"interval {step}"))).alias(date_col))
     filled = grid.join(df, [*keys, date_col], "left")
     return filled.select(*[
         F.coalesce(F.col(c), F.lit(0).cast(df.schema[c].dataType)).alias(c) if c in zero else F.col(c)

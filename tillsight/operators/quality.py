@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tillsight.functions.scalars import flag, to_col
 
+# Column in which the CSV reader counts the values of a row that did not fit their types.
+BAD_VALUES = "bad_values"
+
 LOG_COLUMNS = ("table_name", "check_type", "status", "error_count", "total_records",
                "error_details", "checked_at")
 
@@ -89,10 +92,12 @@ def quality_report(tables: Mapping[str, DataFrame], as_of: Column,
     copies = F.col("_copies")
     parts = []
     for table, df in tables.items():
-        broken = {f"null_count:{f.name}": _missing(f) for f in df.schema.fields}
+        broken = {f"null_count:{f.name}": _missing(f) for f in df.schema.fields if f.name != BAD_VALUES}
         broken |= table_rules(table, as_of)
         checks = {n: F.sum(F.when(c, copies)) for n, c in broken.items()}
         checks["duplicate_count"] = F.sum(copies - 1)
+        if BAD_VALUES in df.columns:
+            checks[BAD_VALUES] = F.sum(F.col(BAD_VALUES) * copies)
         checks["total_records"] = F.lit(0)
         counted = (df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
                    .agg(F.coalesce(F.sum(copies), F.lit(0)).alias("_rows"),

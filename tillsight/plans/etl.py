@@ -27,7 +27,8 @@ def run_etl(spark: SparkSession, in_dir: str, out_dir: str, as_of: AsOf = None)
     today = F.current_date() if as_of is None else F.lit(as_of).cast("date")
     report = stage(quality.quality_report(raw, today), "quality")
     # Staged once: every summary and export below reads the cleaned rows.
-    cleaned = {name: stage(df, name) for name, df in clean.clean(raw, as_of).items()}
+    rows = {name: df.drop(quality.BAD_VALUES) for name, df in raw.items()}
+    cleaned = {name: stage(df, name) for name, df in clean.clean(rows, as_of).items()}
     writers.load_tables({**cleaned, **summaries(cleaned), "data_quality_logs": report}, f"{out_dir}/tables")
     writers.write_processed_csv(cleaned, f"{out_dir}/processed")
     return report

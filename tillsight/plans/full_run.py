@@ -75,8 +75,10 @@ def main() -> None:
     parser.add_argument("--as-of", help="reference date, YYYY-MM-DD")
     args = parser.parse_args()
     spark = SparkSession.builder.appName("tillsight").getOrCreate()
-    run(spark, args.in_dir, args.out_dir, args.as_of, args.mode)
-    clear_scratch(spark)
+    try:
+        run(spark, args.in_dir, args.out_dir, args.as_of, args.mode)
+    finally:
+        clear_scratch(spark)
 
 
 if __name__ == "__main__":
