@@ -48,6 +48,12 @@ def test_auc_beats_chance(data, fitted):
     assert all(r.auc > 0.6 for r in models.test_auc(data, fitted).collect())
 
 
+def test_training_is_spread(data, star):
+    assert data.rows.rdd.getNumPartitions() > 1
+    scored = rfm.rfm_scores(rfm.segment_base(star.customers, star.orders, star.order_items))
+    assert clusters.standardised(scored).rdd.getNumPartitions() > 1
+
+
 def test_cross_validation(data):
     rows = models.cross_validate(data, (models.RANDOM_FOREST, models.LOGISTIC), trees=10).collect()
     assert len(rows) == 2 and all(0.5 < r.cv_mean <= 1 and r.cv_std >= 0 for r in rows)
@@ -86,7 +92,8 @@ def test_forest_forecast_is_flat(star):
 def test_forest_needs_fifty_rows(star):
     daily = series.time_series(series.sales_base(star.orders, star.order_items, star.products))
     short = series.model_features(daily.orderBy("ds").limit(79))
-    assert forecast.random_forest(short) is None
+    ahead, errors = forecast.random_forest(short)
+    assert ahead.isEmpty() and errors.isEmpty()
 
 
 def test_projection_formula():

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 from tillsight.functions.ranks import running_totals
 from tillsight.functions.scalars import risk_category
 from tillsight.operators.churn import FEATURES, stratified_split
-from tillsight.session import stage
+from tillsight.session import spread, stage
 
 RANDOM_FOREST, GRADIENT_BOOSTING, LOGISTIC = (
     "Random Forest", "Gradient Boosting", "Logistic Regression")
@@ -65,9 +65,9 @@ def training_data(matrix: DataFrame) -> TrainingData:
     """Split, pack and stage a feature matrix; scale by its training rows."""
     parted = stratified_split(stage(matrix, "matrix"))
     packed = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(parted)
-    rows = stage(packed.select(
-        "customer_id", F.col("churn_label").cast("double").alias("label"), "features", "is_train", "fold"),
-        "training")
+    rows = packed.select(
+        "customer_id", F.col("churn_label").cast("double").alias("label"), "features", "is_train", "fold")
+    rows = stage(spread(rows, "customer_id"), "training")
     train = rows.filter("is_train")
     scaler = StandardScaler(withMean=True, inputCol="features", outputCol="scaled").fit(train)
     return TrainingData(rows, train.count(), scaler)

@@ -12,7 +12,7 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, functions as F
 
 from tillsight.functions.ranks import column_quantiles
-from tillsight.session import stage
+from tillsight.session import spread, stage
 
 # The columns that are clustered.
 CLUSTER_FEATURES = ("recency", "frequency", "monetary", "avg_order_value",
@@ -40,7 +40,7 @@ def standardised(df: DataFrame, columns: Iterable[str] = CLUSTER_FEATURES, id_co
     filled = fill_with_median(df.select(id_col, *columns), columns)
     packed = VectorAssembler(inputCols=columns, outputCol="raw").transform(filled)
     scaler = StandardScaler(withMean=True, withStd=True, inputCol="raw", outputCol="features").fit(packed)
-    return stage(scaler.transform(packed).select(id_col, "features"), "features")
+    return stage(spread(scaler.transform(packed).select(id_col, "features"), id_col), "features")
 
 
 @contextmanager

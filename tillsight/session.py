@@ -62,6 +62,11 @@ def clear_scratch(spark: SparkSession) -> None:
     root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """``df`` in as many partitions as a shuffle has, also where AQE would join small ones: for iterative training."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of the copy.
 
