@@ -192,7 +192,7 @@ def distances(pairs: list[tuple[list[bytes], list[bytes]]]) -> np.ndarray:
 
 def _batches(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple]:
     for batch in batches:
-        for part in slices(batch, 8 << 20):
+        for part in slices(batch, 2 << 20):
             data, offsets = text_bytes(part.column(column))
             yield (part, data, *words(data, offsets))
 

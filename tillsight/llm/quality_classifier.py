@@ -114,7 +114,7 @@ class Model:
 
     def score(self, texts: pa.Array) -> np.ndarray:
         out = [np.zeros(0)]
-        for part in slices(pa.RecordBatch.from_arrays([texts], names=["t"]), 4 << 20):
+        for part in slices(pa.RecordBatch.from_arrays([texts], names=["t"]), 2 << 20):
             out.append(margins(*text_bytes(part.column(0)), self.weights, self.bias))
         return 1.0 / (1.0 + np.exp(-np.clip(np.concatenate(out), -35, 35)))
 

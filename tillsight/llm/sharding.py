@@ -77,12 +77,16 @@ def shards(docs: DataFrame, count: int = 8, id_col: str = "doc_id", text_col: st
     rows = docs.select(F.struct(*[docs[c] for c in keep]).alias("row"), utf8_size(docs[text_col]).alias("bytes"),
                        F.xxhash64(docs[text_col]).alias("h"), F.xxhash64(docs[id_col].cast("string")).alias("t"))
     rows = rows.withColumn("size", F.col("bytes") + 1).drop("bytes")
-    placed, total = _into_ranges(rows)
+    # Ranges are found on the keys alone, written once; the rows themselves are read again for the last step.
+    keys = stage(rows.select("h", "t", "size"), "keys")
+    total = keys.agg(F.sum("size")).first()[0] or 0
     if not total:
         return docs.select(*[c for c in keep if c not in ("shard", "slot")],
                            F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot")).limit(0)
 
-    sums = placed.groupBy("range").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
+    place = _range(_boundaries(keys, total)).alias("range")
+    placed = rows.select("*", place)
+    sums = keys.select("size", place).groupBy("range").agg(F.sum("size").alias("bytes"), F.count("*").alias("n"))
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     # One row for each range: a table of bounded size.
     offsets = sums.select("range", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("bytes_before"),
@@ -103,11 +107,8 @@ def shards(docs: DataFrame, count: int = 8, id_col: str = "doc_id", text_col: st
     return order.join(F.broadcast(first), "shard").select(*kept, "shard", (F.col("place") - F.col("first")).alias("slot"))
 
 
-def _into_ranges(rows: DataFrame) -> tuple[DataFrame, int]:
-    """Rows with their range, written once, and the bytes of all; overfull ranges are subdivided."""
-    total = rows.agg(F.sum("size")).first()[0] or 0
-    if not total:
-        return rows.withColumn("range", F.lit(0)), 0
+def _boundaries(rows: DataFrame, total: int) -> list[tuple[int, int]]:
+    """Range boundaries from sampled keys; ranges that turn out overfull are subdivided."""
     keys = _quantiles(_drawn(rows, total, RANGES * DRAWS), RANGES)
     bounds = _snapped(keys)
     full = 4 * total / RANGES
@@ -115,10 +116,9 @@ def _into_ranges(rows: DataFrame) -> tuple[DataFrame, int]:
     over = sized.groupBy("range").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).filter(
         (F.col("bytes") > full) & (F.col("n") > 1))
     over = [(r["range"], r["bytes"]) for r in over.collect()]  # fewer than RANGES / 4
-    if over:
-        inside = sized.filter(F.col("range").isin([r for r, _ in over]))
-        weight = sum(b for _, b in over)
-        parts = min(RANGES, -(-weight * RANGES // total) * 2)
-        keys = keys + _quantiles(_drawn(inside, weight, parts * DRAWS), parts)
-        bounds = _snapped(keys)
-    return stage(rows.withColumn("range", _range(bounds)), "ranged"), total
+    if not over:
+        return bounds
+    inside = sized.filter(F.col("range").isin([r for r, _ in over]))
+    weight = sum(b for _, b in over)
+    parts = min(RANGES, -(-weight * RANGES // total) * 2)
+    return _snapped(keys + _quantiles(_drawn(inside, weight, parts * DRAWS), parts))
