@@ -141,6 +141,16 @@ def test_byte_runs(spark, length):
     assert got == brute_bytes(rows, length)
 
 
+@pytest.mark.parametrize("parts", [1, 5])
+def test_byte_runs_of_repeated_rows(spark, parts):
+    rows = [(r[0], r[1]) for r in messy_rows() if r[0] is not None and r[1] != "same id, other text"]
+    assert len(rows) > len(set(rows))
+    rows += [r for r in rows if r[0] in (7, 12)]
+    out = suffix_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)).collect()
+    want = brute_bytes(set(rows), 100)
+    assert sorted((r.doc_id, bytes(r.kept)) for r in out) == sorted((i, want[i]) for i, _ in rows)
+
+
 def test_byte_runs_with_heavy_anchors(spark, monkeypatch):
     rng = random.Random(8)
     passage = prose(rng, 40)

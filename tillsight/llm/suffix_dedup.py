@@ -337,12 +337,15 @@ def _candidates(batches: Iterator[pa.RecordBatch], shared, length: int, buckets:
     bits, heavy = shared.value
     held, size = [], 0
     for part, data, offsets, h, of, first, last in _slices(batches, length):
-        keep = _known(bits, h)
-        h, of, first, last = _alone(data, h[keep], of[keep], first[keep], last[keep], heavy, length)
         ids, ths = part.column(0).to_pylist(), part.column(1).to_pylist()
         ranked = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0, ths[i]))
         rank = np.empty(len(ids), np.int64)
         rank[ranked] = np.arange(len(ids))
+        # Spans go by id and text, so the first of repeated rows speaks for all.
+        spoken = np.zeros(len(ids), bool)
+        spoken[[j for i, j in zip(ranked, ranked[1:]) if ids[i] == ids[j] and ths[i] == ths[j]]] = True
+        keep = _known(bits, h) & ~spoken[of]
+        h, of, first, last = _alone(data, h[keep], of[keep], first[keep], last[keep], heavy, length)
         order = np.lexsort((first, rank[of]))
         raw, seen, again = data.tobytes(), set(), {}
         for g, o, a, b in zip(h.view(np.int64)[order].tolist(), of[order].tolist(), first[order].tolist(),
