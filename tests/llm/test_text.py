@@ -95,6 +95,24 @@ def test_decontamination_recall_at_the_limit():
     assert of > 60 and met / of >= 0.95
 
 
+@pytest.mark.parametrize("size", [60, 100, 200, 400, 800])
+def test_decontamination_recall_of_long_items(size):
+    rng = random.Random(size)
+    vocabulary = [f"w{i}" for i in range(500)]
+    met, of, limit = 0, 100, decontaminate.edits(size)
+    for _ in range(of):
+        a = [rng.choice(vocabulary) for _ in range(size)]
+        b = list(a)
+        for at in rng.sample(range(size), limit):
+            b[at] = "other" + b[at]
+        keys = []
+        for words in (a, b):
+            hashes, *_ = decontaminate.words(*text_bytes(pa.array([" ".join(words)])))
+            keys.append(decontaminate.walk_keys(hashes, np.array([0]), np.array([size]), size)[:, 0])
+        met += bool((keys[0] == keys[1]).any())
+    assert met / of >= 0.95
+
+
 def test_edit_distances():
     rng = random.Random(1)
     pairs = [([bytes([rng.choice(b"abc")]) for _ in range(rng.randint(0, 9))],
