@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillsight.llm import (
-    chat, decontaminate, licences, line_dedup, mixing, quality_classifier, quality_rules, sharding, simhash, suffix_dedup,
+    chat, decontaminate, licences, line_dedup, mixing, packing, quality_classifier, quality_rules, sharding, simhash,
+    suffix_dedup,
 )
 from tillsight.llm.tables import read, utf8_size
 
@@ -94,9 +95,18 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces of the packed sequences, with a digest of their ids."""
+    import public_tokenizers
+
+    packed = packing.pack(read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2, width=4096)
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate, op2_line_dedup, op3_sharding, op4_chat_format, op5_quality_rules, op6_mixing,
-    op7_suffix_dedup, op8_simhash_near_dedup, op9_licence_scan, op10_quality_classifier)}
+    op7_suffix_dedup, op8_simhash_near_dedup, op9_licence_scan, op10_quality_classifier, op11_packing)}
+
 _OP2 = """
 WITH d AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 h AS (SELECT doc_id, ls, list_transform(ls, lambda x: md5(x)) AS hs FROM d),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,6 +11,7 @@ import pyarrow as pa
 # The ASCII white space that separates words.
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
+GAP = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def mix(n: int, seed: int = 1) -> np.ndarray:
@@ -59,3 +61,19 @@ def slices(batch: pa.RecordBatch, most: int = 16 << 20) -> Iterator[pa.RecordBat
             rows = (rows + 1) // 2
         yield batch.slice(at, rows)
         at += rows
+
+
+def pieces(text: bytes, most: int = 1 << 20) -> Iterator[bytes]:
+    """The text in parts of about ``most`` bytes that end at white space: a long text's words never meet in one list.
+
+    A stretch without white space stays whole.
+    """
+    at = 0
+    while len(text) - at > most:
+        cut = max(text.rfind(c, at + 1, at + most) for c in (b" ", b"\n", b"\t", b"\r", b"\x0b", b"\x0c"))
+        if cut < 0:
+            gap = GAP.search(text, at + most)
+            cut = gap.start() if gap else len(text)
+        yield text[at:cut]
+        at = cut
+    yield text[at:] if at else text
