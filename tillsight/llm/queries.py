@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillsight.llm import (
-    chat, decontaminate, licences, line_dedup, mixing, packing, quality_classifier, quality_rules, sharding, simhash,
+    chat, decontaminate, divergence, filter_audit, licences, line_dedup, mixing, packing, quality_classifier, quality_rules, sharding, simhash,
     suffix_dedup,
 )
 from tillsight.llm.tables import read, utf8_size
@@ -103,9 +103,18 @@ def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(read(spark, folder, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    found = filter_audit.audit(read(spark, folder, "documents"), read(spark, folder, "labels"))
+    return found.drop("filter")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate, op2_line_dedup, op3_sharding, op4_chat_format, op5_quality_rules, op6_mixing,
-    op7_suffix_dedup, op8_simhash_near_dedup, op9_licence_scan, op10_quality_classifier, op11_packing)}
+    op7_suffix_dedup, op8_simhash_near_dedup, op9_licence_scan, op10_quality_classifier, op11_packing, op12_divergence, op13_filter_audit)}
 
 _OP2 = """
 WITH d AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
@@ -165,6 +174,58 @@ SELECT doc_id, coalesce(array_to_string(list_transform(regexp_extract_all(array_
 """
 
 
+_OP12 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+t AS (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term FROM t GROUP BY 1, 2 HAVING count(DISTINCT r) >= 3),
+c AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM t JOIN k USING (lang, term) GROUP BY 1, 2, 3),
+v AS (SELECT lang, count(*)::HUGEINT AS v FROM k GROUP BY 1),
+g AS (SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS total FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source)
+      GROUP BY 1, 2),
+p AS (SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n, 1 + 1000000000 * (coalesce(n, 0) + 1) // (total + v) AS p
+      FROM g JOIN k ON g.lang = k.lang JOIN v ON g.lang = v.lang
+      LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+l AS (SELECT lang, term, 1 + 1000000000 * (sum(n)::HUGEINT + 1) // (any_value(total) + any_value(v)) AS q
+      FROM c JOIN (SELECT lang, sum(n)::HUGEINT AS total FROM c GROUP BY 1) USING (lang) JOIN v USING (lang) GROUP BY 1, 2),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+          FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+every AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source),
+terms AS (SELECT p.lang, source, 'term' AS part, p.term AS item, ((p - q) * (p - q) // q)::BIGINT AS value
+          FROM p JOIN l ON p.lang = l.lang AND p.term = l.term WHERE n > 0 AND p > q)
+SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+FROM (SELECT * FROM every UNION ALL SELECT * FROM terms) QUALIFY part = 'pair' OR rank <= 200
+"""
+
+_OP13 = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+l AS (SELECT doc_id, coalesce(max((quality = 1)::INT), 0) AS good, coalesce(max((toxic = 1)::INT), 0) AS toxic FROM labels GROUP BY 1),
+w AS (SELECT d.*, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, min(d.doc_id) OVER (PARTITION BY text) AS first,
+             regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM d LEFT JOIN l ON d.doc_id = l.doc_id),
+f AS (SELECT part, good, toxic, [len(words) < 200, 100 * len(list_distinct(words)) < 50 * len(words),
+             100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text), regexp_matches(text, '[#$%&*|]'),
+             coalesce(doc_id > first, FALSE)] AS fails FROM w),
+m AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY 1, 2),
+x(c, i) AS (VALUES ('A', 1), ('B', 2), ('C', 3), ('D', 4), ('E', 5)),
+o AS (SELECT a.c || b.c || c.c || d.c || e.c AS filter_order, [a.i, b.i, c.i, d.i, e.i] AS place
+      FROM x a, x b, x c, x d, x e WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+s AS (SELECT part, filter_order, step, n, good, toxic, fails[place[step]] AS fail,
+             len(list_filter(place[1:step - 1], lambda i: fails[i])) > 0 AS gone,
+             len(list_filter(fails, lambda z: z)) = 1 AS single, place[step] AS own
+      FROM m, o, (SELECT unnest(range(1, 6))::INTEGER AS step)),
+r AS (SELECT part, filter_order, step, any_value(own) AS own, coalesce(sum(n) FILTER (NOT fail AND NOT gone), 0)::BIGINT AS kept,
+             coalesce(sum(n) FILTER (fail AND NOT gone), 0)::BIGINT AS removed,
+             coalesce(sum(n) FILTER (fail AND gone), 0)::BIGINT AS redundant,
+             coalesce(sum(n) FILTER (fail AND single), 0)::BIGINT AS unique_fails,
+             coalesce(sum(good) FILTER (fail AND NOT gone), 0)::BIGINT AS good_lost,
+             coalesce(sum(toxic) FILTER (fail AND NOT gone), 0)::BIGINT AS toxic_lost FROM s GROUP BY 1, 2, 3)
+SELECT * EXCLUDE (own), (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM r
+"""
+
+
 # The other queries rest on hash functions, random walks, schedules or fitted models that SQL has no way to state; tests
 # compare them with brute force, exact round trips and held-out labels.
-SQL = {"op2_line_dedup": _OP2, "op4_chat_format": _OP4, "op9_licence_scan": _op9()}
+SQL = {"op2_line_dedup": _OP2, "op4_chat_format": _OP4, "op9_licence_scan": _op9(), "op12_divergence": _OP12,
+       "op13_filter_audit": _OP13}
