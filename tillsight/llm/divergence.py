@@ -1,7 +1,7 @@
 """How the sources of each language differ in their words, over all terms that three documents of the language share.
 
 Iceberg prefix refinement.  A term can only be in ``least`` documents if every prefix of it is.  Prefixes are counted
-level by level, at 4, 8, 16, ... bytes: a prefix, or a term that ends before the next level, counts only where the prefix
+level by level, at 8, 16, 32, ... bytes: a prefix, or a term that ends before the next level, counts only where the prefix
 before it was kept, and what stays below ``least`` distinct documents goes with all that begins with it.  A task counts
 its documents in dictionaries by language (a document counts once for each prefix, whatever its number of terms under
 it), so rows shrink to one for each task, language and prefix before they are shuffled; totals by source travel with the
@@ -30,7 +30,7 @@ from tillsight.llm.words import pieces, slices
 from tillsight.session import scratch_path, stage
 
 # Bytes of the first prefix; each level doubles them: ``FIRST << k`` at level ``k``.
-FIRST = 4
+FIRST = 8
 
 # A task hands on its counts once it holds so many entries.
 HELD = 500_000
@@ -71,23 +71,36 @@ class _Counts:
         return sum(map(len, self.groups.values())) + sum(map(len, self.prefixes.values()))
 
     def batches(self) -> Iterator[pa.RecordBatch]:
-        for lang in self.terms:
+        """All counts as rows: a term with its occurrences by source, a prefix without."""
+        for lang, terms in self.terms.items():
             own = [(s, c) for (x, s), c in self.groups.items() if x == lang]
-            split: dict[bytes, tuple[list, list]] = {t: ([], []) for t in self.terms[lang]}
-            for i, (_, counts) in enumerate(own):
-                for t, n in counts.items():
-                    a, b = split[t]
-                    a.append(own[i][0])
-                    b.append(n)
-            rows = [(_level(len(t)), t, True, n, *split[t]) for t, n in self.terms[lang].items()]
-            rows += [(_level(len(p)), p, False, n, [], []) for p, n in self.prefixes[lang].items()]
-            for at in range(0, len(rows), 20_000):
-                level, item, complete, docs, sources, counts = zip(*rows[at:at + 20_000])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(item)), pa.array(level, pa.int32()), pa.array(item, pa.binary()),
-                     pa.array(complete, pa.bool_()), pa.array(docs, pa.int64()),
-                     pa.array(sources, pa.list_(pa.string())), pa.array(counts, pa.list_(pa.int64()))],
-                    names=["lang", "level", "item", "complete", "docs", "sources", "counts"])
+            number = dict(zip(terms, range(len(terms))))
+            at = [np.fromiter(map(number.__getitem__, c), np.int32, len(c)) for _, c in own]
+            order = np.argsort(np.concatenate(at), kind="stable")
+            ends = np.cumsum(np.bincount(np.concatenate(at), minlength=len(terms)))
+            source = np.repeat(np.arange(len(own), dtype=np.int32), [len(c) for _, c in own])[order]
+            counts = np.concatenate([np.fromiter(c.values(), np.int64, len(c)) for _, c in own])[order]
+            offsets = np.concatenate(([0], ends)).astype(np.int32)
+            names = pa.array([s for s, _ in own]).take(pa.array(source))
+            yield from _rows(lang, terms, True, pa.ListArray.from_arrays(offsets, names),
+                             pa.ListArray.from_arrays(offsets, counts))
+            prefixes = self.prefixes[lang]
+            none = np.zeros(len(prefixes) + 1, np.int32)
+            yield from _rows(lang, prefixes, False, pa.ListArray.from_arrays(none, pa.array([], pa.string())),
+                             pa.ListArray.from_arrays(none, pa.array([], pa.int64())))
+
+
+def _rows(lang: str, counter: Counter, complete: bool, sources: pa.Array, counts: pa.Array) -> Iterator[pa.RecordBatch]:
+    size = np.fromiter(map(len, counter), np.int64, len(counter))
+    level = np.zeros(len(counter), np.int32)
+    for k in range(_level(int(size.max(initial=1)))):
+        level += size > FIRST << k
+    rows = pa.RecordBatch.from_arrays(
+        [pa.array([lang]).take(pa.array(np.zeros(len(counter), np.int8))), pa.array(level), pa.array(list(counter), pa.binary()),
+         pa.array(np.full(len(counter), complete)), pa.array(np.fromiter(counter.values(), np.int64, len(counter))), sources, counts],
+        names=["lang", "level", "item", "complete", "docs", "sources", "counts"])
+    for at in range(0, len(rows), 20_000):
+        yield rows.slice(at, 20_000)
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -119,7 +132,8 @@ def kept_terms(counted: DataFrame, least: int = 3) -> DataFrame:
         rows = counted.filter(F.col("level") == level).select("lang", "item", "complete", "docs")
         if survivors is not None:
             parent = F.substring(rows["item"], 1, FIRST << (level - 1))
-            rows = rows.join(survivors, (rows["lang"] == survivors["_lang"]) & (parent == survivors["_prefix"]), "left_semi")
+            rows = rows.join(survivors.hint("shuffle_hash"),
+                             (rows["lang"] == survivors["_lang"]) & (parent == survivors["_prefix"]), "left_semi")
         enough = stage(rows.groupBy("lang", "item", "complete").agg(F.sum("docs").alias("docs")).filter(F.col("docs") >= least)
                        .select("lang", "item", "complete"), "level")
         terms = enough.filter("complete").select("lang", "item")
@@ -169,7 +183,7 @@ def audit(docs: DataFrame, least: int = 3, top: int = 200) -> DataFrame:
     """(lang, source, part, item, value, rank): ``pair`` compares with each other source, ``term`` with the language."""
     counted = _counted(docs)
     kept = stage(kept_terms(counted, least), "kept")
-    whole = counted.filter("complete").select("lang", "item", "sources", "counts").join(kept, ["lang", "item"], "left_semi")
+    whole = counted.filter("complete").select("lang", "item", "sources", "counts").join(kept.hint("shuffle_hash"), ["lang", "item"], "left_semi")
     cells = whole.select("lang", "item", F.explode(F.arrays_zip("sources", "counts")).alias("z"))
     cells = stage(cells.groupBy("lang", "item", F.col("z.sources").alias("source")).agg(F.sum("z.counts").alias("n"))
                   .withColumn("item", F.col("item").cast("string")), "cells")
