@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from rows_for_tests import messy_rows
 from tokenizers import Tokenizer
@@ -26,12 +27,24 @@ def plain():
 def test_words_have_the_ids_of_whole_texts(plain):
     rng = random.Random(3)
     bits = ["a", "B", "é", "é", "'s", "<|endoftext|>", "<|ENDOFTEXT|>", "1", "½", "Σ", "σς", "İ", "...", " ", "\n", "\t", "\x0b",
-            "\x0c", "\r", "\x85", " ", "\x1c", "中文", "😀", "re", "\x00", "ﬁ", "x" * 90]
-    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 14))) for _ in range(5_000)]
+            "\x0c", "\r", "\x85", " ", "\x1c", "中文", "😀", "re", "\x00", "ﬁ", "x" * 90, "H\u0331", "h\u0331", ",", "?!", "»", "don't", "THE", "the,", "é."]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 14))) for _ in range(20_000)]
     words = packing._Words(PATH)
-    for text, ids in zip(texts, words([t.encode() for t in texts])):
-        assert np.frombuffer(ids, "<u4").tolist() == plain(text)[:-1], repr(text)
-    assert max(map(len, words.ids)) <= packing.LONGEST
+    for at in range(0, len(texts), 1000):  # the cache grows
+        ids, offsets = words(pa.array(texts[at:at + 1000], pa.large_string()), 2)
+        for text, a, b in zip(texts[at:], offsets, offsets[1:]):
+            assert ids[a:b].tolist() == plain(text), repr(text)
+    ids, offsets = packing._long(words, pa.array(texts[:300], pa.large_string()), 2)
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [plain(t) for t in texts[:300]]
+
+
+def test_the_cache_is_bounded(plain, monkeypatch):
+    words = packing._Words(PATH)
+    monkeypatch.setattr(packing, "CACHED", 20)
+    for at in range(50):
+        text = " ".join(f"word{i}" for i in range(at, at + 15))
+        ids, _ = words(pa.array([text], pa.large_string()), 2)
+        assert ids.tolist() == plain(text) and len(words.stems) <= 36
 
 
 def check_pieces(rows, texts, plain, width):
