@@ -26,10 +26,10 @@ def test_full_run(spark, tmp_path):
             "sales_forecasts", "data_quality_logs", "customer_summary", "product_performance",
             "monthly_sales", "alerts"} <= tables
     assert made["quality"].count() > 0
-    segments = spark.read.parquet(f"{out}/tables/customer_segments")
+    segments = readers.read_table(spark, f"{out}/tables/customer_segments")
     assert segments.filter("churn_probability is null").count() == 0
     assert segments.filter("kmeans_cluster is null").count() == 0
-    assert spark.read.parquet(f"{out}/tables/sales_forecasts").count() == 90
+    assert readers.read_table(spark, f"{out}/tables/sales_forecasts").count() == 90
     assert made["summary"].first().monthly_revenue > 0
     sheets = {p.name for p in (tmp_path / "out" / "reports" / "detailed_analytics").iterdir()}
     assert sheets == {"Top Products", "Customer Segments", "Daily Sales", "Product Performance"}

@@ -12,7 +12,7 @@ from tillsight.operators import churn, churn_models as models
 from tillsight.operators.clusters import fill_with_median
 from tillsight.plans import churn as plan
 from tillsight.session import scratch_path
-from tillsight.sources import writers
+from tillsight.sources import readers, writers
 from tillsight.sources.star import Star
 
 _FILLED = ", ".join(
@@ -203,7 +203,7 @@ def ch_write(t: Star) -> DataFrame:
     writers.create_table(stored, path)
     fresh = scores(t).withColumn("churn_probability", F.col("churn_probability") / 2)
     plan.store_scores(t.spark, fresh, path, scratch_path(t.spark, "churn_predictions"))
-    return t.spark.read.parquet(path).select(
+    return readers.read_table(t.spark, path).select(
         "customer_id", "segment_name", "clv_prediction", "churn_probability")
 
 
@@ -212,7 +212,7 @@ def ch_write_without_segments(t: Star) -> DataFrame:
     """Without a segment table the scores get a table of their own."""
     fallback = scratch_path(t.spark, "churn_predictions")
     written = plan.store_scores(t.spark, scores(t), scratch_path(t.spark, "missing"), fallback)
-    return t.spark.read.parquet(written)
+    return readers.read_table(t.spark, written)
 
 
 @query("ch_insights")

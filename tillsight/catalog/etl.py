@@ -86,7 +86,7 @@ def snk_table_replace(t: Star) -> DataFrame:
     writers.create_table(scores(t), path)
     stored = t.spark.read.parquet(path)
     writers.replace_table(stored.withColumn("churn_probability", 1 - F.col("churn_probability")), path)
-    return t.spark.read.parquet(path)
+    return readers.read_table(t.spark, path)
 
 
 @query("snk_table_fail", """

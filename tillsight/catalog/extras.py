@@ -90,8 +90,8 @@ def ex_stats(t: Star) -> DataFrame:
 
 
 @query("ex_price_elasticity", f"""
-    SELECT product_id, COUNT(*) AS lines,
-           {even('regr_slope(ln(CAST(quantity AS DOUBLE)), ln(CAST(unit_price AS DOUBLE)))', 5)} AS elasticity
+    SELECT product_id, COUNT(*) AS lines, CASE WHEN COUNT(*) >= 10 THEN
+           {even('regr_slope(ln(CAST(quantity AS DOUBLE)), ln(CAST(unit_price AS DOUBLE)))', 5)} END AS elasticity
     FROM r_items WHERE quantity > 0 AND unit_price > 0 GROUP BY 1""")
 def ex_price_elasticity(t: Star) -> DataFrame:
     return rounded(extras.price_elasticity(t.order_items), 5, "elasticity")

@@ -82,7 +82,8 @@ def st_live_kpis(t: Star) -> DataFrame:
 def st_live_trend(t: Star) -> DataFrame:
     path = scratch_path(t.spark, "live_trend")
     windows = live.trend_windows(t.event_stream(), "1 hour")
-    live.write_updates(windows, f"{path}/rows", f"{path}/state", ["window_start"], once=True).awaitTermination()
+    live.write_updates(windows, f"{path}/rows", f"{path}/state", ["window_start"], once=True,
+                       part=live.by_day("window_start")).awaitTermination()
     found = live.current(t.spark, f"{path}/rows")
     return found.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 

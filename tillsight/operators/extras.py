@@ -75,23 +75,31 @@ def reorder_points(orders: DataFrame, items: DataFrame, products: DataFrame, lea
         "reorder", F.coalesce(F.col("stock_quantity") <= F.col("reorder_point"), F.lit(False)))
 
 
-def journeys(events: DataFrame, steps: Sequence[str] = ("view", "click", "purchase")) -> DataFrame:
-    """(step, users): users who did the steps in this order, up to each step.
-
-    One pass per step over (user, first time): a user's steps are the first
-    event of a kind not before the step before it.
+def journeys(events: DataFrame, steps: Sequence[str] = ("view", "click", "purchase"), bucket: str = "hour") -> DataFrame:
+    """(place, step, users): users who did the steps in this order, up to each step.
+
+    A user's events are folded by bucket of time into what they make of each
+    number of steps done before: an array with one entry per number.  The
+    arrays of a user are then applied in the order of time.  One scan; a user
+    with very many events is spread over buckets, and meets one task with an
+    array for each of them only.
     """
-    reached = events.filter(F.col("event_type") == steps[0]).groupBy("user_id").agg(F.min("ts").alias("at"))
-    counts = [reached.agg(F.lit(1).alias("place"), F.lit(steps[0]).alias("step"), F.count("*").alias("users"))]
-    for place, step in enumerate(steps[1:], 2):
-        later = events.filter(F.col("event_type") == step).select("user_id", "ts")
-        reached = (later.join(reached, "user_id").filter(F.col("ts") >= F.col("at"))
-                   .groupBy("user_id").agg(F.min("ts").alias("at")))
-        counts.append(reached.agg(F.lit(place).alias("place"), F.lit(step).alias("step"), F.count("*").alias("users")))
-    out = counts[0]
-    for part in counts[1:]:
-        out = out.unionByName(part)
-    return out
+    if len(set(steps)) != len(steps):
+        raise ValueError("a step may occur once")
+    n = len(steps)
+    place = F.coalesce(*[F.when(F.col("event_type") == s, i) for i, s in enumerate(steps)])
+    seen = (events.filter(F.col("event_type").isin(*steps) & F.col("user_id").isNotNull() & F.col("ts").isNotNull())
+            .select("user_id", F.date_trunc(bucket, "ts").alias("bucket"), F.struct("ts", place.alias("step")).alias("e"))
+            .groupBy("user_id", "bucket").agg(F.sort_array(F.collect_set("e")).alias("events")))
+    # Events of one time count in the order of the steps.
+    onward = lambda done, e: F.transform(done, lambda d: F.when(d == e["step"], d + 1).otherwise(d))
+    made = F.aggregate("events", F.sequence(F.lit(0), F.lit(n)), onward)
+    folded = (seen.select("user_id", F.struct("bucket", made.alias("made")).alias("b")).groupBy("user_id")
+              .agg(F.sort_array(F.collect_list("b")).alias("b")))
+    done = folded.select(F.aggregate("b", F.lit(0), lambda d, b: F.get(b["made"], d)).alias("done"))
+    counts = done.agg(*[F.count_if(F.col("done") > i).alias(f"n{i}") for i in range(n)])
+    rows = [F.struct(F.lit(i + 1).alias("place"), F.lit(s).alias("step"), F.col(f"n{i}").alias("users")) for i, s in enumerate(steps)]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def correlation(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -111,8 +119,9 @@ def welch_test(df: DataFrame, group: str, value: str, first: str, second: str) -
                                     + share(2) * share(2) / (F.col("n2") - 1))).alias("degrees_of_freedom"))
 
 
-def price_elasticity(items: DataFrame) -> DataFrame:
-    """Slope of log quantity over log price of each product, over its lines."""
+def price_elasticity(items: DataFrame, least: int = 10) -> DataFrame:
+    """Slope of log quantity over log price of each product, over its lines; null below ``least`` lines."""
     lines = items.filter((F.col("quantity") > 0) & (F.col("unit_price") > 0)).select(
         "product_id", F.log(F.col("quantity").cast("double")).alias("q"), F.log(F.col("unit_price").cast("double")).alias("p"))
-    return lines.groupBy("product_id").agg(F.count("*").alias("lines"), F.regr_slope("q", "p").alias("elasticity"))
+    return lines.groupBy("product_id").agg(
+        F.count("*").alias("lines"), F.when(F.count("*") >= least, F.regr_slope("q", "p")).alias("elasticity"))

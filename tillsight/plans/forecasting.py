@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from tillsight.operators import arima, forecast, series
 from tillsight.session import scratch_path, stage
-from tillsight.sources import writers
+from tillsight.sources import readers, writers
 
 
 @dataclass
@@ -34,6 +34,6 @@ def run_forecasting(orders: DataFrame, items: DataFrame, products: DataFrame, pa
                               forecast.linear_trend(daily, horizon=horizon))
     path = path or scratch_path(daily.sparkSession, "sales_forecasts")
     writers.replace_table(stored, path)
-    return Forecasting(daily, features, daily.sparkSession.read.parquet(path),
+    return Forecasting(daily, features, readers.read_table(daily.sparkSession, path),
                        forecast.product_moving_average(sales, top_n, horizon),
                        trained[1] if trained else None)

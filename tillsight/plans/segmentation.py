@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from tillsight.operators import clusters, rfm
 from tillsight.session import scratch_path, stage
-from tillsight.sources import writers
+from tillsight.sources import readers, writers
 
 
 @dataclass
@@ -25,7 +25,7 @@ def store_segments(df: DataFrame, path: str | None = None, placeholder_seed: int
     spark = df.sparkSession
     path = path or scratch_path(spark, "customer_segments")
     writers.replace_table(rfm.segments_table(df, placeholder_seed), path)
-    return spark.read.parquet(path)
+    return readers.read_table(spark, path)
 
 
 def run_segmentation(customers: DataFrame, orders: DataFrame, items: DataFrame, path: str | None = None,

@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tillsight.functions.scalars import iso_date, iso_datetime
-from tillsight.session import stage
+from tillsight.sources import versions
 from tillsight.sources.schemas import LOAD_ORDER, REPLACED_TABLES
 
 log = logging.getLogger(__name__)
@@ -25,12 +25,12 @@ def write_processed_csv(tables: Mapping[str, DataFrame], folder: str) -> None:
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Overwrite a Parquet table, also one that ``df`` itself is read from.
+    """Make ``df`` the content of a table, also one that it is read from.
 
-    The new rows are staged first, so the old files are only removed when the
-    result is complete, and a copy is left if the job dies half-way.
+    The old rows stay readable until the new ones are complete, and if the job
+    dies half-way; ``readers.read_table`` reads the current ones.
     """
-    stage(df, "replace").write.mode("overwrite").parquet(path)
+    versions.replace(df, path)
 
 
 def create_table(df: DataFrame, path: str) -> None:

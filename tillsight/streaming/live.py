@@ -1,10 +1,10 @@
 """Live figures over an event stream.
 
-After every micro-batch the newest row of every key is written into
-``<path>/batch=<id>``: the rows the batch changed over those of the batch
-before.  A batch that is retried overwrites its own folder, so each counts
-once; folders older than the batch before are deleted, so what is stored and
-read grows with the keys, not with the batches.
+After every micro-batch the newest row of every key is merged into a versioned
+table (``sources.versions``).  The table is split into parts that follow from
+the keys, such as days, and a batch rewrites only the parts that it touches, so
+what is written follows the batch and not what is stored.  A batch that is
+retried counts once, and readers meet the state after one batch or the next.
 
 Totals, windows and days are kept without a watermark: an event counts however
 late it comes, at the price of one state row per window.  Only
@@ -15,11 +15,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillsight.functions.scalars import flag, last_days, money_sum
 from tillsight.operators.alerts import revenue_alert
+from tillsight.sources import versions
 
 SALE = "purchase"
 
@@ -48,48 +49,33 @@ def daily_sales(events: DataFrame) -> DataFrame:
             .agg(money_sum("value").alias("daily_revenue")))
 
 
-def _batches(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the stored batches, in order."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not system.exists(folder):
-        return []
-    names = [entry.getPath().getName() for entry in system.listStatus(folder)]
-    return sorted(int(n.removeprefix("batch=")) for n in names if n.startswith("batch="))
-
-
-def _drop(spark: SparkSession, path: str) -> None:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+def _start(df: DataFrame, checkpoint: str, mode: str, each, once: bool) -> StreamingQuery:
+    writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(each)
+    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="5 minutes")).start()
 
 
-def _merge(batch: DataFrame, batch_id: int, path: str, keys: Sequence[str]) -> DataFrame:
-    """Store the newest row of every key after this batch, and return the stored rows."""
-    spark = batch.sparkSession
-    before = [b for b in _batches(spark, path) if b < batch_id]
-    merged = batch
-    if before and keys:
-        old = spark.read.schema(batch.schema).parquet(f"{path}/batch={before[-1]}")
-        merged = batch.unionByName(old.join(batch.select(*keys), list(keys), "left_anti"))
-    merged.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-    for stale in before[:-1]:
-        _drop(spark, f"{path}/batch={stale}")
-    return spark.read.schema(batch.schema).parquet(f"{path}/batch={batch_id}")
+def by_day(c: str) -> Column:
+    """The part of a table that holds a window's or an event's day."""
+    return F.date_format(c, "yyyy-MM-dd")
 
 
-def _start(df: DataFrame, checkpoint: str, mode: str, each, once: bool) -> StreamingQuery:
-    writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(each)
-    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="5 minutes")).start()
+def _store(batch: DataFrame, tag: tuple[str, int], path: str, keys: Sequence[str], part: Column | None) -> None:
+    if keys:
+        versions.merge(batch, path, keys, F.lit("all") if part is None else part, tag=tag)
+    else:
+        versions.replace(batch, path, tag=tag)
 
 
 def write_updates(df: DataFrame, path: str, checkpoint: str, keys: Sequence[str] = (), mode: str = "update",
-                  once: bool = False) -> StreamingQuery:
-    """Keep the newest row of every key; without keys the rows of the last batch."""
+                  once: bool = False, part: Column | None = None) -> StreamingQuery:
+    """Keep the newest row of every key; without keys the rows of the last batch.
+
+    ``part`` splits the table; it must follow from the keys.
+    """
     def each(batch: DataFrame, batch_id: int) -> None:
         held = batch.persist()
         try:
-            _merge(held, batch_id, path, keys)
+            _store(held, (checkpoint, batch_id), path, keys, part)
         finally:
             held.unpersist()
 
@@ -105,26 +91,25 @@ def append_closed_windows(df: DataFrame, path: str, checkpoint: str, once: bool
 
 def current(spark: SparkSession, path: str) -> DataFrame:
     """The newest row of every key."""
-    stored = _batches(spark, path)
-    if not stored:
+    if versions.current(spark, path) is None:
         raise FileNotFoundError(f"no batch stored below {path}")
-    return spark.read.parquet(f"{path}/batch={stored[-1]}")
+    return versions.read(spark, path)
 
 
 def watch_revenue(events: DataFrame, path: str, alerts_path: str, checkpoint: str,
                   once: bool = False, days: int = 7) -> StreamingQuery:
     """After every micro-batch, check the last days against their moving average.
 
-    The check reads the stored days, one row each.  A batch without changes
-    raises nothing.
+    The check reads the stored days, one row each, which are split by month.  A
+    batch without changes raises nothing.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
         held = batch.persist()
         try:
-            stored = _merge(held, batch_id, path, ["order_date"])
+            _store(held, (checkpoint, batch_id), path, ["order_date"], F.date_format("order_date", "yyyy-MM"))
             if held.isEmpty():
                 return
-            recent = last_days(stored, "order_date", None, days)
+            recent = last_days(current(held.sparkSession, path), "order_date", None, days)
             fired = revenue_alert(recent).filter("is_alert")
             fired.write.mode("overwrite").parquet(f"{alerts_path}/batch={batch_id}")
         finally:
