@@ -4,8 +4,9 @@ import datetime as dt
 
 import numpy as np
 import pytest
+from pyspark.ml import Pipeline
 
-from tillsight.operators import arima, churn, churn_models as models, clusters, forecast, rfm, series
+from tillsight.operators import arima, churn, churn_models as models, clusters, forecast, model_quality as quality, rfm, series
 from tillsight.functions.scalars import latest
 from tillsight.sources.star import Star
 
@@ -121,3 +122,88 @@ def test_arima_by_key(spark):
     assert sorted({r.k for r in got}) == ["a", "b"] and len(got) == 10
     assert all(r.lower_ci < r.predicted_value < r.upper_ci for r in got)
     assert min(r.forecast_date for r in got) == dt.date(2024, 3, 1)
+
+
+def test_report_by_hand(spark):
+    cells = [(0, 0, 50), (0, 1, 10), (1, 0, 5), (1, 1, 30), (2, 0, 5), (None, 0, 3)]
+    rows = [(a, b) for a, b, n in cells for _ in range(n)]
+    report = quality.classification_report(spark.createDataFrame(rows, "label int, prediction int"))
+    by_class = {r["class"]: r for r in report.collect()}
+    assert (by_class[0].support, by_class[0].precision, by_class[0].recall) == (60, 50 / 60, 50 / 60)
+    assert (by_class[1].support, by_class[1].precision, by_class[1].recall, by_class[1].f1) == (35, 0.75, 30 / 35, 60 / 75)
+    assert (by_class[2].support, by_class[2].precision, by_class[2].recall, by_class[2].f1) == (5, 0, 0, 0)
+    r = quality.weighted_metrics(report).first()
+    assert r.rows == 100 and r.accuracy == pytest.approx(0.8) and r.recall == r.accuracy
+    assert r.precision == pytest.approx(0.6 * 50 / 60 + 0.35 * 0.75) and r.f1 == pytest.approx(0.6 * 50 / 60 + 0.35 * 0.8)
+
+
+def test_report_agrees_with_sparks_evaluator(data, fitted):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    for r in quality.compare_models(data, fitted).collect():
+        scored = fitted[r.model].transform(data.view(data.test, r.model))
+        for ours, theirs in (("accuracy", "accuracy"), ("precision", "weightedPrecision"), ("recall", "weightedRecall"), ("f1", "f1")):
+            assert r[ours] == pytest.approx(MulticlassClassificationEvaluator(metricName=theirs).evaluate(scored))
+
+
+def test_the_best_f1_is_chosen(data, fitted):
+    found = quality.compare_models(data, fitted)
+    rows = found.collect()
+    best = max(r.f1 for r in rows)
+    assert quality.best_model(found) == min(r.model for r in rows if r.f1 == best)
+
+
+def test_categories_get_slots(spark):
+    rows = [(1, "b", "x"), (2, "a", None), (3, None, "x"), (4, "a", "y")]
+    seen = spark.createDataFrame(rows, "id int, gender string, country string")
+    model = Pipeline(stages=quality.one_hot()).fit(seen)
+    out = {r.id: (r.category.size, sorted(r.category.indices.tolist())) for r in model.transform(seen).collect()}
+    assert out == {1: (6, [1, 3]), 2: (6, [0, 5]), 3: (6, [2, 3]), 4: (6, [0, 4])}
+    new = model.transform(spark.createDataFrame([(9, "zzz", "y")], seen.schema)).first().category
+    assert sorted(new.indices.tolist()) == [2, 4]
+
+
+def test_stored_models_score_alike_in_another_session(spark, data, fitted, tmp_path):
+    path = f"{tmp_path}/model"
+    rows = data.rows.select("customer_id", "features")
+    place = f"{tmp_path}/rows"
+    rows.write.parquet(place)
+    other = spark.newSession()
+    with pytest.raises(FileNotFoundError):
+        quality.load_model(other, path)
+    for name, model in fitted.items():
+        quality.store_model(spark, quality.packed_model(data, model, name), path)
+        loaded = quality.load_model(other, path)
+        again = {r.customer_id: r.probability for r in loaded.transform(other.read.parquet(place)).collect()}
+        first = {r.customer_id: r.churn_probability for r in models.score_customers(data, fitted, name).collect()}
+        assert {k: float(p[1]) for k, p in again.items()} == first
+
+
+def test_a_mean_with_its_interval(spark):
+    days = [dt.date(2024, 1, 1) + dt.timedelta(i) for i in range(40)]
+    df = spark.createDataFrame([(d, 1000.0 if i < 10 else float(10 + i % 2)) for i, d in enumerate(days)], "ds date, revenue double")
+    out = forecast.mean_with_interval(df, horizon=3).orderBy("forecast_date").collect()
+    spread = 1.959963984540054 * np.std([10, 11] * 15, ddof=1)
+    assert [r.forecast_date for r in out] == [days[-1] + dt.timedelta(i) for i in (1, 2, 3)]
+    assert all((r.predicted_value, r.lower_ci, r.upper_ci) == pytest.approx((10.5, 10.5 - spread, 10.5 + spread)) for r in out)
+    assert forecast.mean_with_interval(df.limit(0)).count() == 0
+
+
+def test_total_of_separate_forecasts(spark):
+    rows = [(k, dt.date(2024, 1, 1), v, "ARIMA", v - arima.Z95 * s, v + arima.Z95 * s) for k, v, s in (("a", 10.0, 3.0), ("b", 5.0, 4.0))]
+    found = spark.createDataFrame(rows, "k string, forecast_date date, predicted_value double, model_type string, lower_ci double, upper_ci double")
+    r = arima.total_forecast(found).first()
+    assert (r.predicted_value, r.lower_ci, r.upper_ci) == pytest.approx((15, 15 - arima.Z95 * 5, 15 + arima.Z95 * 5))
+
+
+def test_full_run_fits_arima_by_category(spark):
+    """A category that ended early goes on at zero, so all are forecast for the same days."""
+    from tillsight.plans import forecasting
+    rows = [(dt.date(2024, 1, 1) + dt.timedelta(i), i, c, 1, float(10 + (i * 7 + len(c)) % 5), 1, 1)
+            for c, n in (("aa", 60), ("b", 40)) for i in range(n)]
+    sales = spark.createDataFrame(
+        rows, "order_date date, product_id long, category string, quantity_sold long, revenue double, order_count long, unique_customers long")
+    apart = forecasting._by_category(sales)
+    ends = {r["category"]: r["max(ds)"] for r in apart.groupBy("category").agg({"ds": "max"}).collect()}
+    assert ends == {c: dt.date(2024, 2, 29) for c in ("aa", "b")}
+    plan = arima.arima_forecast(apart, keys=["category"])._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInPandas [category" in plan

@@ -260,3 +260,14 @@ def test_weekly_grid_starts_on_mondays(spark):
                                   "unique_customers long")
     got = values(series.time_series(sales, "weekly").orderBy("ds"), "ds", "revenue")
     assert got == [(d("2024-01-01"), 2.0), (d("2024-01-08"), 0.0), (d("2024-01-15"), 4.0)]
+
+
+def test_row_deltas_read_each_table_once(spark, tmp_path):
+    rows = [(1, 5.0, 2.0, 1), (1, 5.0, 2.0, 1), (2, -1.0, 2.0, 1), (3, None, 2.0, 1), (4, 5.0, 2.0, -3)]
+    spark.createDataFrame(rows, "product_id long, price double, cost double, stock_quantity int").write.parquet(f"{tmp_path}/p")
+    spark.createDataFrame([(1,), (1,), (2,)], "x int").write.parquet(f"{tmp_path}/other")
+    raw = {"products": spark.read.parquet(f"{tmp_path}/p"), "other": spark.read.parquet(f"{tmp_path}/other")}
+    found = clean.row_deltas(raw)
+    assert sorted(values(found, "table_name", "rows_in", "rows_out")) == [("other", 3, 2), ("products", 5, 2)]
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+    assert {n: df.count() for n, df in clean.clean(raw).items()} == {"products": 2, "other": 2}

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillsight.catalog import base
 from tillsight.catalog.base import even, query, rounded, scores, segments
 from tillsight.functions.scalars import latest
-from tillsight.operators import churn, churn_models as models
+from tillsight.operators import churn, churn_models as models, model_quality
 from tillsight.operators.clusters import fill_with_median
 from tillsight.plans import churn as plan
-from tillsight.session import scratch_path
+from tillsight.session import scratch_path, stage
 from tillsight.sources import readers, writers
 from tillsight.sources.star import Star
 
@@ -229,17 +231,161 @@ def ch_full_run(t: Star) -> DataFrame:
     return run.scored.select("customer_id", "churn_label", "churn_probability", "churn_risk_category")
 
 
-@query("ch_logistic_check", """
+_SCORED_ONCE = """
     SELECT COUNT(*) AS customers, COUNT(*) AS scored_once, COUNT(*) AS in_range, COUNT(*) AS category_fits
-    FROM r_churn_labels""")
-def ch_logistic_check(t: Star) -> DataFrame:
-    """Every customer is scored once, between 0 and 1, and the category follows from the probability."""
+    FROM r_churn_labels"""
+
+
+def _fits() -> Column:
+    """Whether the category follows from the probability."""
     p = F.col("churn_probability")
-    category = F.when(p <= 0.3, "Low Risk").when(p <= 0.7, "Medium Risk").otherwise("High Risk")
-    scored = _scored(t, models.LOGISTIC)
+    band = F.when((p > 0) & (p <= 0.3), "Low Risk").when((p > 0.3) & (p <= 0.7), "Medium Risk").when((p > 0.7) & (p <= 1), "High Risk")
+    return F.col("churn_risk_category").eqNullSafe(band)
+
+
+def _score_check(scored: DataFrame) -> DataFrame:
+    """Every customer is scored once, between 0 and 1, and the category follows from the probability."""
     return scored.agg(F.count("*").alias("customers"), F.count_distinct("customer_id").alias("scored_once"),
-                      F.count_if((p >= 0) & (p <= 1)).alias("in_range"),
-                      F.count_if(F.col("churn_risk_category") == category).alias("category_fits"))
+                      F.count_if(F.col("churn_probability").between(0, 1)).alias("in_range"),
+                      F.count_if(_fits()).alias("category_fits"))
+
+
+@query("ch_logistic_check", _SCORED_ONCE)
+def ch_logistic_check(t: Star) -> DataFrame:
+    return _score_check(_scored(t, models.LOGISTIC))
+
+
+@query("ch_random_forest_check", _SCORED_ONCE)
+def ch_random_forest_check(t: Star) -> DataFrame:
+    return _score_check(_scored(t, models.RANDOM_FOREST))
+
+
+@query("ch_gradient_boosting_check", _SCORED_ONCE)
+def ch_gradient_boosting_check(t: Star) -> DataFrame:
+    return _score_check(_scored(t, models.GRADIENT_BOOSTING))
+
+
+@query("ch_score_check", _SCORED_ONCE)
+def ch_score_check(t: Star) -> DataFrame:
+    return _score_check(ch_score(t))
+
+
+@query("ch_cross_val_check", f"""
+    SELECT unnest({list(_ALL)!r}) AS model, TRUE AS better_than_chance, TRUE AS spread_fits""")
+def ch_cross_val_check(t: Star) -> DataFrame:
+    """Three models, each above chance in the mean of five folds."""
+    return ch_cross_val(t).select("model", F.col("cv_mean").between(0.5, 1).alias("better_than_chance"),
+                                  F.col("cv_std").between(0, 0.5).alias("spread_fits"))
+
+
+_MEANS = [f"avg_{m}_{g}" for m in ("days_since_last_order", "orders") for g in ("churned", "active")]
+
+
+@query("ch_insights_check", f"""
+    SELECT TRUE AS count_fits, TRUE AS stake_fits, {', '.join(
+        f"{even(f'AVG({c}) FILTER (churn_label = {v})', 6)} AS avg_{m}_{g}"
+        for m, c in (('days_since_last_order', 'days_since_last_order'), ('orders', 'total_orders'))
+        for g, v in (('churned', 1), ('active', 0)))} FROM r_churn_labels""")
+def ch_insights_check(t: Star) -> DataFrame:
+    """Means by label; the high-risk customers are some of all, and what they spent is part of the whole."""
+    everyone = _labels(t).agg(F.count("*").alias("n"), F.sum("total_spent").alias("spent"))
+    found = ch_insights(t).select("high_risk_count", "high_risk_revenue_at_stake", *_MEANS)
+    whole = everyone.select(F.struct("n", "spent")).scalar()
+    out = found.withColumn("w", whole).select(
+        F.col("high_risk_count").between(0, F.col("w.n")).alias("count_fits"),
+        F.col("high_risk_revenue_at_stake").between(0, F.col("w.spent") + 0.01).alias("stake_fits"), *_MEANS)
+    return rounded(out, 6, *_MEANS)
+
+
+@query("ch_full_run_check", "SELECT customer_id, churn_label, TRUE AS in_range, TRUE AS category_fits FROM r_churn_labels")
+def ch_full_run_check(t: Star) -> DataFrame:
+    """The whole run leaves every customer with its label, a probability and the category that follows."""
+    return ch_full_run(t).select("customer_id", "churn_label", F.col("churn_probability").between(0, 1).alias("in_range"),
+                                 _fits().alias("category_fits"))
+
+
+# -- choice of a model -------------------------------------------------------
+
+_CLASSES = """
+    WITH s AS (SELECT churn_label AS l, CAST(churn_probability > 0.5 AS INTEGER) AS p FROM r_churn_labels JOIN r_scores USING (customer_id)),
+    k AS (SELECT l AS c FROM s UNION SELECT p FROM s),
+    n AS (SELECT c, (SELECT COUNT(*) FROM s WHERE l = c) AS support, (SELECT COUNT(*) FROM s WHERE p = c) AS given,
+                 (SELECT COUNT(*) FROM s WHERE l = c AND p = c) AS hit FROM k),
+    r AS (SELECT CAST(c AS DOUBLE) AS class, support, coalesce(hit / nullif(CAST(given AS DOUBLE), 0), 0) AS precision,
+                 coalesce(hit / nullif(CAST(support AS DOUBLE), 0), 0) AS recall,
+                 coalesce(2 * hit / nullif(CAST(support + given AS DOUBLE), 0), 0) AS f1 FROM n)"""
+
+
+def _report(t: Star) -> DataFrame:
+    given = _labels(t).join(scores(t), "customer_id").select(
+        "churn_label", (F.col("churn_probability") > 0.5).cast("int").alias("prediction"))
+    return model_quality.classification_report(given, "churn_label")
+
+
+@query("ch_class_report", f"""{_CLASSES}
+    SELECT class, support, {even('precision', 8)} AS precision, {even('recall', 8)} AS recall, {even('f1', 8)} AS f1 FROM r""")
+def ch_class_report(t: Star) -> DataFrame:
+    """Precision, recall and F1 of each class, for given scores."""
+    return rounded(_report(t), 8, "precision", "recall", "f1")
+
+
+@query("ch_weighted_metrics", f"""{_CLASSES}
+    SELECT CAST(SUM(support) AS BIGINT) AS rows, {', '.join(
+        f"{even(f'SUM(support * {c}) / SUM(support)', 8)} AS {n}" for n, c in
+        (('accuracy', 'recall'), ('precision', 'precision'), ('recall', 'recall'), ('f1', 'f1')))} FROM r""")
+def ch_weighted_metrics(t: Star) -> DataFrame:
+    return rounded(model_quality.weighted_metrics(_report(t)), 8, "accuracy", "precision", "recall", "f1")
+
+
+@query("ch_model_choice")
+def ch_model_choice(t: Star) -> DataFrame:
+    """Weighted metrics of the three classifiers on held-out customers, the best by F1 marked."""
+    data = _data(t)
+    return model_quality.compare_models(data, models.train_models(data))
+
+
+@query("ch_model_choice_check", f"""
+    SELECT COUNT(*) AS models, CAST(1 AS BIGINT) AS chosen, TRUE AS best, TRUE AS in_range,
+           CAST((SELECT COUNT(*) FROM r_churn_split WHERE NOT is_train) AS BIGINT) AS held_out
+    FROM (SELECT unnest({list(_ALL)!r}))""")
+def ch_model_choice_check(t: Star) -> DataFrame:
+    found = ch_model_choice(t)
+    return found.agg(
+        F.count("*").alias("models"), F.count_if("chosen").alias("chosen"),
+        (F.max("f1") == F.max(F.when(F.col("chosen"), F.col("f1")))).alias("best"),
+        F.bool_and(F.least("accuracy", "precision", "recall", "f1").between(0, 1)
+                   & F.greatest("accuracy", "precision", "recall", "f1").between(0, 1)).alias("in_range"),
+        F.max("rows").alias("held_out"))
+
+
+@query("ch_one_hot", """
+    WITH g AS (SELECT gender, dense_rank() OVER (ORDER BY gender) - 1 AS i FROM (SELECT DISTINCT gender FROM r_customers WHERE gender IS NOT NULL)),
+    c AS (SELECT country, dense_rank() OVER (ORDER BY country) - 1 AS i FROM (SELECT DISTINCT country FROM r_customers WHERE country IS NOT NULL)),
+    n AS (SELECT (SELECT COUNT(*) FROM g) AS g, (SELECT COUNT(*) FROM c) AS c)
+    SELECT customer_id, CAST(n.g + n.c + 2 AS INTEGER) AS width,
+           coalesce(g.i, n.g) || ' ' || (n.g + 1 + coalesce(c.i, n.c)) AS slots
+    FROM r_customers LEFT JOIN g USING (gender) LEFT JOIN c USING (country), n""")
+def ch_one_hot(t: Star) -> DataFrame:
+    """The sparse category vector of every customer, as its width and the slots that are 1."""
+    coded = Pipeline(stages=model_quality.one_hot()).fit(t.customers).transform(t.customers)
+    values = vector_to_array("category")
+    ones = F.filter(F.transform(values, lambda v, i: F.when(v == 1, i)), lambda i: i.isNotNull())
+    return coded.select("customer_id", F.size(values).alias("width"), F.array_join(ones.cast("array<string>"), " ").alias("slots"))
+
+
+@query("ch_model_store_check", """
+    SELECT COUNT(*) AS customers, COUNT(*) AS equal_scores FROM r_churn_labels""")
+def ch_model_store_check(t: Star) -> DataFrame:
+    """A one-hot logistic model saved, loaded and applied again gives every customer the same probability."""
+    features = model_quality.numeric_inputs(stage(_features(t), "features"))
+    labelled = features.withColumn("label", F.col("churn_label").cast("double"))
+    made = model_quality.one_hot_pipeline(LogisticRegression(maxIter=20, regParam=0.01), scale=True).fit(labelled)
+    path = scratch_path(t.spark, "model")
+    model_quality.store_model(t.spark, made, path)
+    again = model_quality.load_model(t.spark, path)
+    score = lambda m, name: m.transform(features).select("customer_id", vector_to_array("probability")[1].alias(name))
+    both = score(made, "a").join(score(again, "b"), "customer_id")
+    return both.agg(F.count("*").alias("customers"), F.count_if(F.col("a") == F.col("b")).alias("equal_scores"))
 
 
 @query("ch_importance_check", f"""

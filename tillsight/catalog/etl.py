@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tillsight.catalog.base import REALISED, big, even, mavg, msum, query, scores, segments
 from tillsight.functions.scalars import money_sum
@@ -66,6 +66,39 @@ def src_table(t: Star) -> DataFrame:
     return found["part"].select("p_partkey", "p_name", "p_brand", "p_retailprice")
 
 
+_STORED = {name: {f.name: f.dataType.typeName() for f in schema.fields} for name, schema in schemas.STAR.items()}
+
+
+def _total_sql(column: str, kind: str) -> str:
+    if kind == "string":
+        return f"CAST(SUM(length({column})) AS DOUBLE)"
+    if kind == "timestamp_ntz":
+        return f"CAST(SUM(CAST(epoch_us({column}) AS HUGEINT) // 1000000) AS DOUBLE)"
+    return f"CAST(SUM(CAST(round_even({column} * 100, 0) AS HUGEINT)) AS DOUBLE)"
+
+
+def _total(column: str, kind: str) -> Column:
+    value = {"string": F.char_length(column), "timestamp_ntz": F.unix_seconds(F.col(column).cast("timestamp"))}.get(
+        kind, F.rint(F.col(column) * 100.0))
+    return F.sum(value.cast("decimal(38,0)")).cast("double")
+
+
+@query("src_all_tables", " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, '{c}' AS column_name, COUNT({c}) AS filled, {_total_sql(c, kind)} AS total FROM {name}"
+    for name, columns in _STORED.items() for c, kind in columns.items()))
+def src_all_tables(t: Star) -> DataFrame:
+    """Every column of every stored table: filled rows and a sum over its values, lengths or seconds, in one pass each."""
+    found = readers.read_parquet_tables(t.spark, t.folder, _STORED)
+    parts = []
+    for name, columns in _STORED.items():
+        sums = found[name].agg(*[x for c, kind in columns.items()
+                                 for x in (F.count(c).alias(f"n_{c}"), _total(c, kind).alias(f"t_{c}"))])
+        cells = [F.struct(F.lit(name).alias("table_name"), F.lit(c).alias("column_name"), F.col(f"n_{c}").alias("filled"),
+                          F.col(f"t_{c}").alias("total")) for c in columns]
+        parts.append(sums.select(F.inline(F.array(*cells))))
+    return _union(parts)
+
+
 @query("src_segments_scan", "SELECT * FROM r_segments ORDER BY customer_id LIMIT 1000")
 def src_segments_scan(t: Star) -> DataFrame:
     return readers.segments_scan(segments(t), 1000)
@@ -396,8 +429,7 @@ def snk_csv(t: Star) -> DataFrame:
     f"SELECT '{n}' AS table_name, COUNT(*) AS rows_in, (SELECT COUNT(*) FROM ({_CLEAN[n]})) AS rows_out "
     f"FROM {s}" for n, s in _SQL_TABLE.items()))
 def cl_row_delta(t: Star) -> DataFrame:
-    raw = t.tables()
-    return clean.row_deltas(raw, clean.clean(raw, TODAY))
+    return clean.row_deltas(t.tables(), TODAY)
 
 
 # -- summary tables ----------------------------------------------------------

@@ -172,6 +172,43 @@ def fc_combine(t: Star) -> DataFrame:
     return rounded(stored, 4, "predicted_sales", "confidence_interval_lower", "confidence_interval_upper")
 
 
+_THREE = f"""{CATEGORY_TREND},
+    pm AS ({_PRODUCT_SERIES},
+      t AS (SELECT product_id, {msum('revenue')} AS r FROM s GROUP BY 1 ORDER BY r DESC, product_id LIMIT 10)
+      SELECT product_id, CAST(last + CAST(h AS INTEGER) AS DATE) AS forecast_date, moving_avg
+      FROM m, (SELECT unnest(generate_series(1, 30)) AS h) WHERE n > 30 AND product_id IN (SELECT product_id FROM t)),
+    recent AS (SELECT max(ds) AS last, AVG(revenue) AS m, stddev_samp(revenue) AS s FROM r_daily
+           WHERE ds > (SELECT max(ds) FROM r_daily) - 30),
+    three AS (SELECT CAST(1 AS BIGINT) AS product_id, forecast_date, v AS p, NULL AS low, NULL AS high, 'Linear Trend' AS model_used FROM p
+          UNION ALL SELECT product_id, forecast_date, moving_avg, NULL, NULL, 'Moving Average' FROM pm
+          UNION ALL SELECT 1, CAST(last + CAST(h AS INTEGER) AS DATE), m, m - CAST(1.959963984540054 AS DOUBLE) * s,
+                           m + CAST(1.959963984540054 AS DOUBLE) * s, 'Recent Mean'
+                    FROM recent, (SELECT unnest(generate_series(1, 30)) AS h))"""
+
+
+def _three(t: Star) -> DataFrame:
+    """Lines by category, means by product and a mean with its own interval, in one table."""
+    one = F.lit(1).cast("bigint")
+    lines = _category_trend(t).drop("category").withColumn("product_id", one)
+    means = fc_moving_average(t).withColumnRenamed("predicted_revenue", "predicted_value")
+    wide = forecast.mean_with_interval(_daily(t)).withColumn("product_id", one)
+    return forecast.combine(lines, means, wide)
+
+
+@query("fc_combine_three", f"""{_THREE}
+    SELECT product_id, forecast_date, {even('p', 4)} AS predicted_sales, {even('low', 4)} AS confidence_interval_lower,
+           {even('high', 4)} AS confidence_interval_upper, model_used FROM three""")
+def fc_combine_three(t: Star) -> DataFrame:
+    """One model brings an interval, so the others have none."""
+    return rounded(_three(t), 4, "predicted_sales", "confidence_interval_lower", "confidence_interval_upper")
+
+
+@query("fc_summary_three", f"""{_THREE}
+    SELECT model_used, {even('AVG(p)', 3)} AS avg_prediction, COUNT(*) AS days FROM three GROUP BY 1""")
+def fc_summary_three(t: Star) -> DataFrame:
+    return rounded(forecast.summary(_three(t)), 3, "avg_prediction")
+
+
 @query("fc_seasonal_decompose", f"""
     WITH n AS (SELECT ds, revenue, CAST((row_number() OVER (ORDER BY ds) - 1) % 30 AS INTEGER) AS position,
                  CASE WHEN COUNT(*) OVER (ORDER BY ds ROWS BETWEEN 15 PRECEDING AND 15 FOLLOWING) = 31
@@ -199,3 +236,28 @@ def fc_summary(t: Star) -> DataFrame:
 def fc_full_run(t: Star) -> DataFrame:
     """All forecasting steps; returns the stored forecast rows."""
     return plan.run_forecasting(t.orders, t.order_items, t.products).forecasts
+
+
+_NEXT = "SELECT last + 1 AS first_day, last + 30 AS last_day FROM (SELECT max(order_date) AS last FROM r_sales_base)"
+
+
+@query("fc_random_forest_check", f"""
+    SELECT CAST(30 AS BIGINT) AS days, first_day, last_day, CAST(1 AS BIGINT) AS different, TRUE AS errors_fit FROM ({_NEXT})""")
+def fc_random_forest_check(t: Star) -> DataFrame:
+    """A flat forecast of the next thirty days, with hold-out errors that fit each other."""
+    return fc_random_forest(t).agg(
+        F.count("*").alias("days"), F.min("forecast_date").alias("first_day"), F.max("forecast_date").alias("last_day"),
+        F.count_distinct("predicted_value").alias("different"),
+        F.bool_and((F.col("mae") >= 0) & (F.col("mae") <= F.col("rmse")) & (F.col("r2") <= 1)).alias("errors_fit"))
+
+
+@query("fc_full_run_check", f"""
+    SELECT unnest(['ARIMA', 'Linear Trend', 'Random Forest']) AS model_used, CAST(30 AS BIGINT) AS days, first_day, last_day,
+           unnest([30, 0, 0]) AS with_interval, TRUE AS inside FROM ({_NEXT})""")
+def fc_full_run_check(t: Star) -> DataFrame:
+    """Thirty days of each model; only ARIMA, fitted by category and summed, brings intervals."""
+    low, high = F.col("confidence_interval_lower"), F.col("confidence_interval_upper")
+    return fc_full_run(t).groupBy("model_used").agg(
+        F.count("*").alias("days"), F.min("forecast_date").alias("first_day"), F.max("forecast_date").alias("last_day"),
+        F.count_if(low.isNotNull() & high.isNotNull()).cast("int").alias("with_interval"),
+        F.bool_and(F.coalesce(F.col("predicted_sales").between(low, high), low.isNull())).alias("inside"))

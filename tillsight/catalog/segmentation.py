@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tillsight.catalog.base import even, labelled, query, segment_base
+from tillsight.catalog.base import even, labelled, msum, query, segment_base
 from tillsight.functions.ranks import column_quantiles, rank_first
+from tillsight.functions.scalars import money_sum
 from tillsight.operators import clusters, rfm
 from tillsight.plans import segmentation as plan
 from tillsight.session import stage
@@ -99,3 +100,36 @@ def seg_kmeans_check(t: Star) -> DataFrame:
     c = F.col("kmeans_cluster")
     return found.agg(F.count_distinct("customer_id").alias("customers"), F.count(c).alias("clustered"),
                      ((F.min(c) >= 0) & (F.max(c) < 4)).alias("ids_fit"))
+
+
+@query("seg_choose_k_check", "SELECT CAST(unnest(generate_series(2, 10)) AS INTEGER) AS k, TRUE AS cost_fits, TRUE AS silhouette_fits")
+def seg_choose_k_check(t: Star) -> DataFrame:
+    """Two to ten clusters, each with a cost and a silhouette."""
+    return seg_choose_k(t).select("k", (F.col("cost") > 0).alias("cost_fits"),
+                                  F.col("silhouette").between(-1, 1).alias("silhouette_fits"))
+
+
+@query("a18_cluster_profile_check", f"""
+    SELECT CAST(4 AS BIGINT) AS clusters, COUNT(*) AS customers, {even(msum('monetary'), 0)} AS spent, TRUE AS means_fit FROM r_rfm""")
+def a18_cluster_profile_check(t: Star) -> DataFrame:
+    """Four clusters share all customers and what they spent; means lie between the extremes."""
+    base = rfm.rfm_scores(segment_base(t))
+    ends = base.agg(F.struct(F.min("recency").alias("a"), F.max("recency").alias("b"), F.min("frequency").alias("c"),
+                             F.max("frequency").alias("d"))).scalar()
+    found = a18_cluster_profile(t).withColumn("e", ends)
+    fits = F.col("avg_recency").between(F.col("e.a"), F.col("e.b")) & F.col("avg_frequency").between(F.col("e.c"), F.col("e.d"))
+    # Means have two decimals, so a cluster's total is right to half a cent for each customer.
+    total = F.sum(F.col("avg_monetary") * F.col("customer_count"))
+    exact = base.agg(money_sum("monetary")).scalar()
+    n = F.sum("customer_count")
+    return found.agg(F.count("*").alias("clusters"), n.alias("customers"),
+                     F.when(F.abs(total - exact) <= n * 0.005 + 0.01, F.rint(exact)).alias("spent"), F.bool_and(fits).alias("means_fit"))
+
+
+@query("seg_full_run_check", """
+    SELECT customer_id, segment_name, rfm_score, recency_score, frequency_score, monetary_score, clv_prediction, TRUE AS clustered
+    FROM r_segments""")
+def seg_full_run_check(t: Star) -> DataFrame:
+    """The stored segments of the whole run; the cluster, which depends on the fit, is one of two to ten."""
+    return seg_full_run(t).select("customer_id", "segment_name", "rfm_score", "recency_score", "frequency_score", "monetary_score",
+                                  "clv_prediction", F.col("kmeans_cluster").between(0, 9).alias("clustered"))

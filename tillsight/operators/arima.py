@@ -60,6 +60,15 @@ def project(last: float, phi: float, theta: float, variance: float, ahead: float
     return mean, np.sqrt(variance * np.cumsum(psi**2))
 
 
+def total_forecast(found: DataFrame) -> DataFrame:
+    """Sum over series that are forecast apart: means add up, and so do the variances of independent errors."""
+    spread = (F.col("upper_ci") - F.col("predicted_value")) / Z95
+    half = Z95 * F.sqrt(F.sum(spread * spread))
+    total = found.groupBy("forecast_date", "model_type").agg(F.sum("predicted_value").alias("predicted_value"), half.alias("_half"))
+    return total.select("forecast_date", "predicted_value", "model_type", (F.col("predicted_value") - F.col("_half")).alias("lower_ci"),
+                        (F.col("predicted_value") + F.col("_half")).alias("upper_ci"))
+
+
 def arima_forecast(series: DataFrame, column: str = "revenue", horizon: int = 30,
                    keys: Sequence[str] = ()) -> DataFrame:
     """Means and 95 % intervals for every series; none for one that cannot be fitted."""

@@ -79,6 +79,18 @@ def product_moving_average(sales: DataFrame, top_n: int | None = 10, horizon: in
         F.lit("Moving Average").alias("model_type"))
 
 
+def mean_with_interval(series: DataFrame, column: str = "revenue", size: int = 30, horizon: int = 30,
+                       width: float = 1.959963984540054) -> DataFrame:
+    """The mean of the last ``size`` days for every day ahead, with ``width`` sample deviations to both sides."""
+    ends = series.agg(F.max("ds").alias("last"))
+    recent = series.filter(F.col("ds") > F.date_sub(ends.scalar(), size))
+    means = recent.agg(F.max("ds").alias("last"), F.avg(F.col(column).cast("double")).alias("m"),
+                       F.coalesce(F.stddev_samp(F.col(column).cast("double")), F.lit(0.0)).alias("s")).filter("last IS NOT NULL")
+    return _ahead(means, "last", horizon).select(
+        "forecast_date", F.col("m").alias("predicted_value"), F.lit("Recent Mean").alias("model_type"),
+        (F.col("m") - width * F.col("s")).alias("lower_ci"), (F.col("m") + width * F.col("s")).alias("upper_ci"))
+
+
 def error_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """MAE, RMSE and R2 in one row."""
     miss = F.col(actual) - F.col(predicted)

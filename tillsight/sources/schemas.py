@@ -64,6 +64,8 @@ STAR = {
     "customer": _schema("c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
                         "c_mktsegment STRING"),
     "nation": _schema("n_nationkey INT, n_name STRING, n_regionkey INT"),
+    "region": _schema("r_regionkey INT, r_name STRING"),
+    "supplier": _schema("s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE"),
     "part": _schema("p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
                     "p_retailprice DOUBLE"),
     "orders": _schema("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, "
