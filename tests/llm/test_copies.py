@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import pyarrow as pa
 import pytest
 import xxhash
 from rows_for_tests import SCHEMA, messy_rows, prose
@@ -156,11 +157,36 @@ def test_byte_runs_with_heavy_anchors(spark, monkeypatch):
     passage = prose(rng, 40)
     rows = [(i, prose(rng, rng.randint(1, 30)) + passage + prose(rng, 30)) for i in range(200)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
-    monkeypatch.setattr(suffix_dedup, "HEAVY", 1 << 40)
+    monkeypatch.setattr(suffix_dedup, "HEAVY", 64)
     want = brute_bytes(rows, 100)
     assert {r.doc_id: bytes(r.kept) for r in suffix_dedup.without_repeats(df).collect()} == want
 
 
+def test_byte_runs_of_long_texts(spark):
+    """Texts are hashed in parts; windows over the parts' ends are met like others."""
+    rng = random.Random(6)
+    noise = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    size = suffix_dedup.SLICE
+    passage = noise(3_000)
+    first = noise(size - 1_500) + "1" + passage + "2" + noise(2 * size)
+    second = "3" + noise(2 * size - 70) + "4" + passage + "5" + noise(size // 2)
+    rows = [(1, first), (2, second), (3, "6" + passage[:150] + "7")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = {r.doc_id: bytes(r.kept).decode() for r in suffix_dedup.without_repeats(df).collect()}
+    assert got == {1: first, 2: second.replace(passage, ""), 3: "67"}
+
+
+def test_memory_of_a_long_text_is_bounded():
+    import tracemalloc
+    batch = pa.RecordBatch.from_pydict({"id": [1], "th": [2], "text": ["some words that go on, " * (1 << 20)]})  # 24 MB
+    tracemalloc.start()
+    for part in suffix_dedup._slices(iter([batch]), 100):
+        assert len(part[1]) <= suffix_dedup.SLICE + 99
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150 << 20
+
+
 def test_byte_runs_of_messy_and_empty(messy, empty):
     out = suffix_dedup.without_repeats(messy)
     assert out.count() == messy.count()

@@ -6,7 +6,8 @@ or in the same one at an earlier byte.
 1. Candidates, losing nothing: among the ``GRAM``-byte strings inside a window of ``length`` bytes, the one with the least
    hash is its anchor, so equal windows have equal anchors at the same place.  Consecutive windows with one anchor form a
    segment.  Anchors that occur once in the corpus can't belong to a repeated window; only the segments of the others go
-   on, grouped by anchor.  Equal segments are combined in each task before the shuffle: all but the first are repeats.
+   on, grouped by anchor.  Equal segments are combined by their bytes, in each task before the shuffle and in each group
+   after it: all but the first are repeats, and the next step works on what differs.
 2. Within each group of anchors the segments are sorted as a suffix array, whose Burrows-Wheeler transform gives backward
    steps.  Breadth first, intervals of suffixes that begin with the same string are extended by one byte in front.  Every
    extension that ends where no common prefix is known yet fixes that value, so common prefixes come out in increasing
@@ -14,8 +15,9 @@ or in the same one at an earlier byte.
    smaller value separates are equal, and all but the first are marked.
 3. Marked windows are united by document.
 
-An anchor with more than 1 / ``HEAVY`` of all different segments is not one group: each of its windows goes on alone,
-grouped by its own hash, so no task has to take all of them.  A group that is left with one segment needs no second step.
+An anchor with more than ``HEAVY`` different segments is not one group: each of its windows goes on alone, grouped by its
+own hash, so no task has to take all of them, at any size of the corpus.  A group that is left with one segment needs no
+second step.
 
 Defined results: null texts are empty; texts below ``length`` bytes lose nothing; rows without id come before the others;
 rows of one id with different texts are ordered by a hash of the text; repeated rows of one id and text count as one
@@ -37,11 +39,13 @@ from tillsight.session import stage, tune
 LENGTH = 100
 GRAM = 32
 FILTER_BITS = 27  # the filter of repeated anchors has 2 ** FILTER_BITS bits, whatever the corpus
-HEAVY = 500  # a corpus has fewer heavy anchors than this
+HEAVY = 5_000  # different segments of one anchor, from which on its windows go alone
 BLOCK = 1 << 19
 BUCKET = 100_000  # segments in a bucket, about
-HELD = 16 << 20  # bytes of segments that a task gathers before it packs them
-SLICE = 4 << 20
+HELD = 24 << 20  # bytes of segments that a task gathers before it packs them
+ANCHORS = 1 << 20  # anchors that a task gathers before it hands them on
+SLICE = 1 << 20  # bytes that are hashed together; longer texts go in parts
+PLACE_BITS = 22  # a place in a slice; the same for all, so that equal windows compare equal hashes
 _BYTE, _STEP = mix(256, 11), mix(8, 12)
 
 
@@ -61,13 +65,16 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
 
 
 def segments(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """(anchor hash, text number, first window, last window) of every segment; windows are counted from ``data``'s start."""
-    none = tuple(np.zeros(0, t) for t in (np.uint64, np.int64, np.int64, np.int64))
+    """(anchor hash, text number, first window, last window, hash of both ends) of every segment.
+
+    Windows are counted from ``data``'s start.
+    """
+    none = tuple(np.zeros(0, t) for t in (np.uint64, np.int64, np.int64, np.int64, np.uint64))
     if len(data) < length:
         return none
     h = gram_hashes(data)
     places = np.arange(len(h), dtype=np.uint64)
-    low = np.uint64((1 << max(1, len(h).bit_length())) - 1)
+    low = np.uint64((1 << PLACE_BITS) - 1)
     least = (h & ~low) | places  # the leftmost of equal values wins
     width, reach = 1, length - GRAM + 1
     while 2 * width <= reach:
@@ -92,7 +99,9 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nda
         return none
     of = np.searchsorted(offsets, first, side="right") - 1
     last = np.minimum(np.append(first[1:], len(anchor)) - 1, offsets[1:][of] - length)
-    return h[anchor[first]], of, first, last
+    with np.errstate(over="ignore"):
+        look = h[first] * _STEP[5] + h[last + length - GRAM]
+    return h[anchor[first]], of, first, last, look
 
 
 # Common prefixes ----------------------------------------------------------------------------------------------------
@@ -216,33 +225,75 @@ def repeated_windows(parts: list[bytes], length: int) -> list[np.ndarray]:
 # Spark --------------------------------------------------------------------------------------------------------------
 
 def _slices(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple]:
+    """(rows, bytes, offsets, bytes of the text before these, segments) of the texts; parts of a long one share windows' ends."""
     for batch in batches:
         for part in slices(batch, SLICE):
             data, offsets = text_bytes(part.column(2))
-            yield (part, data, offsets, *segments(data, offsets, length))
+            if len(data) <= 2 * SLICE:
+                yield (part, data, offsets, 0, *segments(data, offsets, length))
+                continue
+            for row, (begin, end) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
+                # Every window begins in one part; a text below ``length`` bytes has none.
+                for at in range(begin, max(begin + 1, end - length + 1), SLICE):
+                    some = data[at:min(end, at + SLICE + length - 1)]
+                    ends = np.array([0, len(some)])
+                    yield (part.slice(row, 1), some, ends, at - begin, *segments(some, ends, length))
 
 
 def _anchor_counts(rows: DataFrame, length: int) -> DataFrame:
-    """(h, c, d): anchors that occur again, how often, and about how many different segments they have."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, data, _, h, _, first, last in _slices(batches, length):
-            if not len(h):
-                continue
-            grams = gram_hashes(data)
-            with np.errstate(over="ignore"):
-                look = grams[first] * _STEP[5] + grams[last + length - GRAM]
-            order = np.lexsort((look, h))
-            h, look = h[order], look[order]
-            new = np.append(True, h[1:] != h[:-1])
-            other = new | np.append(True, look[1:] != look[:-1])
-            at = np.flatnonzero(new)
-            counts = np.diff(np.append(at, len(h)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h[at].view(np.int64)), pa.array(counts), pa.array(np.add.reduceat(other.astype(np.int64), at))],
-                names=["h", "c", "d"])
+    """(h, c, d): anchors that occur again, how often, and how many different segments they have.
+
+    Hashes travel as blocks of numbers, one for each bucket of anchors, and are counted bucket by bucket.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 16 * parts
+
+    def blocks(held: list) -> pa.RecordBatch:
+        h, look = (np.concatenate(x) for x in zip(*held))
+        bucket = ((h >> np.uint64(24)) % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        bucket, both = bucket[order], np.stack([h[order], look[order]], axis=1)
+        cuts = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(bucket[cuts]), pa.array([both[x:y].tobytes() for x, y in zip(cuts, cuts[1:] + [len(bucket)])], pa.binary())],
+            names=["bucket", "block"])
+
+    def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for _, _, _, _, h, _, _, _, look in _slices(batches, length):
+            held.append((h, look))
+            n += len(h)
+            if n > ANCHORS:
+                yield blocks(held)
+                held, n = [], 0
+        if n:
+            yield blocks(held)
+
+    def counts(held: list) -> pa.RecordBatch:
+        h, look = np.frombuffer(b"".join(held), np.uint64).reshape(-1, 2).T
+        order = np.lexsort((look, h))
+        h, look = h[order], look[order]
+        new = np.append(True, h[1:] != h[:-1])
+        other = new | np.append(True, look[1:] != look[:-1])
+        at = np.flatnonzero(new)
+        c, d = np.diff(np.append(at, len(h))), np.add.reduceat(other.astype(np.int64), at)
+        more = c > 1
+        return pa.RecordBatch.from_arrays([pa.array(h[at][more].view(np.int64)), pa.array(c[more]), pa.array(d[more])], names=["h", "c", "d"])
+
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in batches:
+            for bucket, block in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if bucket != now and held:
+                    yield counts(held)
+                    held = []
+                now = bucket
+                held.append(block.as_py())
+        if held:
+            yield counts(held)
 
-    counted = rows.mapInArrow(run, "h long, c long, d long")
-    return counted.groupBy("h").agg(F.sum("c").alias("c"), F.sum("d").alias("d")).filter("c > 1")
+    dealt = rows.mapInArrow(anchors, "bucket int, block binary").repartition(parts, "bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(again, "h long, c long, d long")
 
 
 def _bits(hashes: DataFrame) -> np.ndarray:
@@ -262,16 +313,12 @@ def _known(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return ((bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)) == 1
 
 
-def _heavy(again: DataFrame) -> np.ndarray:
-    """Anchors with more than 1 / HEAVY of the different segments: fewer than HEAVY."""
-    total = again.agg(F.sum("d")).first()[0] or 0
-    found = [r["h"] for r in again.filter(F.col("d") > max(64, total // HEAVY)).select("h").collect()]
-    return np.array(sorted(found), np.int64).view(np.uint64)
-
-
 def _alone(data, h, of, first, last, heavy, length):
-    """Segments of heavy anchors as single windows, grouped by a hash of the window."""
-    hot = np.isin(h, heavy)
+    """Segments of heavy anchors as single windows, grouped by a hash of the window.
+
+    The filter may take others for heavy, but the same ones in every task.
+    """
+    hot = _known(heavy, h)
     if not hot.any():
         return h, of, first, last
     count = (last - first + 1)[hot]
@@ -333,37 +380,40 @@ def _unpacked(block: bytes) -> list[tuple]:
 
 
 def _candidates(batches: Iterator[pa.RecordBatch], shared, length: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Segments with repeated anchors; what equals an earlier segment of the same slice is given as a finished span."""
+    """Segments with repeated anchors; those that equal an earlier one among the segments held are given as finished spans."""
     bits, heavy = shared.value
-    held, size = [], 0
-    for part, data, offsets, h, of, first, last in _slices(batches, length):
-        ids, ths = part.column(0).to_pylist(), part.column(1).to_pylist()
-        ranked = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] or 0, ths[i]))
-        rank = np.empty(len(ids), np.int64)
-        rank[ranked] = np.arange(len(ids))
-        # Spans go by id and text, so the first of repeated rows speaks for all.
-        spoken = np.zeros(len(ids), bool)
-        spoken[[j for i, j in zip(ranked, ranked[1:]) if ids[i] == ids[j] and ths[i] == ths[j]]] = True
-        keep = _known(bits, h) & ~spoken[of]
+    held: dict[bytes, tuple] = {}  # the first place of each different segment
+    again: dict[tuple, list] = {}
+    size = 0
+
+    def packed():
+        rows = [(g, i if named else None, th, a, a + len(piece), piece) for piece, (g, (named, i, th, a)) in held.items()]
+        rows += [(th ^ a, i if named else None, th, a, b, None) for (named, i, th), spans in again.items() for a, b in _united(spans)]
+        return _packed(rows, buckets)
+
+    for part, data, offsets, shift, h, of, first, last, _ in _slices(batches, length):
+        rows = [(i is not None, i or 0, th) for i, th in zip(part.column(0).to_pylist(), part.column(1).to_pylist())]
+        keep = _known(bits, h)
         h, of, first, last = _alone(data, h[keep], of[keep], first[keep], last[keep], heavy, length)
-        order = np.lexsort((first, rank[of]))
-        raw, seen, again = data.tobytes(), set(), {}
-        for g, o, a, b in zip(h.view(np.int64)[order].tolist(), of[order].tolist(), first[order].tolist(),
-                              (last[order] + length).tolist()):
-            piece, base = raw[a:b], int(offsets[o])
-            if piece in seen:
-                again.setdefault(o, []).append((a - base, b - base))
-            else:
-                seen.add(piece)
-                held.append((g, ids[o], ths[o], a - base, b - base, piece))
+        raw, bases = data.tobytes(), (offsets - shift).tolist()
+        for g, o, a, b in zip(h.view(np.int64).tolist(), of.tolist(), first.tolist(), (last + length).tolist()):
+            piece, where = raw[a:b], (*rows[o], a - bases[o])
+            known = held.get(piece)
+            if known is None:
+                held[piece] = g, where
                 size += len(piece) + 64
-        for o, spans in again.items():
-            held += [(ths[o] ^ a, ids[o], ths[o], a, b, None) for a, b in _united(spans)]
+                continue
+            # Repeated rows of one id and text have the same place: they speak with one voice.
+            if known[1] != where:
+                if where < known[1]:
+                    held[piece], where = (g, where), known[1]
+                again.setdefault(where[:3], []).append((where[3], where[3] + len(piece)))
+                size += 16
         if size > HELD:
-            yield _packed(held, buckets)
-            held, size = [], 0
-    if held:
-        yield _packed(held, buckets)
+            yield packed()
+            held, again, size = {}, {}, 0
+    if held or again:
+        yield packed()
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
@@ -440,7 +490,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     tune(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
     again = stage(_anchor_counts(rows, length), "anchors")
-    shared = docs.sparkSession.sparkContext.broadcast((_bits(again.select("h")), _heavy(again)))
+    heavy = _bits(again.filter(F.col("d") > HEAVY).select("h"))
+    shared = docs.sparkSession.sparkContext.broadcast((_bits(again.select("h")), heavy))
     repeats = again.agg(F.sum("c")).first()[0] or 0
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), repeats // BUCKET)
     found = rows.mapInArrow(lambda batches: _candidates(batches, shared, length, buckets), "bucket int, block binary")
@@ -467,16 +518,17 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id
     joined = met.unionByName(alone)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            spans, kept = [], []
+        for batch in (part for whole in batches for part in slices(whole, 4 * SLICE)):
+            spans, kept, sizes = [], [], []
             for text, found in zip(batch.column(1), batch.column(2)):
                 text = text.as_py()
                 cuts = _united([(s["a"], s["b"]) for s in found.as_py() or ()])
                 spans.append([{"a": a, "b": b} for a, b in cuts])
                 ends = [0, *[b for _, b in cuts]]
                 kept.append(b"".join(text[x:y] for x, y in zip(ends, [*[a for a, _ in cuts], len(text)])))
+                sizes.append(len(text))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(t) if t else 0 for t in batch.column(1).to_pylist()], pa.int64()),
+                [batch.column(0), pa.array(sizes, pa.int64()),
                  pa.array(spans, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))), pa.array(kept, pa.binary())],
                 names=[id_col, "n_bytes", "spans", "kept"])
 
