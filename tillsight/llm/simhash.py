@@ -12,7 +12,7 @@ result.  Columns other than id and text are not read, so their names may clash.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -45,17 +45,19 @@ def fingerprint(text: bytes, shingle: int, seed: int = 42) -> int:
     return int(np.packbits(2 * ones > len(hashes)).view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id_col, fingerprint): the 64 bits as a signed long, from the whole text."""
+def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text",
+                 keep: Sequence[str] = ()) -> DataFrame:
+    """(id_col, *keep, fingerprint): the 64 bits as a signed long, from the whole text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = np.fromiter((fingerprint(t.as_buffer().to_pybytes() if t.is_valid else b"", shingle)
-                                  for t in batch.column(1).cast(pa.large_binary())), np.uint64, len(batch))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))],
-                                             names=[id_col, "fingerprint"])
+                                  for t in batch.column(len(names)).cast(pa.large_binary())), np.uint64, len(batch))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(names)], pa.array(prints.view(np.int64))],
+                                             names=[*names, "fingerprint"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, fingerprint long")
+    names = [id_col, *keep]
+    kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in names)
+    return docs.select(*names, text_col).mapInArrow(run, f"{kinds}fingerprint long")
 
 
 def _block_keys(print_col: Column, max_bits: int) -> Column:
@@ -118,27 +120,42 @@ def links(prints: DataFrame, max_bits: int = 4) -> DataFrame:
     return keyed.select("key", "fingerprint").mapInArrow(run, "a long, b long").distinct()
 
 
+def _rooted(classes: DataFrame, max_bits: int) -> DataFrame:
+    """The rows of ``classes``, one for each fingerprint, with the ``root`` fingerprint of their class; written once."""
+    classes = stage(classes, "classes")
+    roots = components(links(classes, max_bits))
+    found = classes.join(roots, classes["fingerprint"] == roots["node"], "left")
+    return stage(found.select(*classes.columns, F.coalesce("root", "fingerprint").alias("root")), "rooted")
+
+
 def near_copies(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """(id_col, fingerprint, component_id): the smallest id that can be reached over links, for every row."""
     tune(docs.sparkSession)
     prints = stage(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    classes = stage(prints.groupBy("fingerprint").agg(F.min(id_col).alias("first_id")), "classes")
-    roots = components(links(classes, max_bits))
-    rooted = classes.join(roots, classes["fingerprint"] == roots["node"], "left").select(
-        "fingerprint", "first_id", F.coalesce("root", "fingerprint").alias("root"))
-    rooted = stage(rooted, "rooted")
+    rooted = _rooted(prints.groupBy("fingerprint").agg(F.min(id_col).alias("first_id")), max_bits)
     names = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = rooted.join(names, "root").select("fingerprint", "component_id")
     return prints.join(named, "fingerprint").select(id_col, "fingerprint", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """The documents with one row left of each class of near copies: that with the smallest ``doc_id``.
+    """The documents with one row left of each class of near copies: the smallest by ``doc_id`` and a hash of the text.
 
-    Rows without ``doc_id`` all stay.
+    Texts of one id that are unlike each other are classes of their own, so one row of each stays.  Rows without
+    ``doc_id`` all stay.
     """
-    classes = near_copies(docs, shingle, max_bits)
-    kept = classes.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    one = docs.filter(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    tune(docs.sparkSession)
+    named = docs.filter(F.col("doc_id").isNotNull())
+    keyed = named.select("doc_id", "text", F.xxhash64("text").alias("_th"))
+    prints = stage(fingerprints(keyed, shingle, keep=["_th"]), "fingerprints")
+    first = F.min(F.struct("doc_id", "_th")).alias("first")
+    rooted = _rooted(prints.groupBy("fingerprint").agg(first), max_bits)
+    kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    one = named.alias("d").join(kept, [F.col("d.doc_id") == kept["doc_id"], F.xxhash64("d.text") == kept["_th"]], "left_semi")
+    # Repeated rows of one id and text.
+    name = "_th"
+    while name in docs.columns:
+        name += "_"
+    one = one.withColumn(name, F.xxhash64("text")).dropDuplicates(["doc_id", name])
     return one.select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
