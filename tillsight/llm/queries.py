@@ -156,21 +156,37 @@ FROM f GROUP BY conv_id
 
 def _op9() -> str:
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
-    known = ", ".join(f"({quoted(t)}, {quoted(i)})" for i, texts in licences.SENTENCES.items() for t in texts)
+    known = licences.known_sentences()
+    exact = ", ".join(f"{quoted(t)}: {quoted(i)}" for t, i in known)
+    inner = ", ".join(f"{{'t': {quoted(t)}, 'i': {quoted(i)}}}" for t, i in known if len(t) >= licences.LONG)
+    cleaned = "coalesce(text, '')"
+    for found, put in licences.CLEANED:
+        put = put.replace("$1", "\\1").replace("\n", "' || chr(10) || '")
+        cleaned = f"regexp_replace({cleaned}, {quoted(found)}, '{put}', 'g')"
     listed = [(name, "".join(f"{i} " for i in ids)) for name, ids in licences.rules()]
     pattern = "|".join(f"({ids})" for _, ids in listed)
     names = ", ".join(f"{quoted(ids)}: {quoted(name)}" for name, ids in listed)
     return f"""
-WITH known(sentence, ident) AS (VALUES {known}),
-p AS (SELECT doc_id, regexp_split_to_array(coalesce(text, ''), '[.!?;:][ \\t\\r\\f]+|\\n') AS parts FROM documents),
-s AS (SELECT doc_id, unnest(range(0, len(parts))) AS i,
-             trim(regexp_replace(lower(unnest(parts)), '[^a-z0-9]+', ' ', 'g')) AS sentence FROM p),
-f AS (SELECT doc_id, count(*) FILTER (s.sentence <> '') AS n,
-             list(ident ORDER BY i) FILTER (ident IS NOT NULL) AS ids
-      FROM s LEFT JOIN known USING (sentence) GROUP BY doc_id)
+WITH known AS (SELECT MAP {{{exact}}} AS exact, [{inner}] AS inner_),
+p AS (SELECT doc_id, row_number() OVER () AS r, regexp_split_to_array({cleaned}, {quoted(licences.PARAGRAPH_END)}) AS parts FROM documents),
+q AS (SELECT r, doc_id, unnest(parts) AS part, unnest(range(0, len(parts))) AS i FROM p),
+s AS (SELECT r, doc_id, i, part, regexp_split_to_array(part, {quoted(licences.SENTENCE_END)}) AS together,
+             regexp_split_to_array(part, {quoted(licences.LINE_END)}) AS by_line FROM q),
+u AS (SELECT r, i, 0 AS way, unnest(together) AS sentence, unnest(range(0, len(together))) AS k FROM s
+      UNION ALL SELECT r, i, 1, unnest(by_line), unnest(range(0, len(by_line))) FROM s WHERE contains(part, chr(10))),
+n AS (SELECT r, i, way, k, trim(regexp_replace(lower(sentence), '[^a-z0-9]+', ' ', 'g')) AS sentence FROM u),
+f AS (SELECT r, i, way, k, sentence,
+             CASE WHEN exact[sentence] IS NOT NULL THEN [exact[sentence]] WHEN length(sentence) <= {licences.LONG} THEN [] ELSE
+               list_transform(list_sort(list_transform(list_filter(inner_, lambda x: contains(sentence, x.t)),
+                 lambda x: {{'at': instr(sentence, x.t), 'i': x.i}})), lambda x: x.i) END AS ids FROM n, known),
+w AS (SELECT r, i, way, flatten(list(ids ORDER BY k)) AS ids, count(*) FILTER (way = 0 AND sentence <> '') AS n FROM f GROUP BY 1, 2, 3),
+z AS (SELECT s.r, s.doc_id, s.i, a.n, CASE WHEN NOT regexp_matches(part, {quoted(licences.HINT)}) THEN [] WHEN len(a.ids) > 0 THEN a.ids
+             ELSE coalesce(b.ids, []) END AS ids
+      FROM s JOIN w a ON a.r = s.r AND a.i = s.i AND a.way = 0 LEFT JOIN w b ON b.r = s.r AND b.i = s.i AND b.way = 1),
+d AS (SELECT r, any_value(doc_id) AS doc_id, flatten(list(ids ORDER BY i)) AS ids, sum(n)::BIGINT AS n FROM z GROUP BY r)
 SELECT doc_id, coalesce(array_to_string(list_transform(regexp_extract_all(array_to_string(ids, ' ') || ' ', '{pattern}'),
                         lambda m: MAP {{{names}}}[m]), ','), '') AS licences,
-       coalesce(array_to_string(ids, ','), '') AS sentence_ids, n::BIGINT AS n_sentences FROM f
+       coalesce(array_to_string(ids, ','), '') AS sentence_ids, n AS n_sentences FROM d
 """
 
 
