@@ -1,6 +1,5 @@
 """SimHash classes, line chunks and repeated byte runs against brute force."""
 
-import hashlib
 import random
 import re
 
@@ -103,19 +102,17 @@ def test_components_of_a_long_chain_and_a_star(spark):
 
 
 def brute_lines(rows):
+    """Windows of two lines with words, in order; those met before go, with what lies between their lines."""
     seen, out = set(), {}
     for i, text in sorted({(r[0], r[1]) for r in rows if r[0] is not None and r[1] is not None}, key=lambda r: r[0]):
         lines = text.split("\n")
-        digest = [hashlib.md5(x.encode()).hexdigest() for x in lines]
-        cuts = [k for k in range(1, len(lines)) if hashlib.md5((digest[k - 1] + digest[k]).encode()).hexdigest()[-1] in "048c"]
-        kept = []
-        for a, b in zip([0, *cuts], [*cuts, len(lines)]):
-            chunk = "\n".join(lines[a:b])
-            if b - a < 2 or chunk not in seen:
-                kept += lines[a:b]
-            if b - a >= 2:
-                seen.add(chunk)
-        out[i] = "\n".join(kept)
+        full = [k for k, x in enumerate(lines) if re.search(r"[^\x20\x09-\x0D]", x)]
+        gone = set()
+        for a, b in zip(full, full[1:]):
+            if (lines[a], lines[b]) in seen:
+                gone.update(range(a, b + 1))
+            seen.add((lines[a], lines[b]))
+        out[i] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
     return out
 
 
@@ -128,13 +125,35 @@ def test_line_chunks(spark, messy, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
-def test_line_chunks_withstand_shifts(spark):
-    rng = random.Random(4)
-    shared = [prose(rng, 8).replace("\n", " ") for _ in range(60)]
-    rows = [(i, "\n".join([f"own {i} {k}" for k in range(i)] + shared)) for i in range(5)]
-    out = {r.doc_id: len(r.text.split("\n")) for r in
+@pytest.mark.parametrize("size", [2, 3, 5, 8, 12, 60])
+def test_passages_of_any_number_of_lines_go(spark, size):
+    """Forty passages, each in two documents with other lines around them: the second occurrence goes whole, nothing else."""
+    rng = random.Random(size)
+    line = lambda: prose(rng, 9).replace("\n", " ")
+    rows, want = [], {}
+    for n in range(40):
+        passage = [line() for _ in range(size)]
+        if n % 2:
+            passage.insert(1, "")  # a blank line inside
+        for k in range(2):
+            before, after = ([line() for _ in range(rng.randint(0, 4))] for _ in range(2))
+            rows.append((2 * n + k, "\n".join(before + passage + after)))
+            want[2 * n + k] = "\n".join(before + (passage if k == 0 else []) + after)
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.text for r in out} == want
+
+
+def test_single_lines_and_blank_ones_stay(spark):
+    rows = [(1, "one line\n\n\nother"), (2, "one line\n\n\nanother"), (3, "\n\n\n"), (4, "\n\n\n"), (5, "one line"), (6, "one line")]
+    out = {r.doc_id: (r.text, len(r.removed_spans)) for r in
            line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert out[0] == 60 and all(out[i] < i + 25 for i in range(1, 5))
+    assert out == {i: (t, 0) for i, t in rows}
+
+
+def test_repeated_rows_of_one_document_are_cut_alike(spark):
+    rows = [(1, "a b\nc d\ne f"), (1, "a b\nc d\ne f"), (2, "x y\nc d\ne f"), (2, "x y\nc d\ne f"), (None, "c d\ne f\nz")]
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in out) == sorted([(0, "c d\ne f\nz"), (1, "a b"), (1, "a b"), (2, "x y"), (2, "x y")])
 
 
 def brute_bytes(rows, length):

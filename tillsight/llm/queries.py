@@ -116,18 +116,18 @@ QUERIES = {f.__name__: f for f in (
     op1_decontaminate, op2_line_dedup, op3_sharding, op4_chat_format, op5_quality_rules, op6_mixing,
     op7_suffix_dedup, op8_simhash_near_dedup, op9_licence_scan, op10_quality_classifier, op11_packing, op12_divergence, op13_filter_audit)}
 
-_OP2 = """
+_OP2 = r"""
 WITH d AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
-h AS (SELECT doc_id, ls, list_transform(ls, lambda x: md5(x)) AS hs FROM d),
-c AS (SELECT doc_id, ls, list_filter(range(1, len(ls)), lambda i: right(md5(hs[i] || hs[i + 1]), 1) IN ('0', '4', '8', 'c')) AS cuts
-      FROM h),
-z AS (SELECT doc_id, ls, unnest(list_zip(list_concat([0], cuts), list_concat(cuts, [len(ls)]))) AS s FROM c),
-k AS (SELECT doc_id, s[1] AS a, s[2] AS b, array_to_string(ls[s[1] + 1:s[2]], chr(10)) AS chunk FROM z WHERE s[2] - s[1] >= 2),
-gone AS (SELECT doc_id, a, b FROM k QUALIFY row_number() OVER (PARTITION BY chunk ORDER BY doc_id, a) > 1),
-cut AS (SELECT doc_id, sum(b - a) AS lines, count(*) AS chunks FROM gone GROUP BY doc_id),
-line AS (SELECT doc_id, unnest(range(0, len(ls))) AS i, unnest(ls) AS line FROM d),
-kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text FROM line
-         WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.doc_id = line.doc_id AND a <= i AND i < b) GROUP BY doc_id)
+l AS (SELECT doc_id, unnest(range(0, len(ls))) AS i, unnest(ls) AS line FROM d),
+p AS (SELECT doc_id, i AS a, lead(i) OVER w + 1 AS b, line || chr(10) || lead(line) OVER w AS two FROM l
+      WHERE regexp_matches(line, '[^\x20\x09-\x0D]') WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+gone AS (SELECT doc_id, a, b FROM p WHERE b IS NOT NULL QUALIFY row_number() OVER (PARTITION BY two ORDER BY doc_id, a) > 1),
+opens AS (SELECT *, coalesce(a >= lag(b) OVER (PARTITION BY doc_id ORDER BY a), TRUE) AS opens FROM gone),
+spans AS (SELECT doc_id, min(a) AS a, max(b) AS b FROM
+          (SELECT *, count(*) FILTER (opens) OVER (PARTITION BY doc_id ORDER BY a) AS span FROM opens) GROUP BY doc_id, span),
+cut AS (SELECT doc_id, sum(b - a) AS lines, count(*) AS chunks FROM spans GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text FROM l
+         WHERE NOT EXISTS (SELECT 1 FROM spans WHERE spans.doc_id = l.doc_id AND a <= i AND i < b) GROUP BY doc_id)
 SELECT d.doc_id, CASE WHEN d.text IS NULL THEN 0 ELSE len(ls) END::BIGINT AS n_lines, coalesce(lines, 0)::BIGINT AS n_removed_lines,
        coalesce(chunks, 0)::BIGINT AS n_removed_chunks, sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM d LEFT JOIN cut USING (doc_id) LEFT JOIN kept USING (doc_id)
