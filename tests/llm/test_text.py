@@ -36,8 +36,8 @@ def brute_matches(docs, items):
         words = tokens(text)
         for i, item in items:
             want = tokens(item)
-            n, k = len(want), int(0.2 * len(want) + 1e-9)
-            if n < 8:
+            n, k = len(want), int(0.2 * len(want) + 1e-9) if len(want) >= 8 else 0
+            if n < 4:
                 continue
             best = min((distance(words[p:p + n], want) for p in range(len(words))
                         if len(words[p:p + n]) >= n - k and len(set(words[p:p + n]) & set(want)) > n // 3), default=n)
@@ -77,6 +77,30 @@ def test_decontamination_is_brute_force(spark, messy):
     assert left == {d for d, _ in docs} - {d for d, _, _ in got}
 
 
+def test_short_items_match_verbatim(spark):
+    items = [(1, "What is the capital of France?"), (2, "the capital"), (3, "one two three four"), (4, "what is the capital of spain"),
+             (5, "seven words that make up a line"), (6, "What is the capital of France")]
+    docs = [(1, "He asked: what is\nthe CAPITAL of france, and left"), (2, "what is the main capital of france"), (3, "one two three four"),
+            (4, "one two three"), (5, "four one two three"), (6, ""), (7, "x seven words that make up a line. one two three four"), (8, None)]
+    bench, df = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id, r.distance) for r in decontaminate.matches(df, bench).collect()}
+    assert got == {(1, 1, 0), (1, 6, 0), (3, 3, 0), (7, 5, 0), (7, 3, 0)} == brute_matches(docs, items)
+    mixed = spark.createDataFrame(items + [(9, "a much longer item whose words are many enough for edits to be allowed in it")], bench.schema)
+    near = df.unionByName(spark.createDataFrame([(20, "a much longer item whose words were many enough for edits to be allowed in it")], df.schema))
+    assert {(r.doc_id, r.item_id, r.distance) for r in decontaminate.matches(near, mixed).collect()} == got | {(20, 9, 1)}
+
+
+def test_filters_grow_with_the_benchmark(spark):
+    some = spark.range(20_000).select(F.col("id").alias("item"), F.concat_ws(" ", *[F.concat(F.lit(f"w{k}x"), "id") for k in range(35)]).alias("text"))
+    places = decontaminate.slots(some)
+    assert places == 1 << 24
+    few = some.limit(1000)
+    places = decontaminate.slots(few)
+    filters = decontaminate._filters(decontaminate._item_rows(few, places), places)
+    assert (filters.pairs != 0).mean() < 0.07 and filters.keys.mean() < 0.07
+    assert decontaminate.slots(some.limit(0)) == 1 << 20
+
+
 def test_decontamination_recall_at_the_limit():
     rng = random.Random(7)
     vocabulary = [f"w{i}" for i in range(500)]
@@ -227,3 +251,20 @@ def test_features_do_not_depend_on_the_batch():
 def test_queries_cover_every_document(spark, names):
     from tillsight.llm.queries import QUERIES
     assert QUERIES[names](spark, "/root/testdata/sf0.001").count() == 200
+
+
+def test_limit_rejects_a_fortieth_of_normal_rows(spark):
+    """On vectors that vary far more than the floors, with correlations, centre and covariance are those of the normal law."""
+    rng = np.random.default_rng(5)
+    mixing = np.array([[3, 0, 0, 0], [1, 4, 0, 0], [0, -2, 3, 0], [2, 0, 1, 5]], float)
+    values = rng.normal(size=(20_000, 4)) @ mixing.T + [10, -5, 0, 3]
+    rows = spark.createDataFrame([(k % 2, *map(float, v)) for k, v in enumerate(values)], ["g", *quality_rules.VECTOR])
+    fit = quality_rules.mcd(rows, 2)
+    told = rows.join(fit, "g")
+    told = told.select(quality_rules._distance([F.col(c) for c in quality_rules.VECTOR], told).alias("d"))
+    share = told.filter(F.col("d") > quality_rules.CUT).count() / 20_000
+    assert 0.02 <= share <= 0.03
+    for r in fit.collect():
+        assert np.allclose([r[f"m{i}"] for i in range(4)], [10, -5, 0, 3], atol=0.3)
+        lower = np.array([[r[f"l{i}{j}"] if j <= i else 0 for j in range(4)] for i in range(4)])
+        assert np.allclose(lower @ lower.T, mixing @ mixing.T, rtol=0.1, atol=1.0)

@@ -5,19 +5,22 @@ item's words, rounded down) word edits away from it.  At the end of a text the w
 
 1. Count filter, which loses nothing: k edits spoil at most 2 k of an item's p word pairs (those of a word with itself
    left out), so a window that holds fewer than p - 2 k word pairs of items of its size is passed over.  The pairs of all
-   items are kept in a table of fixed size (``SLOTS`` places); false hits only let more windows through.
+   items are kept in a table with 16 places for each, within bounds (``slots``); false hits only let more windows through.
 2. CGK embedding: a random walk copies words of the window, moving on or staying by a random bit of step and word, so a
    small edit distance becomes a small Hamming distance.  Several times, some steps of a fresh walk are sampled and
    hashed to a key: the share of steps that differ grows with the item, so longer items have fewer steps in a key
-   (``sampled``) and more walks (``repeats``); windows and items that share a key meet in a join.  Windows whose keys no item has are
-   dropped beforehand by a second table of fixed size.
+   (``sampled``) and more walks (``repeats``); windows and items that share a key meet in a join.  Windows whose keys no
+   item has are dropped beforehand by a second table of that size.
 3. Every pair that met is verified by the exact edit distance of its words.
 
-At the largest distance allowed, the share of matches that meets a key is above 0.95 (tests measure it on items of 10 to 800 words); it rises to
-practically 1 for fewer edits, and is 1 for verbatim passages, which take the same path.
+At the largest distance allowed, the share of matches that meets a key is above 0.95 (tests measure it on items of 10 to
+800 words); it rises to practically 1 for fewer edits, and is 1 for verbatim passages, which take the same path.
+
+Items of ``SHORTEST`` to ``LEAST`` - 1 words match verbatim only: an edit in so few words is another sentence.  Their key is
+a hash of the whole window, and they join and are verified like the others.
 
 Defined results: words are runs of letters, digits and non-ASCII characters in lower case; null and empty texts and items
-match nothing, and neither do items of fewer than ``LEAST`` words, which chance could produce; repeated items match each;
+match nothing, and neither do items of fewer than ``SHORTEST`` words, which chance produces; repeated items match each;
 repeated rows of a document are reported once; other columns are not read, so they may clash.
 """
 
@@ -36,10 +39,11 @@ from tillsight.session import stage, tune
 
 EDITS = 0.2
 LEAST = 8
+SHORTEST = 4
 REPEATS = 40
 SAMPLED = 4
 WALKS = 1 << 22  # walks that a task takes at once, about
-SLOTS = 1 << 20
+SLOTS = 1 << 20, 1 << 24  # least and most places of the filters
 
 _WORD = np.zeros(256, bool)
 _WORD[[*range(ord("0"), ord("9") + 1), *range(ord("a"), ord("z") + 1), *range(128, 256)]] = True
@@ -80,16 +84,26 @@ def size_class(n: int) -> np.uint64:
     return np.uint64(n % 64)
 
 
-def pair_slots(hashes: np.ndarray) -> np.ndarray:
+def pair_slots(hashes: np.ndarray, slots: int) -> np.ndarray:
     """Place of each word pair; 0, which stands for none, where a word follows itself."""
     with np.errstate(over="ignore"):
         mixed = _scrambled(hashes[:-1] * _PAIR[0] + hashes[1:])
-    places = (mixed >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
+    places = (mixed >> np.uint64(64 - slots.bit_length() + 1)).astype(np.int64)
     return np.where(hashes[:-1] == hashes[1:], 0, np.maximum(places, 1))
 
 
 def edits(n: int) -> int:
-    return int(EDITS * n + 1e-9)
+    return int(EDITS * n + 1e-9) if n >= LEAST else 0
+
+
+def exact_keys(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Key of the ``n`` words from each word on."""
+    count = max(0, len(hashes) - n + 1)
+    keys = np.full(count, np.uint64(n))
+    with np.errstate(over="ignore"):
+        for k in range(n):
+            keys = _scrambled(keys * _PAIR[1] + hashes[k:k + count])
+    return keys
 
 
 def repeats(n: int) -> int:
@@ -139,17 +153,29 @@ def _covered(starts: np.ndarray, ends: np.ndarray, n: int) -> tuple[np.ndarray,
 
 
 class Filters:
-    """What tasks need of the benchmark: word pairs by size class, the sizes, and which keys occur; of fixed size."""
+    """What tasks need of the benchmark: word pairs by size class, the sizes, and which keys occur; of bounded size."""
 
     def __init__(self, pairs: np.ndarray, sizes: dict[int, int], keys: np.ndarray):
         """``sizes``: the pairs that a window of each size needs."""
-        self.pairs, self.sizes, self.keys = pairs, sizes, keys
+        self.pairs, self.keys = pairs, keys
+        self.sizes = {n: need for n, need in sizes.items() if n >= LEAST}
+        self.short = [n for n in sizes if n < LEAST]
+
+    def exact(self, hashes: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(n, starts, keys) of the windows of short items' sizes whose key occurs."""
+        text_end = np.repeat(first[1:], np.diff(first))
+        for n in self.short:
+            keys = exact_keys(hashes, n)
+            whole = np.arange(len(keys)) + n <= text_end[:len(keys)]
+            at = np.flatnonzero(whole & self.hits(keys))
+            if len(at):
+                yield n, at, keys[at]
 
     def windows(self, hashes: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(n, starts, ends) of the windows that pass the count filter."""
         if len(hashes) < 2 or not self.sizes:
             return
-        mask = np.append(self.pairs[pair_slots(hashes)], np.uint64(0))
+        mask = np.append(self.pairs[pair_slots(hashes, len(self.pairs))], np.uint64(0))
         lasts = first[1:][first[1:] > first[:-1]] - 1
         mask[lasts] = 0  # a pair never runs over the end of a text
         # Some stretch of g pairs inside a passing window has at least this many hits.
@@ -178,7 +204,7 @@ class Filters:
                 yield n, lo[at:at + block], hi[at:at + block]
 
     def hits(self, keys: np.ndarray) -> np.ndarray:
-        return self.keys[(keys >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)]
+        return self.keys[(keys >> np.uint64(64 - len(self.keys).bit_length() + 1)).astype(np.int64)]
 
 
 def distances(pairs: list[tuple[list[bytes], list[bytes]]]) -> np.ndarray:
@@ -210,7 +236,15 @@ def _batches(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple]:
             yield (part, data, *words(data, offsets))
 
 
-def _item_rows(items: DataFrame) -> DataFrame:
+def slots(items: DataFrame) -> int:
+    """Places of the filters: 16 for each word or key of the items, within ``SLOTS``; a power of two."""
+    n = F.size(F.split("text", " "))
+    found = items.agg(F.sum(n.cast("long")).alias("w"), F.sum(F.greatest(F.lit(REPEATS), n / 4)).cast("long").alias("k")).first()
+    wanted = 16 * max(found["w"] or 0, found["k"] or 0, 1)
+    return min(max(SLOTS[0], 1 << (wanted - 1).bit_length()), SLOTS[1])
+
+
+def _item_rows(items: DataFrame, places: int) -> DataFrame:
     """(item, words, n, places, keys) of every item that is long enough; its keys as windows of its size have them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, hashes, starts, ends, first in _batches(batches, 1):
@@ -218,14 +252,15 @@ def _item_rows(items: DataFrame) -> DataFrame:
             for i in range(len(part)):
                 a, b = first[i], first[i + 1]
                 n = int(b - a)
-                if n < LEAST:
+                if n < SHORTEST:
                     continue
                 lo, hi = np.array([0]), np.array([n])
                 out["item"].append(part.column(0)[i].as_py())
                 out["words"].append(b" ".join(_RUN.findall(data[starts[a]:ends[b - 1]].tobytes())).decode())
                 out["n"].append(n)
-                out["places"].append([p for p in pair_slots(hashes[a:b]).tolist() if p])
-                out["keys"].append(walk_keys(hashes[a:b], lo, hi, n)[:, 0].view(np.int64).tolist())
+                out["places"].append([p for p in pair_slots(hashes[a:b], places).tolist() if p] if n >= LEAST else [])
+                keys = walk_keys(hashes[a:b], lo, hi, n)[:, 0] if n >= LEAST else exact_keys(hashes[a:b], n)
+                out["keys"].append(keys.view(np.int64).tolist())
             yield pa.RecordBatch.from_arrays([
                 pa.array(out["item"], part.schema.field(0).type), pa.array(out["words"], pa.string()),
                 pa.array(out["n"], pa.int32()), pa.array(out["places"], pa.list_(pa.int64())),
@@ -235,14 +270,14 @@ def _item_rows(items: DataFrame) -> DataFrame:
     return items.mapInArrow(run, f"item {kind}, words string, n int, places array<long>, keys array<long>")
 
 
-def _filters(items: DataFrame) -> Filters:
-    """Both tables, at most ``SLOTS`` rows each on the driver."""
+def _filters(items: DataFrame, places: int) -> Filters:
+    """Both tables, at most ``places`` rows each on the driver."""
     by_class = F.expr("shiftleft(1L, n % 64)")
-    pairs, keys = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, bool)
+    pairs, keys = np.zeros(places, np.uint64), np.zeros(places, bool)
     found = items.select(F.explode("places").alias("place"), by_class.alias("mask")).groupBy("place").agg(
         F.bit_or("mask").alias("mask")).toPandas()
     pairs[found["place"].to_numpy(np.int64)] = found["mask"].to_numpy(np.int64).view(np.uint64)
-    place = F.shiftrightunsigned("key", 64 - SLOTS.bit_length() + 1).alias("place")
+    place = F.shiftrightunsigned("key", 64 - places.bit_length() + 1).alias("place")
     seen = items.select(F.explode("keys").alias("key")).select(place).distinct().toPandas()
     keys[seen["place"].to_numpy(np.int64)] = True
     sizes = {r["n"]: max(1, r["p"] - 2 * edits(r["n"])) for r in
@@ -259,23 +294,30 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
             item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(key, id_col, item_col, n_words, distance, first_word): the nearest window for each document and item."""
     tune(docs.sparkSession)
-    prepared = stage(_item_rows(items.select(F.col(item_col).alias("item"), F.lower(item_text_col).alias("text"))), "items")
-    shared = docs.sparkSession.sparkContext.broadcast(_filters(prepared))
+    named = items.select(F.col(item_col).alias("item"), F.lower(item_text_col).alias("text"))
+    places = slots(named)
+    prepared = stage(_item_rows(named, places), "items")
+    shared = docs.sparkSession.sparkContext.broadcast(_filters(prepared, places))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, hashes, starts, ends, first in _batches(batches, 2):
             found = [[] for _ in range(5)]
+
+            def keep(a, b, n, keys):
+                row = int(np.searchsorted(first, a, side="right")) - 1
+                window = b" ".join(_RUN.findall(data[starts[a]:ends[b - 1]].tobytes())).decode(errors="replace")
+                for box, value in zip(found, (row, int(a - first[row]), n, window, keys.astype(np.uint64).view(np.int64).tolist())):
+                    box.append(value)
+
             for n, lo, hi in shared.value.windows(hashes, first):
                 near, begin, end = _covered(lo, hi, n)
                 keys = walk_keys(hashes[near], begin, end, n).T
                 hit = shared.value.hits(keys)
                 for w in np.flatnonzero(hit.any(axis=1)):
-                    a, b = lo[w], hi[w]
-                    row = int(np.searchsorted(first, a, side="right")) - 1
-                    window = b" ".join(_RUN.findall(data[starts[a]:ends[b - 1]].tobytes())).decode(errors="replace")
-                    for box, value in zip(found, (row, int(a - first[row]), n, window,
-                                                  keys[w][hit[w]].astype(np.uint64).view(np.int64).tolist())):
-                        box.append(value)
+                    keep(lo[w], hi[w], n, keys[w][hit[w]])
+            for n, lo, keys in shared.value.exact(hashes, first):
+                for a, key in zip(lo, keys):
+                    keep(a, a + n, n, np.array([key]))
             if found[0]:
                 taken = pa.array(found[0], pa.int64())
                 yield pa.RecordBatch.from_arrays(
@@ -302,7 +344,7 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
                     [*(part.column(c) for c in (0, 1, 2, 3, 5)), pa.array(d)], names=["key", "id", "at", "n", "item", "d"])
 
     near = met.mapInArrow(verify, f"key string, id {kind}, at long, n int, item {item_kind}, d long")
-    near = near.filter(F.col("d") <= F.floor(F.col("n") * EDITS + 1e-9))
+    near = near.filter(F.col("d") <= F.when(F.col("n") < LEAST, 0).otherwise(F.floor(F.col("n") * EDITS + 1e-9)))
     best = near.groupBy("key", "id", "item", "n").agg(F.min(F.struct("d", "at")).alias("b"))
     return best.select("key", F.col("id").alias(id_col), F.col("item").alias(item_col),
                        F.col("n").cast("long").alias("n_words"), F.col("b.d").alias("distance"),
