@@ -2,13 +2,15 @@
 
 Five statistics are counted over the words of the whole text, where a word is a run without ASCII white space.  From
 them comes a vector of transformed statistics, and for each group of language and source the minimum covariance
-determinant (MCD) estimates its centre and covariance: starting from medians and spreads, concentration steps refit
-both to the ``SUBSET`` share of rows nearest to the last fit, which lowers the determinant every time.  A document whose
-squared Mahalanobis distance exceeds ``CUT`` is rejected.
+determinant (MCD) estimates its centre and covariance: starting from medians and fixed spreads, ``STEPS`` concentration
+steps refit both to the ``SUBSET`` share of rows nearest to the last fit.  The covariance of the nearest rows is widened by
+``CONSISTENCY`` to that of all rows, so where a group varies far more than the floors, ``CUT`` rejects 2.5 % of normal
+rows; a document whose squared Mahalanobis distance exceeds it goes.
 
 Quantiles within a group are exact on a fine grid: rows become (group, grid value) counts before any shuffle, so a group
 with a third of all rows costs no task more than another.  A group below ``LEAST`` rows takes the estimates of its
-language, or of all rows if that is small too.  Variances have a floor, as many statistics are nearly constant.
+language, or of all rows if that is small too.  The square of a floor is added to each variance, as many statistics are
+nearly constant: the less a group varies, the fewer rows of it are rejected.
 
 Defined results: a null text has no words and fails the base rules, as does an empty one; null languages and sources are
 groups of their own; repeated rows are judged each; an empty table gives an empty result; only id, text, language and
@@ -28,6 +30,7 @@ REPEAT = 5  # words in a window
 SUBSET = 0.75
 STEPS = 6
 LEAST = 60
+CONSISTENCY = 1.4864  # fixed value: 0.75 / P(chi-square with 6 degrees < the 0.75 quantile with 4), for normal rows
 CUT = 11.143  # fixed value: 0.975 quantile of chi-square with four degrees of freedom, the customary limit
 BROADCAST = 10_000  # tables with one row for each group are broadcast up to so many groups, which are counted
 GRID = 200  # grid steps per unit
@@ -119,7 +122,7 @@ def _factored(moments: DataFrame) -> DataFrame:
     out = means
     for i in k:
         for j in range(i + 1):
-            c = F.col(f"q{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}")
+            c = (F.col(f"q{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}")) * CONSISTENCY
             if i == j:
                 c = F.greatest(c, F.lit(0.0)) + FLOORS[VECTOR[i]] ** 2
             for x in range(j):
