@@ -33,7 +33,7 @@ from tillsight.session import scratch_path, stage
 FIRST = 8
 
 # A task hands on its counts once it holds so many entries.
-HELD = 500_000
+HELD = 1_000_000
 
 # Cells (terms times sources) of one block.
 BLOCK = 1 << 19
@@ -202,6 +202,7 @@ def audit(docs: DataFrame, least: int = 3, top: int = 200) -> DataFrame:
              .cogroup(repeated.select("lang", "block", "source", "total", "v", "lang_total", F.lit(top).alias("top"))
                       .groupBy("lang", "block"))
              .applyInPandas(_compare, "lang string, source string, part string, item string, value long"))
+    found = stage(found, "compared")  # both parts read it
     # Blocks share no term, so each term has one row; languages without kept terms have their pairs at 0.
     none = groups.filter("v = 0").select("lang", "source")
     others = none.join(none.withColumnRenamed("source", "item"), "lang").filter("source <> item")
