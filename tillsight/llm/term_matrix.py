@@ -40,6 +40,11 @@ def _written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _freed() -> None:
+    """Give memory back at a task's end: workers live on, and others share the executor."""
+    pa.default_memory_pool().release_unused()
+
+
 class _List:
     """One list of words and the shard that is being filled."""
 
@@ -91,7 +96,7 @@ def shards(docs: DataFrame, told: Callable[[pa.RecordBatch, list[bytes]], pa.Str
                 names=["list", "rows", "first", "words", "indptr", "columns", "counts"])
 
         for batch in batches:
-            for some in slices(batch, 8 << 20):
+            for some in slices(batch, 4 << 20):
                 texts = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in some.column(docs_at).cast(pa.large_binary())]
                 known, at = told(some, texts), 0
                 for i, text in enumerate(texts, 1):
@@ -106,6 +111,7 @@ def shards(docs: DataFrame, told: Callable[[pa.RecordBatch, list[bytes]], pa.Str
                     rows.append(known[at:])
         if rows:
             yield close()
+        _freed()
 
     return _written(docs.mapInArrow(run, out), "shards")
 
@@ -143,6 +149,7 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield blocks()
     if places:
         yield blocks()
+    _freed()
 
 
 def dictionary(cut: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -196,5 +203,6 @@ def row_figures(csr: DataFrame) -> DataFrame:
                 filled = np.diff(np.concatenate(([0], np.cumsum(counts != 0)))[indptr])
                 yield pa.RecordBatch.from_arrays([*get["rows"].flatten().flatten(), pa.array(sums), pa.array(filled)],
                                                  names=[*(f.name for f in kind), "n_words", "n_distinct"])
+        _freed()
 
     return csr.select("rows", "indptr", "counts").mapInArrow(run, schema)
