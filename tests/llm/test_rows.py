@@ -1,5 +1,6 @@
 """Sharding, mixing, the pipeline and the SQL twins."""
 
+import random
 from collections import Counter
 
 import pytest
@@ -67,13 +68,79 @@ def test_default_mix(spark):
     check_mix(mixing.mix(docs).collect(), docs.count())
 
 
-def test_frame_meets_releases_and_deadlines(spark):
-    quota = spark.createDataFrame([("a", 10, 7), ("b", 10, 11), ("c", 10, 1), (None, 10, 21)], "source string, n long, m long")
-    plan = mixing.edf_frame(quota, 40).collect()
-    assert sorted(s for r in plan for s in r.slots) == list(range(40))
+def shares(spark, ms):
+    return spark.createDataFrame([(f"s{i:04}", m) for i, m in enumerate(ms)], "g string, m long")
+
+
+@pytest.mark.parametrize("ms", [[7, 11, 1, 21], [1], [1, 1], [999, 1], [333, 333, 334], [45000, 45000] + [100] * 100,
+                                [2 ** 40 + 7, 2 ** 39 + 1, 3 ** 23, 5 ** 15, 2 ** 38 + 9, 7 ** 12, 2 ** 37 - 1]])
+def test_schedule_meets_releases_and_deadlines(spark, ms):
+    of, slots = sum(ms), 5000
+    plan = sorted(mixing.schedule(shares(spark, ms), slots).collect(), key=lambda r: r.slot)
+    assert [r.slot for r in plan] == list(range(slots))
+    done = Counter()
     for r in plan:
-        for i, slot in enumerate(r.slots):
-            assert i * 40 // r.m <= slot < -(-(i + 1) * 40 // r.m)
+        m = ms[int(r.g[1:])]
+        assert r.e == done[r.g] and r.e * of // m <= r.slot < -(-(r.e + 1) * of // m)
+        done[r.g] += 1
+
+
+def test_schedule_of_many_random_weights(spark):
+    rng = random.Random(5)
+    for n in (2, 3, 10, 40, 150):
+        ms = [int(rng.paretovariate(0.7) * 1000) + 1 for _ in range(n)]
+        ms = [max(m, sum(ms) // 4000 + 1) for m in ms]
+        of = sum(ms)
+        plan = mixing.schedule(shares(spark, ms), 20_000).collect()
+        assert len(plan) >= 20_000 and len({r.slot for r in plan}) == 20_000
+        assert all(r.e * of // ms[int(r.g[1:])] <= r.slot < -(-(r.e + 1) * of // ms[int(r.g[1:])]) for r in plan)
+
+
+def furthest(rows, weights):
+    """The most that a source is ever away from its weight; checked where its count changes."""
+    total, done, most = sum(weights.values()), Counter(), 0.0
+    for t, r in enumerate(sorted(rows, key=lambda r: r.slot)):
+        w = weights[r.source] / total
+        most = max(most, abs(done[r.source] - w * t), abs(done[r.source] + 1 - w * (t + 1)))
+        done[r.source] += 1
+    return max([most] + [abs(done[s] - w / total * len(rows)) for s, w in weights.items()])
+
+
+def test_a_long_tail_of_sources_keeps_to_its_weights(spark):
+    rows = [(i, f"s{i % 2}" if i < 2500 else f"t{i}") for i in range(3000)]
+    n = Counter(s for _, s in rows)
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string")).collect()
+    check_mix(out, 3000)
+    weights = {s: c ** 0.9 for s, c in n.items()}
+    assert furthest(out, weights) < 1 + 1e-9  # these weights are rounded
+    # No source is repeated more than its weight asks for.
+    assert len(out) <= 1250 / (weights["s0"] / sum(weights.values())) + 1
+
+
+def test_very_light_sources_are_not_lifted(spark):
+    rows = [(i, "big" if i > 1 else "tiny") for i in range(100_000)]
+    weights = {"big": 99_999.0, "tiny": 1.0}
+    given = spark.createDataFrame(list(weights.items()), "source string, weight double")
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string"), given).collect()
+    check_mix(out, 100_000)
+    assert furthest(out, weights) < 2 and 2 <= sum(r.source == "tiny" for r in out) <= 7
+
+
+def test_tiers_of_sources(spark):
+    rows = [(i, f"b{i % 2}") for i in range(100_000)] + [(i, f"t{i}") for i in range(100_000, 100_300)]
+    weights = {s: (30_000.0 if s[0] == "b" else 0.7) for _, s in rows}
+    given = spark.createDataFrame(list(weights.items()), "source string, weight double")
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string"), given).collect()
+    check_mix(out, 100_300)
+    assert furthest(out, weights) < 2
+
+
+def test_a_source_without_weight_is_spread_once(spark):
+    rows = [(i, "abc"[i % 3]) for i in range(900)]
+    given = spark.createDataFrame([("a", 2.0), ("b", 1.0), ("c", -1.0)], "source string, weight double")
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string"), given).collect()
+    check_mix(out, 900)
+    assert Counter(r.source for r in out) == {"a": 600, "b": 300, "c": 300}
 
 
 def test_mix_of_messy_and_empty(messy, empty):
