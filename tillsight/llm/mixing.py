@@ -229,7 +229,8 @@ def _placed(docs: DataFrame, weights: DataFrame | None, id_col: str, source_col:
     last = F.greatest(F.floor((F.col("most") - F.col("k")) / F.col("n")), F.lit(0).cast("long"))
     epochs = numbered.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     epochs = epochs.select("row", F.col("epoch").cast("int").alias("epoch"), "g", (F.col("k") + F.col("epoch") * F.col("n")).alias("e"))
-    return epochs.join(plan, ["g", "e"]).select("row", "epoch", "slot")
+    # The plan has a row for each slot, but Spark sees one row exploded and would take it for small.
+    return epochs.join(plan.hint("merge"), ["g", "e"]).select("row", "epoch", "slot")
 
 
 def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
