@@ -36,6 +36,17 @@ def test_a_hot_text_is_cut(spark):
     assert len(out) == 3000 and max(size.values()) < 1.02 * min(size.values())
 
 
+def test_more_ranges_give_the_same_shards(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    few = {(r.doc_id, r.shard, r.slot) for r in sharding.shards(docs, 8, keep=["doc_id"]).collect()}
+    monkeypatch.setattr(sharding, "RANGES", 8)
+    assert few == {(r.doc_id, r.shard, r.slot) for r in sharding.shards(docs, 8, keep=["doc_id"]).collect()}
+    monkeypatch.setattr(sharding, "RANGE_BYTES", 500)
+    keys = docs.selectExpr("xxhash64(text) h", "xxhash64(string(doc_id)) t", "octet_length(text) + 1 size")
+    assert len(sharding._boundaries(keys, keys.selectExpr("sum(size)").first()[0])) > 500
+    assert few == {(r.doc_id, r.shard, r.slot) for r in sharding.shards(docs, 8, keep=["doc_id"]).collect()}
+
+
 def test_shards_of_messy_and_empty(messy, empty):
     out = sharding.shards(messy, 3)
     assert sorted(out.columns) == sorted(messy.columns) and out.count() == messy.count()

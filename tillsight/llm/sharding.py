@@ -3,8 +3,9 @@
 Rows are ordered by a hash of their text, then of their id, so equal texts lie together and even a group that holds a
 third of all rows can be cut.  Size-weighted samples of the keys are drawn, their quantiles become range boundaries,
 and every row is put into its range by binary search.  Ranges that turn out overfull are sampled again, more densely,
-and subdivided.  Exact sums of bytes and rows by range, added up over the ranges, give each row its place in the whole
-order; the shard follows from the bytes before it.
+and subdivided.  The number of ranges follows the bytes, so that a task orders ``RANGE_BYTES`` or so; from 16 TB on, where
+there are ``MOST_RANGES``, it orders more.  Exact sums of bytes and rows by range, added up over the ranges, give each row
+its place in the whole order; the shard follows from the bytes before it.
 
 Shards differ by little more than the largest document.  Equal texts share a shard, unless their group is larger than
 1/``WHOLE`` of a shard: such groups are cut where the shard is full.
@@ -21,7 +22,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tillsight.llm.tables import utf8_size
 from tillsight.session import stage, tune
 
-RANGES = 1024  # boundaries that reach the driver: one fewer
+RANGES = 1024  # at least; boundaries that reach the driver: one fewer
+MOST_RANGES = 1 << 16
+RANGE_BYTES = 256 << 20  # a task orders one range
 DRAWS = 32  # samples expected for each range
 WHOLE = 256
 _LEAST = -(1 << 63)
@@ -109,16 +112,17 @@ def shards(docs: DataFrame, count: int = 8, id_col: str = "doc_id", text_col: st
 
 def _boundaries(rows: DataFrame, total: int) -> list[tuple[int, int]]:
     """Range boundaries from sampled keys; ranges that turn out overfull are subdivided."""
-    keys = _quantiles(_drawn(rows, total, RANGES * DRAWS), RANGES)
+    ranges = min(MOST_RANGES, max(RANGES, total // RANGE_BYTES))
+    keys = _quantiles(_drawn(rows, total, ranges * DRAWS), ranges)
     bounds = _snapped(keys)
-    full = 4 * total / RANGES
+    full = 4 * total / ranges
     sized = rows.select("h", "t", "size", _range(bounds).alias("range"))
     over = sized.groupBy("range").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).filter(
         (F.col("bytes") > full) & (F.col("n") > 1))
-    over = [(r["range"], r["bytes"]) for r in over.collect()]  # fewer than RANGES / 4
+    over = [(r["range"], r["bytes"]) for r in over.collect()]  # fewer than ranges / 4
     if not over:
         return bounds
     inside = sized.filter(F.col("range").isin([r for r, _ in over]))
     weight = sum(b for _, b in over)
-    parts = min(RANGES, -(-weight * RANGES // total) * 2)
+    parts = min(ranges, -(-weight * ranges // total) * 2)
     return _snapped(keys + _quantiles(_drawn(inside, weight, parts * DRAWS), parts))
