@@ -5,6 +5,9 @@ import datetime as dt
 import numpy as np
 import pytest
 from pyspark.ml import Pipeline
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
 
 from tillsight.operators import arima, churn, churn_models as models, clusters, forecast, model_quality as quality, rfm, series
 from tillsight.functions.scalars import latest
@@ -80,6 +83,24 @@ def test_clusters(star):
     assert clusters.choose_k(features, max_k=4, n_init=2) == max(tried, key=lambda r: r[2])[0]
 
 
+def test_fits_share_their_passes(spark, monkeypatch):
+    # Same centres as Spark's own fits, in as many passes as the longest of them has rounds.
+    rows = [(i, Vectors.dense([i % 4 * 5 + i * 37 % 11 / 10, i % 3 * 4 + i * 17 % 13 / 10])) for i in range(300)]
+    features = spark.createDataFrame(rows, ["customer_id", "features"]).repartition(2, "customer_id").persist()
+    features.count()
+    own = {(k, s): KMeans(k=k, seed=42 + s, maxIter=300).fit(features) for k in (2, 5) for s in range(3)}
+    passes, once = [], clusters._sums
+    monkeypatch.setattr(clusters, "_sums", lambda *a: passes.append(1) or once(*a))
+    for k, found in zip((2, 5), clusters.fit_kmeans(features, (2, 5), n_init=3)):
+        best = min((own[k, s] for s in range(3)), key=lambda m: m.summary.trainingCost)
+        assert found.cost == pytest.approx(best.summary.trainingCost, rel=1e-9)
+        assert np.allclose(found.centers, np.array(best.clusterCenters()))
+        same = found.transform(features).join(best.transform(features).select("customer_id", F.col("prediction").alias("p")), "customer_id")
+        assert same.filter("prediction <> p").count() == 0
+    assert len(passes) == max(m.summary.numIter for m in own.values())
+    features.unpersist()
+
+
 def test_forest_forecast_is_flat(star):
     daily = series.time_series(series.sales_base(star.orders, star.order_items, star.products))
     ahead, errors = forecast.random_forest(series.model_features(daily), trees=10, max_depth=4)
