@@ -6,6 +6,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -209,3 +210,35 @@ def test_elasticity_needs_a_sample(spark):
     items = spark.createDataFrame(rows, "product_id long, quantity int, unit_price double")
     out = {r.product_id: (r.lines, r.elasticity) for r in extras.price_elasticity(items).collect()}
     assert out[1] == (10, pytest.approx(-1.0)) and out[2] == (9, None)
+
+
+def test_blocks_hold_every_pair(spark, monkeypatch):
+    # Several blocks of customers and products, and long beside short histories: the lists are those of all pairs.
+    monkeypatch.setattr(recommend, "USERS", 7)
+    monkeypatch.setattr(recommend, "ITEMS", 16)
+    rows = [(c, p, 1 + (c + p) % 3) for c in range(30) for p in range(50) if (c * 7 + p * 3) % 11 < 4 or c == 5 and p < 47]
+    made = recommend.train(spark.createDataFrame(rows, "customer_id long, product_id long, orders long"), rank=4, rounds=3)
+    factors = lambda df: np.array([r.features for r in df.orderBy("id").collect()], np.float32)
+    scores = factors(made.model.userFactors) @ factors(made.model.itemFactors).T
+    had = {(c, p) for c, p, _ in rows}
+    out = {}
+    for r in recommend.recommend(made, 5).orderBy("customer_id", "place").collect():
+        out.setdefault(r.customer_id, []).append(r)
+    assert 0 < len(out[5]) < 5  # nearly everything bought
+    for c in range(30):
+        left = sorted((scores[c, p] for p in range(50) if (c, p) not in had), reverse=True)
+        assert [r.place for r in out[c]] == [*range(1, min(5, len(left)) + 1)]
+        assert np.allclose([r.score for r in out[c]], left[:5], atol=1e-5)
+        assert not any((c, r.product_id) in had for r in out[c])
+
+
+def test_strips_keep_the_best_and_ties(monkeypatch):
+    monkeypatch.setattr(recommend, "STRIP", 8)
+    draw = np.random.default_rng(1)
+    users, items = (draw.integers(-2, 3, (n, 3)).astype(np.float32) for n in (9, 41))
+    ids = np.arange(100, 141)
+    had = np.array([(u, i) for u in range(9) for i in (*ids[u::5], 500)]).T
+    row, item, score = recommend._best(users, ids, items, had, 4)
+    for u in range(9):
+        free = [(-float(users[u] @ items[k]), int(i)) for k, i in enumerate(ids) if i not in set(ids[u::5])]
+        assert [*zip(-score[row == u], item[row == u])] == sorted(free)[:4]

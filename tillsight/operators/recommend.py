@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -12,6 +14,9 @@ from tillsight.functions.ranks import rank_first
 from tillsight.functions.scalars import REALISED_STATUSES, is_realised
 from tillsight.session import stage
 
+# Numbers in a block of customers and of products, and products that are scored at once.
+USERS, ITEMS, STRIP = 1024, 1 << 16, 4096
+
 
 @dataclass
 class Recommender:
@@ -51,27 +56,70 @@ def train(found: DataFrame, rank: int = 16, rounds: int = 10, penalty: float = 0
     return Recommender(als.fit(bought.withColumn("orders", F.col("orders").cast("float"))), customers, products, bought)
 
 
+def _blocks(factors: DataFrame, size: int) -> DataFrame:
+    """(block, ids, factors): blocks of ``size`` numbers, factors as one flat list in the order of the ids."""
+    listed = factors.groupBy(F.floor(F.col("id") / size).cast("int").alias("block")).agg(
+        F.sort_array(F.collect_list(F.struct("id", "features"))).alias("l"))
+    return listed.select("block", F.col("l.id").alias("ids"), F.flatten("l.features").alias("factors"))
+
+
+def _best(users: np.ndarray, ids: np.ndarray, items: np.ndarray, had: np.ndarray, top: int) -> tuple[np.ndarray, ...]:
+    """(user's place, item, score) of the ``top`` items of each user, the lesser id on a tie.
+
+    ``had`` holds (user's place, item) pairs that are left out.  Scores are looked at in strips; of each only those count
+    that reach the lowest score a user has kept so far.
+    """
+    lowest = np.full(len(users), np.finfo(np.float32).min, np.float32)
+    kept = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32))
+    had = had[:, np.argsort(had[1], kind="stable")]
+    for at in range(0, len(ids), STRIP):
+        some = ids[at:at + STRIP]
+        scores = users @ items[at:at + STRIP].T
+        own = had[:, np.searchsorted(had[1], some[0]):np.searchsorted(had[1], some[-1], side="right")]
+        place = np.searchsorted(some, own[1])
+        known = some[place] == own[1]
+        scores[own[0][known], place[known]] = -np.inf
+        if not at and len(some) > top:
+            lowest = np.maximum(lowest, np.partition(scores, -top, axis=1)[:, -top])
+        row, column = np.nonzero(scores >= lowest[:, None])
+        row, item, score = (np.concatenate(x) for x in zip(kept, (row, some[column], scores[row, column])))
+        order = np.lexsort((item, -score, row))
+        row, item, score = row[order], item[order], score[order]
+        first = np.searchsorted(row, np.arange(len(users)))
+        place = np.arange(len(row)) - first[row]
+        full = place == top - 1
+        lowest[row[full]] = score[full]
+        kept = tuple(x[place < top] for x in (row, item, score))
+    return kept
+
+
 def recommend(made: Recommender, top: int = 10) -> DataFrame:
     """(customer_id, place, product_id, score): the ``top`` products that each customer has not bought.
 
-    Spark scores block by block and keeps a bounded list for each customer.  The list must also hold what the customer
-    has, so customers are taken in classes by the size of their history - powers of two - and each class asks for that
-    many more.  Only customers with nearly everything get fewer than ``top``.
+    Every customer is scored with every product, block by block.  What a customer has is left out before the best are
+    chosen, so a pair of blocks hands on ``top`` rows for each customer at most, however long the histories are.
+    Only customers with nearly everything get fewer than ``top``.
     """
-    sizes = made.bought.groupBy("_u").agg(F.ceil(F.log2(F.count("*"))).cast("int").alias("class"))
-    sizes = stage(sizes, "classes")
-    parts = []
-    for (power,) in sizes.select("class").distinct().orderBy("class").collect():  # 31 classes at most
-        users = sizes.filter(F.col("class") == power).select("_u")
-        parts.append(made.model.recommendForUserSubset(users, top + (1 << power)))
-    if not parts:
-        found = made.bought.select("_u", "_i", F.lit(0.0).cast("float").alias("score"))
-    else:
-        lists = parts[0]
-        for part in parts[1:]:
-            lists = lists.unionByName(part)
-        found = lists.select("_u", F.explode("recommendations").alias("r")).select("_u", "r._i", F.col("r.rating").alias("score"))
-    new = found.join(made.bought.select("_u", "_i"), ["_u", "_i"], "left_anti")
+    spark, rank = made.bought.sparkSession, made.model.rank
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    had = made.bought.groupBy(F.floor(F.col("_u") / USERS).cast("int").alias("block")).agg(
+        F.collect_list("_u").alias("u"), F.collect_list("_i").alias("i"))
+    users = _blocks(made.model.userFactors, USERS).join(had, "block").repartition(parts, "block")
+    items = stage(_blocks(made.model.itemFactors, ITEMS), "items").select(
+        F.col("ids").alias("item_ids"), F.col("factors").alias("item_factors"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(len(batch)):
+                ids, users, u, i, item_ids, items = (
+                    batch.column(c)[k].values.to_numpy(zero_copy_only=False) for c in range(6))
+                had = np.stack([np.searchsorted(ids, u), i.astype(np.int64)])
+                row, item, score = _best(users.reshape(-1, rank), item_ids.astype(np.int64), items.reshape(-1, rank), had, top)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[row].astype(np.int32)), pa.array(item.astype(np.int32)), pa.array(score)], names=["_u", "_i", "score"])
+
+    pairs = users.crossJoin(items).select("ids", "factors", "u", "i", "item_ids", "item_factors")
+    new = pairs.mapInArrow(run, "_u int, _i int, score float")
     place = F.row_number().over(Window.partitionBy("_u").orderBy(F.col("score").desc(), "_i"))
     best = new.withColumn("place", place).filter(F.col("place") <= top)
     return (best.join(made.customers, "_u").join(made.products, "_i")
