@@ -241,3 +241,9 @@ def test_common_prefixes(seed):
         for w, m in zip(windows, marks, strict=True):
             assert m == (w in seen)
             seen.add(w)
+
+
+def test_a_task_hashes_a_megabyte_at_most():
+    text = "".join(chr(97 + i * i % 26) for i in range(1500)) * 1000
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([5, 6]), pa.array([text, text[:700_000]])], names=["id", "th", "text"])
+    assert max(len(part[1]) for part in suffix_dedup._slices(iter([batch]), 100)) <= 1 << 20

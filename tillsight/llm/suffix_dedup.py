@@ -44,7 +44,7 @@ BLOCK = 1 << 19
 BUCKET = 100_000  # segments in a bucket, about
 HELD = 24 << 20  # bytes of segments that a task gathers before it packs them
 ANCHORS = 1 << 20  # anchors that a task gathers before it hands them on
-SLICE = 1 << 20  # bytes that are hashed together; longer texts go in parts
+SLICE = 1 << 19  # bytes that are hashed together; longer texts go in parts
 PLACE_BITS = 22  # a place in a slice; the same for all, so that equal windows compare equal hashes
 _BYTE, _STEP = mix(256, 11), mix(8, 12)
 
