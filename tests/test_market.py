@@ -242,3 +242,22 @@ def test_strips_keep_the_best_and_ties(monkeypatch):
     for u in range(9):
         free = [(-float(users[u] @ items[k]), int(i)) for k, i in enumerate(ids) if i not in set(ids[u::5])]
         assert [*zip(-score[row == u], item[row == u])] == sorted(free)[:4]
+
+
+def test_suggestions_meet_an_antecedent_once(spark):
+    rules = [([x], y, (i * 7 % 5 + 1) / 10) for i, (x, y) in enumerate(itertools.permutations("abcde", 2))]
+    rules += [(["a", "b"], "c", 0.9), (["a", "b"], "e", 0.9), (["a", "b"], "c", 0.2), (["c", "e"], "a", 0.8)]
+    rows = [(1, ["a", "b"]), (2, ["c", "d", "e"]), (3, ["z"]), (4, [*"abcde"])]
+    found = baskets.suggestions(spark.createDataFrame(rows, "order_id long, items array<string>"),
+                                spark.createDataFrame(rules, "antecedent array<string>, consequent string, confidence double"))
+    want = set()
+    for order, items in rows:
+        best = {}
+        for has, item, sure in rules:
+            if set(has) <= set(items) and item not in items:
+                best[item] = max(best.get(item, 0), sure)
+        want |= {(order, k, item, sure) for k, (item, sure) in enumerate(sorted(best.items(), key=lambda b: (-b[1], b[0]))[:3], 1)}
+    assert {(r.order_id, r.place, r.item, r.confidence) for r in found.collect()} == want
+    # The join yields antecedents with all that follows from them, which is unfolded after it.
+    shown = found._sc._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "simple")
+    assert "inline(then" in shown

@@ -63,11 +63,15 @@ def association_rules(itemsets: DataFrame, confidence: float = 0.0) -> DataFrame
 def suggestions(found: DataFrame, rules: DataFrame, top: int = 3) -> DataFrame:
     """(order_id, place, item, confidence): the surest items that rules add to each basket.
 
-    A rule is looked up by the first item of its antecedent; the rest is checked on the pair.
+    Rules are gathered by antecedent, so a basket meets each antecedent once, not once for every consequent.  An antecedent
+    is looked up by its first item; the rest is checked on the pair.
     """
-    keyed = rules.select(F.col("antecedent")[0].alias("_first"), "antecedent", "consequent", "confidence")
-    hits = (found.select("order_id", "items", F.explode("items").alias("_first")).join(keyed, "_first")
-            .filter((F.size(F.array_except("antecedent", "items")) == 0) & ~F.array_contains(F.col("items"), F.col("consequent"))))
+    gathered = rules.groupBy("antecedent").agg(F.collect_list(F.struct("consequent", "confidence")).alias("then"))
+    keyed = gathered.withColumn("_first", F.col("antecedent")[0])
+    met = (found.select("order_id", "items", F.explode("items").alias("_first")).join(keyed, "_first")
+           .filter(F.size(F.array_except("antecedent", "items")) == 0))
+    hits = (met.select("order_id", "items", F.inline("then"))
+            .filter(~F.array_contains(F.col("items"), F.col("consequent"))))
     best = hits.groupBy("order_id", F.col("consequent").alias("item")).agg(F.max("confidence").alias("confidence"))
     place = F.row_number().over(Window.partitionBy("order_id").orderBy(F.col("confidence").desc(), "item"))
     return best.withColumn("place", place).filter(F.col("place") <= top)
