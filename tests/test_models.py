@@ -63,6 +63,14 @@ def test_cross_validation(data):
     assert len(rows) == 2 and all(0.5 < r.cv_mean <= 1 and r.cv_std >= 0 for r in rows)
 
 
+def test_forest_keeps_node_ids(data):
+    # Without them every level of every tree walks each row from the root again.
+    kept = models.estimators(data.train_rows, trees=5)[models.RANDOM_FOREST]
+    assert kept.getCacheNodeIds()
+    walked = kept.copy({kept.cacheNodeIds: False})
+    assert kept.fit(data.train).toDebugString.split("\n")[1:] == walked.fit(data.train).toDebugString.split("\n")[1:]
+
+
 def test_importance(data, fitted):
     rows = models.feature_importance(data, fitted).collect()
     assert len(rows) == 3 * len(churn.FEATURES)
