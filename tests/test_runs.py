@@ -1,10 +1,12 @@
 """Whole runs, files, streams and scans."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.errors import AnalysisException
 
+from __spark_entry__ import queries
 from tillsight import session
 from tillsight.catalog.etl import _raw_shape
 from tillsight.operators import metrics
@@ -170,3 +172,20 @@ def test_short_series_give_empty_forecasts(spark):
     series = spark.createDataFrame([(dt.date(2024, 1, 1), 1.0, 2.0)], "ds date, revenue double, x double")
     ahead, errors = forecast.random_forest(series)
     assert ahead.count() == 0 and errors.count() == 0
+
+
+@pytest.mark.parametrize("name", ["a2_product_performance", "a5_sales_base"])
+def test_lines_are_shuffled_in_small_parts(spark, name):
+    """A task would hold an eighth of all lines here, if shuffles began with the session's eight parts."""
+    fresh = spark.newSession()
+    fresh.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = queries()[name](fresh, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    parts = [int(n) for n in re.findall(r"hashpartitioning\(.*?, (\d+)\), ENSURE", plan)]
+    assert parts and min(parts) >= session.PARTITIONS
+    assert fresh.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == session.PART_SIZE
+    chosen = spark.newSession()
+    chosen.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "50")
+    chosen.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "32m")
+    session.tune_sales(chosen)
+    assert chosen.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == "50"
+    assert chosen.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "32m"

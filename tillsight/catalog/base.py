@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tillsight.functions.scalars import is_realised, ratio
 from tillsight.operators import rfm
 from tillsight.operators.churn import churn_base
-from tillsight.session import tune
+from tillsight.session import tune_sales
 from tillsight.sources.star import Star
 
 
@@ -29,7 +29,7 @@ def query(name: str, sql: str | None = None):
     def keep(fn: Callable[[Star], DataFrame]):
         if name in REGISTRY:
             raise ValueError(f"{name} is registered twice")
-        REGISTRY[name] = Query(lambda spark, folder: fn(Star(tune(spark), folder)),
+        REGISTRY[name] = Query(lambda spark, folder: fn(Star(tune_sales(spark), folder)),
                                None if sql is None else with_tables(sql))
         return fn
     return keep

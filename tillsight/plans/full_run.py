@@ -12,7 +12,7 @@ from tillsight.plans.churn import run_churn
 from tillsight.plans.etl import run_etl
 from tillsight.plans.forecasting import run_forecasting
 from tillsight.plans.segmentation import run_segmentation
-from tillsight.session import clear_scratch, tune
+from tillsight.session import clear_scratch, tune_sales
 from tillsight.sources import readers, writers
 
 MODES = ("full", "etl", "analytics", "reports")
@@ -56,7 +56,7 @@ def run(spark: SparkSession, in_dir: str, out_dir: str, as_of: AsOf = None, mode
     """Run one stage or all; returns what each stage made."""
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode}, choose from {MODES}")
-    tune(spark)
+    tune_sales(spark)
     made = {}
     if mode in ("full", "etl"):
         made["quality"] = run_etl(spark, in_dir, out_dir, as_of)
