@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 
 from __spark_entry__ import queries
 from tillsight import session
-from tillsight.catalog.etl import _raw_shape
+from tillsight.catalog.etl import _column_counts, _raw_shape
 from tillsight.operators import metrics
 from tillsight.plans import full_run
 from tillsight.sources import readers, writers
@@ -189,3 +189,15 @@ def test_lines_are_shuffled_in_small_parts(spark, name):
     session.tune_sales(chosen)
     assert chosen.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == "50"
     assert chosen.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "32m"
+
+
+def test_columns_are_counted_apart(spark):
+    """Several distinct counts in one pass would expand every row once per column."""
+    rows = spark.createDataFrame([(1, "a", 0.0), (1, None, -0.0), (2, "a", None), (2, "", float("nan"))],
+                                 "k long, t string, x double")
+    counted = _column_counts("toy", rows, ["k", "t", "x"])
+    assert {tuple(r) for r in counted.collect()} == {
+        ("toy", "k", 4, 4, 2), ("toy", "t", 4, 3, 2), ("toy", "x", 4, 3, 2)}
+    assert {tuple(r) for r in _column_counts("none", rows.limit(0), ["t"]).collect()} == {("none", "t", 0, 0, 0)}
+    written = queries()["snk_csv"](spark, FOLDER)
+    assert "Expand" not in written._jdf.queryExecution().executedPlan().toString()

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tillsight.catalog.base import REALISED, big, even, mavg, msum, query, scores, segments
 from tillsight.functions.scalars import money_sum
 from tillsight.operators import clean, joins, marts, metrics, quality
-from tillsight.session import scratch_path
+from tillsight.session import scratch_path, stage
 from tillsight.sources import readers, schemas, writers
 from tillsight.sources.star import Star
 
@@ -404,6 +404,21 @@ def cl_dedup(t: Star) -> DataFrame:
         for n, df in single.items()])
 
 
+def _column_counts(name: str, df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows, filled rows and different values of each column, every column in a narrow pass of its own.
+
+    Several distinct counts in one pass would shuffle each row once per column, at its full width.
+    """
+    counted = []
+    for c in columns:
+        values = df.groupBy(c).agg(F.count("*").alias("_n"))
+        total = lambda n: F.coalesce(F.sum(n), F.lit(0))
+        counted.append(values.agg(
+            F.lit(name).alias("table_name"), F.lit(c).alias("column_name"), total("_n").alias("n"),
+            total(F.when(F.col(c).isNotNull(), F.col("_n"))).alias("filled"), F.count(c).alias("different")))
+    return _union(counted)
+
+
 @query("snk_csv", " UNION ALL ".join(
     f"SELECT '{n}' AS table_name, '{c}' AS column_name, COUNT(*) AS n, COUNT({c}) AS filled, "
     f"COUNT(DISTINCT {c}) AS different FROM ({_CLEAN[n]})" for n in _CLEAN for c in _COLUMNS[n].split()))
@@ -417,11 +432,7 @@ def snk_csv(t: Star) -> DataFrame:
         back = t.spark.read.schema(df.schema).option("header", True).option("enforceSchema", False).csv(
             f"{folder}/{name}_processed.csv")
         columns = _COLUMNS[name].split()
-        counted = back.agg(F.count("*").alias("n"), *[F.count(c).alias(f"f_{c}") for c in columns],
-                           *[F.count_distinct(c).alias(f"d_{c}") for c in columns])
-        cells = [F.struct(F.lit(name).alias("table_name"), F.lit(c).alias("column_name"), "n",
-                          F.col(f"f_{c}").alias("filled"), F.col(f"d_{c}").alias("different")) for c in columns]
-        parts.append(counted.select(F.inline(F.array(*cells))))
+        parts.append(_column_counts(name, stage(back.select(*columns), "back"), columns))
     return _union(parts)
 
 
