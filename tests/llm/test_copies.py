@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
@@ -247,3 +248,37 @@ def test_a_task_hashes_a_megabyte_at_most():
     text = "".join(chr(97 + i * i % 26) for i in range(1500)) * 1000
     batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([5, 6]), pa.array([text, text[:700_000]])], names=["id", "th", "text"])
     assert max(len(part[1]) for part in suffix_dedup._slices(iter([batch]), 100)) <= 1 << 20
+
+
+def test_copies_of_one_segment_travel_without_their_bytes():
+    from types import SimpleNamespace
+    rng = random.Random(12)
+    text = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=20_000))
+    batches = [pa.RecordBatch.from_pydict({"id": [i], "th": [7], "text": [text]}) for i in (3, 1, 2)]
+    every = np.full(1 << (suffix_dedup.FILTER_BITS - 6), ~np.uint64(0))
+    spans, sizes = [], []
+    for several in (every, 0 * every):
+        shared = SimpleNamespace(value=(every, several, 0 * every))
+        sent = [b for x in batches for b in suffix_dedup._candidates(iter([x]), shared, 100, 1)]  # a task for each
+        rows = [r for b in sent for block in b.column(1) for r in suffix_dedup._unpacked(block.as_py())]
+        sizes.append(max(len(r[5]) for r in rows))
+        spans.append(sorted(tuple(r.values()) for b in suffix_dedup._marked(iter(sent), 100) for r in b.to_pylist()))
+    assert sizes[0] >= 100 and sizes[1] == suffix_dedup.DIGEST
+    assert spans[0] == spans[1] and {s[0] for s in spans[1]} == {2, 3}
+
+
+def test_byte_runs_of_whole_and_edited_copies(spark):
+    """Anchors with one segment, with several, and both in one text, met across tasks."""
+    rng = random.Random(15)
+    texts = [prose(rng, 60) for _ in range(8)]
+    rows = []
+    for i in range(96):
+        text = texts[i % 8]
+        if i % 3 == 1:
+            at = rng.randrange(len(text))
+            text = text[:at] + "#" + text[at + 1:]
+        if i % 5 == 2:
+            text = text[rng.randrange(80):] + prose(rng, 5) + texts[(i + 3) % 8]
+        rows.append((i, text))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(12)
+    assert {r.doc_id: bytes(r.kept) for r in suffix_dedup.without_repeats(df).collect()} == brute_bytes(rows, 100)

@@ -6,8 +6,10 @@ or in the same one at an earlier byte.
 1. Candidates, losing nothing: among the ``GRAM``-byte strings inside a window of ``length`` bytes, the one with the least
    hash is its anchor, so equal windows have equal anchors at the same place.  Consecutive windows with one anchor form a
    segment.  Anchors that occur once in the corpus can't belong to a repeated window; only the segments of the others go
-   on, grouped by anchor.  Equal segments are combined by their bytes, in each task before the shuffle and in each group
-   after it: all but the first are repeats, and the next step works on what differs.
+   on, grouped by anchor.  Equal segments are combined, in each task before the shuffle and in each group after it: all
+   but the first are repeats, and the next step works on what differs.  Anchors are counted together with the hashes of
+   their segments, so it is known which of them have one segment only, however often it comes: there nothing is left for
+   the next step, and its copies travel as a digest of their bytes and a place.  The others travel with their bytes.
 2. Within each group of anchors the segments are sorted as a suffix array, whose Burrows-Wheeler transform gives backward
    steps.  Breadth first, intervals of suffixes that begin with the same string are extended by one byte in front.  Every
    extension that ends where no common prefix is known yet fixes that value, so common prefixes come out in increasing
@@ -27,6 +29,7 @@ document and are cut alike; other columns are not read, so they may clash.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +42,12 @@ from tillsight.session import stage, tune
 LENGTH = 100
 GRAM = 32
 FILTER_BITS = 27  # the filter of repeated anchors has 2 ** FILTER_BITS bits, whatever the corpus
+HEAVY_BITS = 24  # that of the few heavy ones
 HEAVY = 5_000  # different segments of one anchor, from which on its windows go alone
 BLOCK = 1 << 19
 BUCKET = 100_000  # segments in a bucket, about
-HELD = 24 << 20  # bytes of segments that a task gathers before it packs them
+HELD = 32 << 20  # bytes that a task gathers before it packs its segments
+DIGEST = 8  # bytes that stand for a segment whose bytes nobody needs; less than any segment has
 ANCHORS = 1 << 20  # anchors that a task gathers before it hands them on
 SLICE = 1 << 19  # bytes that are hashed together; longer texts go in parts
 PLACE_BITS = 22  # a place in a slice; the same for all, so that equal windows compare equal hashes
@@ -65,7 +70,7 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
 
 
 def segments(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """(anchor hash, text number, first window, last window, hash of both ends) of every segment.
+    """(anchor hash, text number, first window, last window, hash of all its bytes) of every segment.
 
     Windows are counted from ``data``'s start.
     """
@@ -99,8 +104,12 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nda
         return none
     of = np.searchsorted(offsets, first, side="right") - 1
     last = np.minimum(np.append(first[1:], len(anchor)) - 1, offsets[1:][of] - length)
+    end = last + length - GRAM  # the last string of GRAM bytes in a segment
     with np.errstate(over="ignore"):
-        look = h[first] * _STEP[5] + h[last + length - GRAM]
+        look = (end - first).astype(np.uint64) * _STEP[4] + h[first]
+        for at in range(GRAM, 2 * length - GRAM, GRAM):
+            look = look * _STEP[5] + h[np.minimum(first + at, end)]
+        look ^= look >> np.uint64(32)
     return h[anchor[first]], of, first, last, look
 
 
@@ -222,6 +231,26 @@ def repeated_windows(parts: list[bytes], length: int) -> list[np.ndarray]:
     return [found[b:b + max(0, s - length + 1)] for b, s in zip(begin, sizes)]
 
 
+# Numbers that travel ------------------------------------------------------------------------------------------------
+
+def _planes(values: np.ndarray, width: int) -> bytes:
+    """The lowest ``width`` bytes of 64-bit numbers, all first bytes, then all second ones: like bytes compress well."""
+    return values.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def _numbers(planes: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(planes) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, -1).T
+    return out.reshape(-1).view(np.uint64)
+
+
+def _joined(held: list[tuple]) -> list[np.ndarray]:
+    """Columns from tuples of arrays, which are given up."""
+    columns = [list(x) for x in zip(*held)]
+    held.clear()
+    return [np.concatenate(columns.pop(0)) for _ in range(len(columns))]
+
+
 # Spark --------------------------------------------------------------------------------------------------------------
 
 def _slices(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple]:
@@ -243,19 +272,26 @@ def _slices(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple]:
 def _anchor_counts(rows: DataFrame, length: int) -> DataFrame:
     """(h, c, d): anchors that occur again, how often, and how many different segments they have.
 
-    Hashes travel as blocks of numbers, one for each bucket of anchors, and are counted bucket by bucket.
+    Hashes travel as blocks of numbers, one for each bucket of anchors, and are counted bucket by bucket.  Of an anchor's
+    hash the first 40 bits do: anchors that share them count as one, so more of them go on, never fewer.  A segment's hash
+    has 55 bits, and one more that tells that the segment occurs again in the block.
     """
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = 16 * parts
 
     def blocks(held: list) -> pa.RecordBatch:
-        h, look = (np.concatenate(x) for x in zip(*held))
-        bucket = ((h >> np.uint64(24)) % np.uint64(buckets)).astype(np.int32)
-        order = np.argsort(bucket, kind="stable")
-        bucket, both = bucket[order], np.stack([h[order], look[order]], axis=1)
+        h, look = _joined(held)
+        h >>= np.uint64(24)
+        look >>= np.uint64(9)
+        bucket = (h % np.uint64(buckets)).astype(np.int32)
+        order = np.lexsort((look, h, bucket)).astype(np.int32)
+        h, look = h[order], look[order]
+        at = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (look[1:] != look[:-1])))
+        more = np.diff(np.append(at, len(h))) > 1
+        bucket, h, look = bucket[order][at], h[at], (look[at] << np.uint64(1)) | more
         cuts = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
         return pa.RecordBatch.from_arrays(
-            [pa.array(bucket[cuts]), pa.array([both[x:y].tobytes() for x, y in zip(cuts, cuts[1:] + [len(bucket)])], pa.binary())],
+            [pa.array(bucket[cuts]), pa.array([_planes(h[x:y], 5) + _planes(look[x:y], 7) for x, y in zip(cuts, cuts[1:] + [len(bucket)])], pa.binary())],
             names=["bucket", "block"])
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,13 +306,15 @@ def _anchor_counts(rows: DataFrame, length: int) -> DataFrame:
             yield blocks(held)
 
     def counts(held: list) -> pa.RecordBatch:
-        h, look = np.frombuffer(b"".join(held), np.uint64).reshape(-1, 2).T
+        h = np.concatenate([_numbers(x[:len(x) // 12 * 5], 5) for x in held]) << np.uint64(24)
+        look = np.concatenate([_numbers(x[len(x) // 12 * 5:], 7) for x in held])
+        look, times = look >> np.uint64(1), 1 + (look & np.uint64(1)).astype(np.int64)
         order = np.lexsort((look, h))
         h, look = h[order], look[order]
         new = np.append(True, h[1:] != h[:-1])
         other = new | np.append(True, look[1:] != look[:-1])
         at = np.flatnonzero(new)
-        c, d = np.diff(np.append(at, len(h))), np.add.reduceat(other.astype(np.int64), at)
+        c, d = np.add.reduceat(times[order], at), np.add.reduceat(other.astype(np.int64), at)
         more = c > 1
         return pa.RecordBatch.from_arrays([pa.array(h[at][more].view(np.int64)), pa.array(c[more]), pa.array(d[more])], names=["h", "c", "d"])
 
@@ -296,31 +334,32 @@ def _anchor_counts(rows: DataFrame, length: int) -> DataFrame:
     return dealt.mapInArrow(again, "h long, c long, d long")
 
 
-def _bits(hashes: DataFrame) -> np.ndarray:
-    """A filter of 2 ** FILTER_BITS bits that knows the hashes in the only column; others may pass by chance."""
+def _bits(hashes: DataFrame, size: int = FILTER_BITS) -> np.ndarray:
+    """A filter of 2 ** size bits that knows the hashes in the only column; others may pass by chance."""
     h = F.col(hashes.columns[0])
-    word = F.shiftrightunsigned(h, 64 - FILTER_BITS + 6).alias("w")
-    bit = F.shiftrightunsigned(h, 64 - FILTER_BITS).bitwiseAND(F.lit(63)).cast("int")
+    word = F.shiftrightunsigned(h, 64 - size + 6).alias("w")
+    bit = F.shiftrightunsigned(h, 64 - size).bitwiseAND(F.lit(63)).cast("int")
     found = hashes.select(word, bit.alias("b")).groupBy("w").agg(
         F.expr("bit_or(shiftleft(1L, b))").alias("bits")).toPandas()
-    bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    bits = np.zeros(1 << (size - 6), np.uint64)
     bits[found["w"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
     return bits
 
 
 def _known(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    place = hashes >> np.uint64(64 - FILTER_BITS)
+    place = hashes >> np.uint64(64 - 5 - len(bits).bit_length())  # of 64 * len(bits) bits
     return ((bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)) == 1
 
 
-def _alone(data, h, of, first, last, heavy, length):
+def _alone(data, h, of, first, last, whole, heavy, length):
     """Segments of heavy anchors as single windows, grouped by a hash of the window.
 
-    The filter may take others for heavy, but the same ones in every task.
+    The filter may take others for heavy, but the same ones in every task.  ``whole`` tells whose bytes are needed: those
+    of a single window never, as different windows share nothing.
     """
     hot = _known(heavy, h)
     if not hot.any():
-        return h, of, first, last
+        return h, of, first, last, whole
     count = (last - first + 1)[hot]
     at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first[hot], count)
     keys = np.zeros(len(at), np.uint64)
@@ -330,7 +369,8 @@ def _alone(data, h, of, first, last, heavy, length):
         keys ^= keys >> np.uint64(32)
     cold = ~hot
     return (np.concatenate((h[cold], keys)), np.concatenate((of[cold], np.repeat(of[hot], count))),
-            np.concatenate((first[cold], at)), np.concatenate((last[cold], at)))
+            np.concatenate((first[cold], at)), np.concatenate((last[cold], at)),
+            np.concatenate((whole[cold], np.zeros(len(at), bool))))
 
 
 def _united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -343,32 +383,29 @@ def _united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _packed(rows: list[tuple], buckets: int) -> pa.RecordBatch:
-    """Rows (g, id, th, a, b, piece) as one compressed block for each bucket: a row each would take twice the room."""
-    columns = [np.array([r[0] for r in rows], np.int64)]
-    columns += [np.array([r[1] is not None for r in rows], np.int8), np.array([r[1] or 0 for r in rows], np.int64)]
-    columns += [np.array([r[k] for r in rows], np.int64) for k in (2, 3, 4)]
-    bucket = columns[0] % buckets
+def _packed(columns: list[np.ndarray], sizes: np.ndarray, piece, buckets: int) -> pa.RecordBatch:
+    """Rows (g, whether it has an id, id, th, a, b) and their pieces as one compressed block for each bucket.
+
+    A piece is the bytes of a segment, their digest, or nothing for a span that is known to repeat; its size is then -1.
+    """
+    bucket = (columns[0] % buckets).astype(np.int32)
     order = np.lexsort((columns[0], bucket))
     cuts = np.flatnonzero(np.diff(bucket[order])) + 1
     names, blocks = [], []
     press = zstandard.ZstdCompressor(level=3)
     for part in np.split(order, cuts):
-        pieces = [rows[k][5] for k in part]
-        sizes = np.array([-1 if p is None else len(p) for p in pieces], np.int32)
-        body = [c[part].tobytes() for c in columns] + [sizes.tobytes(), b"".join(p for p in pieces if p is not None)]
+        body = [_planes(c[part].astype(np.int64), 8) for c in (*columns, sizes)] + [piece(k) for k in part.tolist()]
         names.append(int(bucket[part[0]]))
         blocks.append(press.compress(len(part).to_bytes(8, "little") + b"".join(body)))
     return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(blocks, pa.binary())], names=["bucket", "block"])
 
 
 def _unpacked(block: bytes) -> list[tuple]:
+    """Rows (g, id, th, a, b, piece)."""
     raw = zstandard.ZstdDecompressor().decompress(block)
-    n, at, columns = int.from_bytes(raw[:8], "little"), 8, []
-    for kind in (np.int64, np.int8, np.int64, np.int64, np.int64, np.int64, np.int32):
-        columns.append(np.frombuffer(raw, kind, n, at).tolist())
-        at += n * np.dtype(kind).itemsize
-    g, named, ids, th, a, b, sizes = columns
+    n = int.from_bytes(raw[:8], "little")
+    at = 8 + 7 * 8 * n
+    g, named, ids, th, a, b, sizes = (_numbers(raw[x:x + 8 * n], 8).view(np.int64).tolist() for x in range(8, at, 8 * n))
     out = []
     for k in range(n):
         piece = None
@@ -379,41 +416,82 @@ def _unpacked(block: bytes) -> list[tuple]:
     return out
 
 
+def _combined(held: list[tuple], docs: list[tuple], body: bytearray, buckets: int) -> pa.RecordBatch:
+    """The first place of each different segment held, and the others' places as spans that repeat."""
+    named, ids, th = _joined(docs)
+    order = np.lexsort((th, ids, named))
+    new = np.append(False, np.any([x[order][1:] != x[order][:-1] for x in (named, ids, th)], axis=0))
+    place = np.empty(len(order), np.int32)
+    place[order] = np.cumsum(new)
+    g, one, two, doc, a, n, text = _joined(held)
+    place = place[doc]
+    order = np.lexsort((a, place, two, one, g)).astype(np.int32)
+    new = np.append(True, np.any([x[order[1:]] != x[order[:-1]] for x in (g, one, two)], axis=0))
+    del two
+    first = order[new]
+    of = first[np.cumsum(new, dtype=np.int32) - 1]
+    # Repeated rows of one id and text have the same place: they speak with one voice.
+    later = order[(place[order] != place[of]) | (a[order] != a[of])]
+    del order, new, of
+    # Spans of one text are united; texts lie far apart.
+    far = np.int64(1 << 40)
+    begin = place[later] * far + a[later]
+    order = np.argsort(begin)
+    later, begin = later[order], begin[order]
+    end = np.maximum.accumulate(begin + n[later])
+    opens = np.flatnonzero(np.append(True, begin[1:] > end[:-1])[:len(begin)])
+    late, end = later[opens], end[np.append(opens[1:], len(end))[:len(opens)] - 1]
+    end = np.concatenate((a[first] + n[first], end - place[late] * far))
+    key = np.concatenate((g[first], th[doc[late]] ^ a[late]))
+    size = np.concatenate((np.where(text[first] < 0, DIGEST, n[first]), np.full(len(late), -1, np.int32)))
+    one, text = one[first], text[first]
+    rows = np.concatenate((first, late))
+    doc, a = doc[rows], a[rows]
+    del g, place, n, later, begin, opens, order
+
+    def piece(k: int) -> bytes:
+        if size[k] < 0:
+            return b""
+        return bytes(body[text[k]:text[k] + size[k]]) if text[k] >= 0 else one[k].tobytes()
+
+    return _packed([key, named[doc], ids[doc], th[doc], a, end], size, piece, buckets)
+
+
 def _candidates(batches: Iterator[pa.RecordBatch], shared, length: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Segments with repeated anchors; those that equal an earlier one among the segments held are given as finished spans."""
-    bits, heavy = shared.value
-    held: dict[bytes, tuple] = {}  # the first place of each different segment
-    again: dict[tuple, list] = {}
-    size = 0
+    """Segments with repeated anchors; those that equal an earlier one among the segments held are given as finished spans.
 
-    def packed():
-        rows = [(g, i if named else None, th, a, a + len(piece), piece) for piece, (g, (named, i, th, a)) in held.items()]
-        rows += [(th ^ a, i if named else None, th, a, b, None) for (named, i, th), spans in again.items() for a, b in _united(spans)]
-        return _packed(rows, buckets)
+    Segments held are equal if their anchors' hashes and 128 bits of their digests are.  An anchor's segments all come with
+    their bytes, or all as digests: of these 64 bits travel, as all the anchor's segments have one hash already.
+    """
+    bits, several, heavy = shared.value
+    held, docs, body = [], [], bytearray()
+    rows = size = 0
 
     for part, data, offsets, shift, h, of, first, last, _ in _slices(batches, length):
-        rows = [(i is not None, i or 0, th) for i, th in zip(part.column(0).to_pylist(), part.column(1).to_pylist())]
         keep = _known(bits, h)
-        h, of, first, last = _alone(data, h[keep], of[keep], first[keep], last[keep], heavy, length)
-        raw, bases = data.tobytes(), (offsets - shift).tolist()
-        for g, o, a, b in zip(h.view(np.int64).tolist(), of.tolist(), first.tolist(), (last + length).tolist()):
-            piece, where = raw[a:b], (*rows[o], a - bases[o])
-            known = held.get(piece)
-            if known is None:
-                held[piece] = g, where
-                size += len(piece) + 64
-                continue
-            # Repeated rows of one id and text have the same place: they speak with one voice.
-            if known[1] != where:
-                if where < known[1]:
-                    held[piece], where = (g, where), known[1]
-                again.setdefault(where[:3], []).append((where[3], where[3] + len(piece)))
-                size += 16
+        h, of, first, last = h[keep], of[keep], first[keep], last[keep]
+        if not len(h):
+            continue
+        h, of, first, last, whole = _alone(data, h, of, first, last, _known(several, h), heavy, length)
+        raw, end = data.tobytes(), last + length
+        digests = b"".join([blake2b(raw[x:y], digest_size=16).digest() for x, y in zip(first.tolist(), end.tolist())])
+        one, two = np.frombuffer(digests, np.int64).reshape(-1, 2).T
+        n = (end - first).astype(np.int32)
+        text = np.full(len(h), -1, np.int32)
+        text[whole] = len(body) + np.cumsum(n[whole]) - n[whole]
+        body += b"".join([raw[x:y] for x, y in zip(first[whole].tolist(), end[whole].tolist())])
+        # Texts are below 2 GB, as arrays of them are.
+        held.append((h.view(np.int64), one, two, (of + rows).astype(np.int32), (first - (offsets - shift)[of]).astype(np.int32), n, text))
+        ids = part.column(0)
+        docs.append((ids.is_valid().cast(pa.int64()).to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy(zero_copy_only=False), part.column(1).to_numpy(zero_copy_only=False)))
+        rows += len(part)
+        size += 40 * len(h) + int(n[whole].sum())
         if size > HELD:
-            yield packed()
-            held, again, size = {}, {}, 0
-    if held or again:
-        yield packed()
+            yield _combined(held, docs, body, buckets)
+            held, docs, body = [], [], bytearray()
+            rows = size = 0
+    if held:
+        yield _combined(held, docs, body, buckets)
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
@@ -433,19 +511,23 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
 def _marked(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Repeated spans from the segments of whole buckets."""
     spans: list[tuple] = []
-    group: dict[bytes, tuple] = {}  # the first place of each different segment
+    group: dict[bytes, tuple] = {}  # the first place of each different segment, by its bytes or digest
     block: list[tuple] = []  # segments of groups that have several
-    size, last = 0, None
+    size, last, longest = 0, None, 0
 
     def span(where, a, b):
         spans.append((where[1] if where[0] else None, where[2], a, b))
 
     def close_group():
-        nonlocal size
+        nonlocal size, longest
         if len(group) > 1:  # one segment alone has nothing left to share
-            block.extend((where, piece) for piece, where in group.items())
-            size += sum(map(len, group))
+            if len(next(iter(group))) > DIGEST:
+                block.extend((where, piece) for piece, where in group.items())
+                size += sum(map(len, group))
+            elif longest > length:  # different windows share nothing, but longer segments may
+                raise RuntimeError("different segments of one anchor have the same hash")
         group.clear()
+        longest = 0
 
     def solve():
         nonlocal size
@@ -474,10 +556,11 @@ def _marked(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
             if piece is None:
                 span(where, a, b)
                 continue
+            longest = max(longest, b - a)
             before = group.setdefault(piece, where)
             if before != where:
                 group[piece], late = min(before, where), max(before, where)
-                span(late, late[3], late[3] + len(piece))
+                span(late, late[3], late[3] + b - a)
         if len(spans) > 20_000:
             yield flush()
     close_group()
@@ -490,8 +573,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     tune(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
     again = stage(_anchor_counts(rows, length), "anchors")
-    heavy = _bits(again.filter(F.col("d") > HEAVY).select("h"))
-    shared = docs.sparkSession.sparkContext.broadcast((_bits(again.select("h")), heavy))
+    several = _bits(again.filter(F.col("d") > 1).select("h"))
+    heavy = _bits(again.filter(F.col("d") > HEAVY).select("h"), HEAVY_BITS)
+    shared = docs.sparkSession.sparkContext.broadcast((_bits(again.select("h")), several, heavy))
     repeats = again.agg(F.sum("c")).first()[0] or 0
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), repeats // BUCKET)
     found = rows.mapInArrow(lambda batches: _candidates(batches, shared, length, buckets), "bucket int, block binary")
