@@ -5,11 +5,14 @@ import itertools
 import math
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.ml.recommendation import ALS
 from pyspark.sql import functions as F
 
+from tillsight import session
 from tillsight.operators import attribution, baskets, extras, hypothesis, recommend
 
 
@@ -232,6 +235,36 @@ def test_blocks_hold_every_pair(spark, monkeypatch):
         assert not any((c, r.product_id) in had for r in out[c])
 
 
+def test_factors_are_those_of_sparks_als(spark, monkeypatch):
+    # Many blocks, a product that all bought and one order among many: Spark's own fit gives the same factors.
+    monkeypatch.setattr(recommend, "PURCHASES", 150)
+    monkeypatch.setattr(recommend, "SOME", 16)
+    rows = [(c, p, 1 + (c + p) % 3) for c in range(70) for p in range(50) if (c * 7 + p * 3) % 11 < 4 or p == 9]
+    found = spark.createDataFrame(rows, "customer_id long, product_id long, orders long")
+    made = recommend.train(found, rank=4, rounds=3)
+    own = ALS(userCol="customer_id", itemCol="product_id", ratingCol="orders", implicitPrefs=True, rank=4, maxIter=3, regParam=0.05,
+              alpha=20.0, seed=42, numUserBlocks=8, numItemBlocks=8).fit(found.withColumn("orders", F.col("orders").cast("float")))
+    values = lambda df: np.array([r.features for r in df.orderBy("id").collect()])
+    assert np.allclose(values(made.model.userFactors), values(own.userFactors), rtol=1e-3, atol=1e-5)
+    assert np.allclose(values(made.model.itemFactors), values(own.itemFactors), rtol=1e-3, atol=1e-5)
+
+
+def test_rounds_leave_no_shuffles(spark, monkeypatch):
+    # What a half round shuffles is deleted before the next, and so are the factors before it.
+    monkeypatch.setattr(recommend, "PURCHASES", 20_000)
+    rows = [(c, p, 1) for c in range(3000) for p in range(c % 7, 700, 19)]
+    found = spark.createDataFrame(rows, "customer_id long, product_id long, orders long")
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles
+    shuffled = lambda: {f.getName(): f.length() for f in map(files().apply, range(files().size())) if f.getName().startswith("shuffle_")}
+    staged = lambda: set(Path(session._scratch_root(spark)).glob("factors-*"))
+    before, old = shuffled(), staged()
+    recommend.train(found, rank=8, rounds=6)
+    left = {name: size for name, size in shuffled().items() if name not in before}
+    # One half round shuffles the factors of 3000 customers for 5 blocks or more: 0.4 MB.
+    assert sum(left.values()) < 1_000_000
+    assert len([folder for folder in staged() - old if any(folder.iterdir())]) == 2
+
+
 def test_strips_keep_the_best_and_ties(monkeypatch):
     monkeypatch.setattr(recommend, "STRIP", 8)
     draw = np.random.default_rng(1)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -95,3 +97,23 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """What is written inside has its shuffle files deleted once it is written: for loops that stage every round."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def discard(staged: DataFrame) -> None:
+    """Delete the copy behind a frame from ``stage`` that nothing reads any more."""
+    spark = staged.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for folder in {f.rsplit("/", 1)[0] for f in staged.inputFiles()}:
+        path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path(folder), True)
